@@ -245,11 +245,12 @@ def run_backtest(preds: DataFrame, bars: DataFrame, scenarios: DataFrame) -> dic
 def best_scenario(summary: DataFrame, metric: str = "roi",
                   group: Sequence[str] = ()) -> DataFrame:
     """Per group, the scenario with the highest metric (ties: the
-    smallest id). Two aggregates and an equi-join; no global ordering."""
-    g = list(group)
-    best = summary.groupBy(*g).agg(F.max(metric).alias("metric"))
-    cond = [summary[c] == best[c] for c in g] + [summary[metric] == best["metric"]]
-    hits = summary.join(F.broadcast(best), cond, "inner").select(
-        *[summary[c] for c in g], summary["scenario_id"], best["metric"])
-    return hits.groupBy(*g).agg(F.min("scenario_id").alias("scenario_id"),
-                                F.first("metric").alias("metric"))
+    smallest id). Two aggregates and an equi-join on the group keys (a
+    constant key when ungrouped); no global ordering."""
+    g = list(group) or ["_all"]
+    s = summary if group else summary.withColumn("_all", F.lit(0))
+    best = s.groupBy(*g).agg(F.max(metric).alias("_best"))
+    hits = s.join(F.broadcast(best), g).where(F.col(metric) == F.col("_best"))
+    out = hits.groupBy(*g).agg(F.min("scenario_id").alias("scenario_id"),
+                               F.first("_best").alias("metric"))
+    return out if group else out.drop("_all")

@@ -23,7 +23,7 @@ BASE_PARAMS = {
                 "featureFraction": 0.6},
     "catboost": {"maxIter": 10, "stepSize": 0.1, "maxDepth": 4},
 }
-SEARCH_CAP = {"maxIter": 8, "maxDepth": 4}
+SEARCH_CAP = {"maxIter": 5, "maxDepth": 3}
 
 
 def frame(spark: SparkSession, sf: str) -> DataFrame:
@@ -55,9 +55,9 @@ def q_random_search(spark, sf):
     df = frame(spark, sf)
     train = df.where(F.col("period") == "train")
     test = df.where(F.col("period") == "test")
-    trials = ml.sample_trials(list(ml.PROFILES), ["roi", "sharpe_ratio"], n_trials=2,
+    trials = ml.sample_trials(list(ml.PROFILES), ["roi", "sharpe_ratio"], n_trials=1,
                               cap=SEARCH_CAP)
-    sigs = ml.random_search(train, test, trials)
+    sigs = ml.random_search(train, test, trials, parallelism=6)
     grid = spark.createDataFrame(
         [(t["trial_id"], 5, 0.04, 0.001, 100000.0, 0.0) for t in trials], bt.SCENARIO_SCHEMA)
     res = bt.run_backtest(sigs, cat.daily(spark, sf), grid)
