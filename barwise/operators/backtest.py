@@ -109,9 +109,14 @@ def trade_pairs(tradable: DataFrame) -> DataFrame:
 
 
 def _py_floordiv(a: str, b: str) -> str:
-    """Python float ``a // b`` for b > 0 (fmod-based, so 1.0 // 0.1 == 9)."""
-    div = f"(({a}) - (({a}) % ({b}))) / ({b})"
-    return f"(floor({div}) + IF({div} - floor({div}) > 0.5, 1, 0))"
+    """Python float ``a // b`` for b > 0 (remainder-based, so 1.0 // 0.1 == 9).
+
+    Kept in doubles (``floor`` would return a long and overflow once cash
+    compounds past 9.2e18). For a < 0 this truncates instead of flooring,
+    which is fine here: the result is <= 0 either way and the caller takes
+    max(1, .)."""
+    div = f"((({a}) - (({a}) % ({b}))) / ({b}))"
+    return f"({div} - {div} % 1D + IF({div} % 1D > 0.5, 1D, 0D))"
 
 
 def ledger(actions: DataFrame, scenarios: DataFrame) -> DataFrame:

@@ -49,94 +49,154 @@ MODEL_FEATURES = [
 LABEL = "next_weekly_return"
 
 
-def whole_history(df: DataFrame) -> DataFrame:
-    """per-symbol whole-history constants (look-ahead, as in
-    the reference) computed with unbounded frames on the shared window."""
-    P = F.col("adj_close")
-    first_open = ts.first_valid("open")
-    return (df
-            .withColumn("weekly_price_diff", ts.last_valid(P) - first_open)
-            .withColumn("range", F.max("high").over(ts.whole()) - F.min("low").over(ts.whole()))
-            .withColumn("volatility", ieee_div(F.col("range"), first_open))
-            .withColumn("price_to_range_ratio", ieee_div(P, F.col("range"))))
+def _c(name: str) -> Column:
+    return F.col(name)
 
 
-def rsi(c: Column, n: int = 2) -> Column:
-    """RSI with mean gain/loss over n rows (min_periods=1).
+# SQL-expression helpers for the staged feature chain. A stage is handed to
+# ``selectExpr`` as text, which the JVM parses in one go; building the same
+# expressions as Column objects costs thousands of driver round trips.
+_W = "PARTITION BY symbol ORDER BY date"
+_INF = "CAST('Infinity' AS DOUBLE)"
 
-    Loss 0 with a gain gives 100; no movement at all gives NULL (0/0)."""
-    delta = ts.diff(c)
-    gain = F.when(delta.isNotNull(), F.greatest(delta, F.lit(0.0)))
-    loss = F.when(delta.isNotNull(), -F.least(delta, F.lit(0.0)))
-    ag = ts.rolling(gain, n, "mean", min_periods=1)
-    al = ts.rolling(loss, n, "mean", min_periods=1)
-    rs = ieee_div(ag, al)
-    return (F.when(rs.isNull(), F.lit(None).cast("double"))
-            .when(rs == float("inf"), F.lit(100.0))
-            .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + rs)))
+
+def _over(frame: str = "") -> str:
+    return f"OVER ({_W}{(' ' + frame) if frame else ''})"
+
+
+def _rows(n: int) -> str:
+    return _over(f"ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW")
+
+
+_EXP = _over("ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
+_ALL = _over("ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING")
+
+
+def div_sql(a: str, b: str) -> str:
+    """``ieee_div`` as SQL text (operands should be column names)."""
+    return (f"(CASE WHEN ({a}) IS NULL OR ({b}) IS NULL THEN CAST(NULL AS DOUBLE) "
+            f"WHEN ({b}) != 0 THEN CAST(({a}) AS DOUBLE) / CAST(({b}) AS DOUBLE) "
+            f"WHEN ({a}) > 0 THEN {_INF} WHEN ({a}) < 0 THEN -{_INF} "
+            f"ELSE CAST(NULL AS DOUBLE) END)")
+
+
+def _gated(n: int, x: str, agg: str) -> str:
+    return f"CASE WHEN count({x}) {_rows(n)} >= {n} THEN {agg}({x}) {_rows(n)} END"
 
 
 def add_window_features(df: DataFrame) -> DataFrame:
-    """F3, F5-F10, F19-F24, F27-F69 (everything but the EMAs and VWAP)."""
-    P, V = F.col("adj_close"), F.col("volume")
-    w = ts.series()
-    lag_p = F.lag(P).over(w)
-    wr = ts.pct_change(P)
-    out = whole_history(df).select(
+    """F1-F10, F19-F24, F27-F69 (everything but the EMAs and VWAP).
+
+    Built as a few stages in which every window result is a named column and
+    every ratio divides plain column references: expressions stay small
+    (``ieee_div`` repeats its operands) and each window function is evaluated
+    once. All stages share one window spec, so Catalyst plans a single Sort
+    and no Exchange beyond the input's.
+    """
+    n4 = 4
+    skew_c = (n4 * (n4 - 1)) ** 0.5 / (n4 - 2)
+    kurt_a = (n4 + 1) * (n4 - 1) / ((n4 - 2) * (n4 - 3))
+    kurt_b = 6 * (n4 - 1) / ((n4 - 2) * (n4 - 3))
+    # Stage 1: windows over the bar columns.
+    s1 = df.selectExpr(
+        "*",
+        f"lag(adj_close) {_over()} AS _lag_p",
+        f"lag(open) {_over()} AS _lag_open",
+        f"lag(volume) {_over()} AS _lag_v",
+        f"last(adj_close, true) {_EXP} AS _ffp",
+        f"first(open, true) {_ALL} AS _first_open",
+        f"last(adj_close, true) {_ALL} AS _last_p",
+        f"max(high) {_ALL} AS _max_high",
+        f"min(low) {_ALL} AS _min_low",
+        f"avg(volume) {_rows(4)} AS volume_ma",
+        f"{_gated(14, 'adj_close', 'min')} AS low14",
+        f"{_gated(14, 'adj_close', 'max')} AS high14",
+        f"{_gated(4, 'adj_close', 'avg')} AS rolling_mean_4w",
+        f"{_gated(4, 'adj_close', 'stddev_samp')} AS rolling_std_4w",
+        *[f"lag(adj_close, {k}) {_over()} AS adj_close_lag_{k}w" for k in range(1, 5)],
+        *[f"lag(volume, {k}) {_over()} AS volume_lag_{k}w" for k in range(1, 5)],
+        f"lag(adj_close, 8) {_over()} AS _lag8_p",
+    )
+    # Stage 2: row arithmetic on stage-1 columns.
+    s2 = s1.selectExpr(
         "*",
-        (F.col("open") - F.lag("open").over(w)).alias("gap"),
-        ts.rolling(V, 4, "mean", min_periods=1).alias("volume_ma"),
-        rsi(P).alias("rsi_2w"),
-        (P - F.lag(P, 4).over(w)).alias("momentum_4w"),
-        (P - F.lag(P, 8).over(w)).alias("momentum_8w"),
-        ts.rolling(P, 14, "min").alias("low14"),
-        ts.rolling(P, 14, "max").alias("high14"),
-        F.sum(F.coalesce(F.signum(P - lag_p) * V, F.lit(0.0))).over(ts.expanding()).alias("obv"),
-        (F.col("high") - F.col("low")).alias("hl"),
-        F.abs(F.col("high") - lag_p).alias("hc"),
-        F.abs(F.col("low") - lag_p).alias("lc"),
-        ((F.col("high") + F.col("low") + P) / 3).alias("pivot"),
-        wr.alias("weekly_return"),
-        ts.pct_change(V).alias("volume_change"),
-        (P - F.lag(P, 2).over(w)).alias("momentum_2w"),
-        ts.rolling(P, 4, "mean").alias("rolling_mean_4w"),
-        ts.rolling(P, 4, "std").alias("rolling_std_4w"),
-        *[F.lag(P, k).over(w).alias(f"adj_close_lag_{k}w") for k in range(1, 5)],
-        *[F.lag(V, k).over(w).alias(f"volume_lag_{k}w") for k in range(1, 5)],
+        "_last_p - _first_open AS weekly_price_diff",
+        "_max_high - _min_low AS range",
+        "open - _lag_open AS gap",
+        "adj_close - _lag_p AS _d1",
+        "adj_close - adj_close_lag_4w AS momentum_4w",
+        "adj_close - _lag8_p AS momentum_8w",
+        "adj_close - adj_close_lag_2w AS momentum_2w",
+        f"{div_sql('volume', '_lag_v')} - 1.0D AS volume_change",
+        f"{div_sql('volume', 'volume_ma')} AS volume_ratio",
+        "adj_close - low14 AS _p_low", "high14 - low14 AS _hl14",
+        "high - low AS hl",
+        "abs(high - _lag_p) AS hc",
+        "abs(low - _lag_p) AS lc",
+        "(high + low + adj_close) / 3 AS pivot",
+        "rolling_mean_4w + 2 * rolling_std_4w AS bollinger_upper",
+        "rolling_mean_4w - 2 * rolling_std_4w AS bollinger_lower",
+        "weekday(date) AS day_of_week",
+        "weekofyear(date) AS week_of_year",
+        "month(date) AS month",
     )
-    wr = F.col("weekly_return")
-    out = out.select(
+    # Stage 3: windows over stage-2 columns and their arithmetic.
+    s3 = s2.selectExpr(
         "*",
-        ieee_div(V, F.col("volume_ma")).alias("volume_ratio"),
-        ((F.col("rsi_2w") - 30) / (70 - 30)).alias("normalized_rsi_2w"),
-        (ieee_div(P - F.col("low14"), F.col("high14") - F.col("low14")) * 100).alias("stoch_k"),
-        F.greatest("hl", "hc", "lc").alias("tr"),
-        (P - F.col("pivot")).alias("pivot_distance"),
-        (P - (2 * F.col("pivot") - F.col("high"))).alias("support_distance"),
-        (P - (2 * F.col("pivot") - F.col("low"))).alias("resistance_distance"),
-        F.lead(wr).over(w).alias(LABEL),
-        *[F.lag(wr, k).over(w).alias(f"weekly_return_lag_{k}w") for k in range(1, 9)],
-        wr.alias("adj_close_change"),
-        (F.col("rolling_mean_4w") + 2 * F.col("rolling_std_4w")).alias("bollinger_upper"),
-        (F.col("rolling_mean_4w") - 2 * F.col("rolling_std_4w")).alias("bollinger_lower"),
-        ts.rolling_skew(wr, 4).alias("rolling_skew_4w"),
-        ts.rolling_kurt(wr, 4).alias("rolling_kurt_4w"),
-        ieee_div(wr, F.col("rolling_std_4w")).alias("sharpe_ratio"),
-        F.weekday("date").alias("day_of_week"),
-        F.weekofyear("date").alias("week_of_year"),
-        F.month("date").alias("month"),
+        f"{div_sql('_p_low', '_hl14')} * 100 AS stoch_k",
+        f"lag(_ffp) {_over()} AS _lag_ffp",
+        f"sum(coalesce(signum(_d1) * volume, 0.0D)) {_EXP} AS obv",
+        f"avg(CASE WHEN _d1 IS NOT NULL THEN greatest(_d1, 0.0D) END) {_rows(2)} AS _ag",
+        f"avg(CASE WHEN _d1 IS NOT NULL THEN -least(_d1, 0.0D) END) {_rows(2)} AS _al",
+        "greatest(hl, hc, lc) AS tr",
+        f"{div_sql('range', '_first_open')} AS volatility",
+        f"{div_sql('adj_close', 'range')} AS price_to_range_ratio",
+        "adj_close - pivot AS pivot_distance",
+        "adj_close - (2 * pivot - high) AS support_distance",
+        "adj_close - (2 * pivot - low) AS resistance_distance",
+        "bollinger_upper - bollinger_lower AS _band",
     )
-    return out.select(
+    s4 = s3.selectExpr(
         "*",
-        ts.rolling(F.col("stoch_k"), 3, "mean").alias("stoch_d"),
-        ts.rolling(F.col("tr"), 14, "mean").alias("atr"),
-        ieee_div(F.col("bollinger_upper") - F.col("bollinger_lower"),
-                 F.col("rolling_mean_4w")).alias("bollinger_bandwidth"),
-    ).select(
+        f"{div_sql('_ffp', '_lag_ffp')} - 1.0D AS weekly_return",
+        f"{div_sql('_ag', '_al')} AS _rs",
+        f"{_gated(3, 'stoch_k', 'avg')} AS stoch_d",
+        f"{_gated(14, 'tr', 'avg')} AS atr",
+        f"{div_sql('_band', 'rolling_mean_4w')} AS bollinger_bandwidth",
+    )
+    s5 = s4.selectExpr(
         "*",
-        (F.col("stoch_k") - F.col("stoch_d")).alias("stochastic_k_d_distance"),
-        (ieee_div(F.col("atr"), P) * 100).alias("atr_percentage"),
+        f"lead(weekly_return) {_over()} AS {LABEL}",
+        *[f"lag(weekly_return, {k}) {_over()} AS weekly_return_lag_{k}w" for k in range(1, 9)],
+        "weekly_return AS adj_close_change",
+        f"CASE WHEN count(weekly_return) {_rows(4)} >= 4 THEN coalesce(skewness(weekly_return) "
+        f"{_rows(4)} * {skew_c!r}D, 0.0D) END AS rolling_skew_4w",
+        f"CASE WHEN count(weekly_return) {_rows(4)} >= 4 THEN coalesce(kurtosis(weekly_return) "
+        f"{_rows(4)} * {kurt_a!r}D + {kurt_b!r}D, -3.0D) END AS rolling_kurt_4w",
+        f"{div_sql('weekly_return', 'rolling_std_4w')} AS sharpe_ratio",
+        f"CASE WHEN _rs IS NULL THEN CAST(NULL AS DOUBLE) WHEN _rs = {_INF} THEN 100.0D "
+        "ELSE 100.0D - 100.0D / (1.0D + _rs) END AS rsi_2w",
+        "stoch_k - stoch_d AS stochastic_k_d_distance",
+        f"{div_sql('atr', 'adj_close')} * 100 AS atr_percentage",
     )
+    keep = [c for c in s5.columns if not c.startswith("_")]
+    return s5.selectExpr(*keep, "(rsi_2w - 30) / (70 - 30) AS normalized_rsi_2w")
+
+
+def rsi(c: Column, n: int = 2) -> Column:
+    """F7 as a single expression (for ad-hoc use; the feature chain stages it).
+
+    Mean gain/loss over n rows (min_periods=1); loss 0 with a gain gives
+    100; no movement at all gives NULL (0/0)."""
+    delta = ts.diff(c)
+    gain = F.when(delta.isNotNull(), F.greatest(delta, F.lit(0.0)))
+    loss = F.when(delta.isNotNull(), -F.least(delta, F.lit(0.0)))
+    ag = ts.rolling(gain, n, "mean", min_periods=1)
+    al = ts.rolling(loss, n, "mean", min_periods=1)
+    rs = ieee_div(ag, al)
+    return (F.when(rs.isNull(), F.lit(None).cast("double"))
+            .when(rs == float("inf"), F.lit(100.0))
+            .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + rs)))
 
 
 def add_ema_features(df: DataFrame) -> DataFrame:

@@ -315,7 +315,7 @@ _RET = f"((b.next_open - {_PP}) / {_PP})"
 def _floordiv(a: str, b: str) -> str:
     # DuckDB's ``%`` on doubles is the exact IEEE remainder (its fmod() is not).
     d = f"((({a}) - (CAST({a} AS DOUBLE) % CAST({b} AS DOUBLE))) / ({b}))"
-    return f"(floor({d}) + CASE WHEN {d} - floor({d}) > 0.5 THEN 1 ELSE 0 END)"
+    return f"({d} - {d} % CAST(1 AS DOUBLE) + CASE WHEN {d} % CAST(1 AS DOUBLE) > 0.5 THEN 1.0 ELSE 0.0 END)"
 
 
 _SHARES = f"greatest(1.0, {_floordiv('s.cash / 3', 'b.price')})"
