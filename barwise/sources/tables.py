@@ -80,7 +80,9 @@ def new_rows(batch: DataFrame, existing: DataFrame, key: Sequence[str] = BAR_KEY
     win over the batch. ``row_number() = 1`` is planned as a window group
     limit, so only the winner per key survives the sort.
     """
-    w = Window.partitionBy(*key).orderBy(F.col(arrival))
+    # Arrival first; the remaining columns only make exact ties deterministic.
+    rest = [c for c in batch.columns if c not in key and c != arrival]
+    w = Window.partitionBy(*key).orderBy(F.col(arrival), *[F.col(c) for c in rest])
     first = (batch.withColumn("_rn", F.row_number().over(w))
              .where(F.col("_rn") == 1).drop("_rn"))
     return first.join(existing.select(*key).distinct(), list(key), "left_anti")
@@ -97,6 +99,10 @@ def insert_ignore(spark: SparkSession, batch: DataFrame, table: str,
     if not spark.catalog.tableExists(table):
         cols = [c for c in batch.columns if c != arrival]
         batch.limit(0).select(*cols).write.format("parquet").saveAsTable(table)
+    # Writers in other sessions (e.g. a streaming foreachBatch clone) leave
+    # this session's cached file listing stale; a stale listing would miss
+    # stored keys, so refresh before the anti-join.
+    spark.catalog.refreshTable(table)
     target = spark.table(table)
     rows = new_rows(batch, target, key, arrival).select(*target.columns)
     # Cut the lineage before the append: the plan reads the table it writes,
