@@ -58,19 +58,22 @@ def lineitem_bars(spark: SparkSession, sf_dir: str, symbol: str = "p_brand") ->
         part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", symbol)
         li = li.join(part, li["l_partkey"] == part["p_partkey"])
     price = F.col("l_extendedprice") / F.col("l_quantity")
-    k = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                 "l_extendedprice", "l_quantity")
-    return (
-        li.groupBy(F.col("l_shipdate").cast("date").alias("date"), F.col(symbol).alias("symbol"))
-        .agg(
-            F.min_by(price, k).alias("open"),
-            F.max(price).alias("high"),
-            F.min(price).alias("low"),
-            F.max_by(price, k).alias("close"),
-            F.max_by(price * (1 - F.col("l_discount")), k).alias("adj_close"),
-            F.sum("l_quantity").cast("bigint").alias("volume"),
-        )
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
+    # The line key is unique, so the smallest/largest (key, price...) struct
+    # carries the first/last line's prices: two struct aggregates serve open,
+    # close and adj_close.
+    first = F.min(F.struct(*key, price.alias("p")))
+    last = F.max(F.struct(*key, price.alias("p"), (price * (1 - F.col("l_discount"))).alias("a")))
+    daily = li.groupBy(F.col("l_shipdate").cast("date").alias("date"), F.col(symbol).alias("symbol")).agg(
+        first.alias("_first"),
+        F.max(price).alias("high"),
+        F.min(price).alias("low"),
+        last.alias("_last"),
+        F.sum("l_quantity").cast("bigint").alias("volume"),
     )
+    return daily.select("date", "symbol", F.col("_first.p").alias("open"), "high", "low",
+                        F.col("_last.p").alias("close"), F.col("_last.a").alias("adj_close"),
+                        "volume")
 
 
 def read_bars(spark: SparkSession, path: str, symbols: Iterable[str] | None = None,
