@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -104,10 +105,21 @@ def trade_pairs(tradable: DataFrame) -> DataFrame:
              CAST(array() AS array<{_ACT}>)))),
       s -> s.acts)
     """
-    per_symbol = tradable.groupBy("scenario_id", "symbol", "take_profit").agg(F.expr(fold).alias("acts"))
+    per_symbol = (_spread(tradable, "scenario_id", "symbol")
+                  .groupBy("scenario_id", "symbol", "take_profit").agg(F.expr(fold).alias("acts")))
     return per_symbol.select("scenario_id", "symbol", F.inline("acts"))
 
 
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition fold inputs by their group keys into the session's
+    shuffle-partition count. The folds are compute-heavy but small in bytes,
+    so AQE's size-based coalescing would otherwise pack every group into one
+    task; an explicit partition count is kept as is, and the following
+    groupBy on the same keys adds no Exchange."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
+
+
 def _py_floordiv(a: str, b: str) -> str:
     """Python float ``a // b`` for b > 0 (remainder-based, so 1.0 // 0.1 == 9).
 
@@ -160,7 +172,7 @@ def ledger(actions: DataFrame, scenarios: DataFrame) -> DataFrame:
              'profit_percentage', e.ret * 100))))))
     """
     params = F.broadcast(scenarios.select("scenario_id", "fee", "initial_cash"))
-    with_params = actions.join(params, "scenario_id")
+    with_params = _spread(actions.join(params, "scenario_id"), "scenario_id")
     state = with_params.groupBy("scenario_id", "fee", "initial_cash").agg(F.expr(fold).alias("st"))
     # Scenarios without any action keep their initial cash.
     return (scenarios.select("scenario_id", "initial_cash")
@@ -236,8 +248,10 @@ def run_backtest(preds: DataFrame, bars: DataFrame, scenarios: DataFrame) -> dic
     with_params = attach_scenarios(preds, scenarios)
     top = topk_signals(with_params, k="k")
     tradable = tradable_signals(top, bars)
-    actions = trade_pairs(tradable)
-    led = ledger(actions, scenarios)
+    # The action list and the per-scenario ledger are small (bounded by
+    # k x signal dates per scenario) and each is read by two consumers.
+    actions = trade_pairs(tradable).persist(StorageLevel.MEMORY_AND_DISK)
+    led = ledger(actions, scenarios).persist(StorageLevel.MEMORY_AND_DISK)
     return {
         "tradable": tradable,
         "actions": actions,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +52,12 @@ def r(c: str | Column, n: int = 6, name: str | None = None) -> Column:
 # ---------------------------------------------------------------- inputs
 
 def daily(spark: SparkSession, sf: str) -> DataFrame:
-    return lineitem_bars(spark, sf, SYMBOL_COLUMN)
+    """Daily bars from the order lines, persisted: most queries read them
+    through several differently-pruned branches (signals, trade bars, final
+    marks, the insert-ignore batch), which would otherwise each rescan and
+    re-aggregate the lines. They hold one row per symbol and day, far smaller
+    than the lines; identical plans share one cache entry."""
+    return lineitem_bars(spark, sf, SYMBOL_COLUMN).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def stocks_daily(spark: SparkSession, sf: str) -> DataFrame:
