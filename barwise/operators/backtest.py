@@ -7,19 +7,24 @@ two folds:
 1. ``trade_pairs``: per (scenario, symbol), which signals buy and which sell
    and at what return. Fully parallel; a group is one symbol's signal dates
    in one scenario (at most one row per date: bounded by the calendar).
-2. ``action_log``: per scenario, share sizing, fee-adjusted cash and the
-   logged portfolio value over the (short) action list, in signal-date,
-   symbol, buy-before-sell order. A group is one scenario's actions, at most
-   k buys per signal date: bounded by k x the calendar, not by data volume.
-
-Both folds are Spark's built-in ``aggregate`` over a sorted ``collect_list``
-(JVM side, no Python). Scenarios (take-profit x fee x k x ...) run in one job.
+2. ``ledger``: per scenario, share sizing, fee-adjusted cash and the logged
+   portfolio value over the (short) action list, in signal-date, symbol,
+   buy-before-sell order. A group is one scenario's actions, at most k buys
+   per signal date: bounded by k x the calendar, not by data volume.
+
+Everything around the folds (scenario replication, per-date top-k, the
+next-bar equi-join, last close, Sharpe, final value) is built-in relational
+work. The two folds are inherently sequential per group; they run as grouped
+maps (``applyInPandas``) so each group costs O(n) — a higher-order
+``aggregate`` that accumulates its output array is O(n^2). Scenarios
+(take-profit x fee x k x ..., or every random-search trial) run in one job.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,13 +44,6 @@ SCENARIO_SCHEMA = T.StructType([
 # Guard for the parameter grid: it is built on the driver and broadcast.
 MAX_SCENARIOS = 100_000
 
-_ACT = ("struct<signal_date:date,trade_date:date,action:string,price:double,"
-        "close:double,ret:double>")
-_LOG = ("struct<signal_date:date,trade_date:date,symbol:string,action:string,"
-        "price:double,shares:double,total_cash:double,portfolio_value:double,"
-        "profit_percentage:double>")
-
-
 def scenario_grid(spark: SparkSession, take_profit: Sequence[float] = (0.04,),
                   fee: Sequence[float] = (0.001,), k: Sequence[int] = (5,),
                   initial_cash: float = 100000.0, risk_free: float = 0.0) -> DataFrame:
@@ -78,115 +76,142 @@ def attach_scenarios(preds: DataFrame, scenarios: DataFrame) -> DataFrame:
     return preds.withColumn("_sc", F.explode(grid)).select(*preds.columns, "_sc.*")
 
 
-def trade_pairs(tradable: DataFrame) -> DataFrame:
-    """Per (scenario, symbol) fold over the tradable signal dates.
+ACTION_SCHEMA = T.StructType([
+    T.StructField("scenario_id", T.StringType()),
+    T.StructField("symbol", T.StringType()),
+    T.StructField("signal_date", T.DateType()),
+    T.StructField("trade_date", T.DateType()),
+    T.StructField("action", T.StringType()),
+    T.StructField("price", T.DoubleType()),
+    T.StructField("close", T.DoubleType()),
+    T.StructField("ret", T.DoubleType()),
+])
 
-    Flat -> buy at the next open; then, in the same step, a held position
-    whose return since purchase reaches take_profit is sold at the next open
-    (so take_profit <= 0 sells at once). Emits one row per action with the
-    trade return (0 for buys).
-    """
-    fold = f"""
-    aggregate(
-      sort_array(collect_list(struct(date, next_date, next_open, close))),
-      named_struct('holding', false, 'pp', CAST(NULL AS DOUBLE), 'acts', CAST(array() AS array<{_ACT}>)),
-      (s, e) -> named_struct(
-        'holding', NOT ((e.next_open - IF(s.holding, s.pp, e.next_open)) / IF(s.holding, s.pp, e.next_open) >= take_profit),
-        'pp', IF(s.holding, s.pp, e.next_open),
-        'acts', concat(
-          s.acts,
-          IF(s.holding, CAST(array() AS array<{_ACT}>),
-             array(named_struct('signal_date', e.date, 'trade_date', e.next_date, 'action', 'buy',
-                                'price', e.next_open, 'close', e.close, 'ret', CAST(0 AS DOUBLE)))),
-          IF((e.next_open - IF(s.holding, s.pp, e.next_open)) / IF(s.holding, s.pp, e.next_open) >= take_profit,
-             array(named_struct('signal_date', e.date, 'trade_date', e.next_date, 'action', 'sell',
-                                'price', e.next_open, 'close', e.close,
-                                'ret', (e.next_open - IF(s.holding, s.pp, e.next_open)) / IF(s.holding, s.pp, e.next_open))),
-             CAST(array() AS array<{_ACT}>)))),
-      s -> s.acts)
-    """
-    per_symbol = (_spread(tradable, "scenario_id", "symbol")
-                  .groupBy("scenario_id", "symbol", "take_profit").agg(F.expr(fold).alias("acts")))
-    return per_symbol.select("scenario_id", "symbol", F.inline("acts"))
+LOG_SCHEMA = T.StructType([
+    T.StructField("scenario_id", T.StringType()),
+    T.StructField("seq", T.LongType()),
+    T.StructField("signal_date", T.DateType()),
+    T.StructField("trade_date", T.DateType()),
+    T.StructField("symbol", T.StringType()),
+    T.StructField("action", T.StringType()),
+    T.StructField("price", T.DoubleType()),
+    T.StructField("shares", T.DoubleType()),
+    T.StructField("total_cash", T.DoubleType()),
+    T.StructField("portfolio_value", T.DoubleType()),
+    T.StructField("profit_percentage", T.DoubleType()),
+])
 
 
 def _spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition fold inputs by their group keys into the session's
     shuffle-partition count. The folds are compute-heavy but small in bytes,
     so AQE's size-based coalescing would otherwise pack every group into one
-    task; an explicit partition count is kept as is, and the following
-    groupBy on the same keys adds no Exchange."""
+    task; an explicit partition count is kept as is, and the grouping on the
+    same keys adds no Exchange."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *keys)
 
 
-def _py_floordiv(a: str, b: str) -> str:
-    """Python float ``a // b`` for b > 0 (remainder-based, so 1.0 // 0.1 == 9).
+def _trade_fold(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One (scenario, symbol): walk its tradable signal dates in order."""
+    pdf = pdf.sort_values("date", kind="mergesort")
+    tp = float(pdf["take_profit"].iloc[0])
+    out = []
+    holding, pp = False, 0.0
+    for d, nd, px, close in zip(pdf["date"], pdf["next_date"], pdf["next_open"], pdf["close"]):
+        if not holding:
+            out.append((d, nd, "buy", px, close, 0.0))
+            holding, pp = True, px
+        ret = (px - pp) / pp
+        if ret >= tp:
+            out.append((d, nd, "sell", px, close, ret))
+            holding = False
+    res = pd.DataFrame(out, columns=["signal_date", "trade_date", "action", "price", "close", "ret"])
+    res.insert(0, "symbol", pdf["symbol"].iloc[0])
+    res.insert(0, "scenario_id", pdf["scenario_id"].iloc[0])
+    return res
 
-    Kept in doubles (``floor`` would return a long and overflow once cash
-    compounds past 9.2e18). For a < 0 this truncates instead of flooring,
-    which is fine here: the result is <= 0 either way and the caller takes
-    max(1, .)."""
-    div = f"((({a}) - (({a}) % ({b}))) / ({b}))"
-    return f"({div} - {div} % 1D + IF({div} % 1D > 0.5, 1D, 0D))"
 
+def trade_pairs(tradable: DataFrame) -> DataFrame:
+    """Per (scenario, symbol) fold over the tradable signal dates.
 
-def ledger(actions: DataFrame, scenarios: DataFrame) -> DataFrame:
-    """Per-scenario fold over the actions in (signal_date, symbol,
-    buy-before-sell) order. Returns one row per scenario with the action log
-    array, the final cash and the shares still held (a symbol -> shares map).
-
-    shares = max(1, (cash / 3) // price); cash -= shares*price*(1+fee) on buy,
-    += shares*price*(1-fee) on sell. The logged portfolio value keeps the
-    reference's quirk: all held shares valued at THIS symbol's signal-date
-    close, taken after a buy and before a sell is removed.
+    Flat -> buy at the next open; then, in the same step, a held position
+    whose return since purchase reaches take_profit is sold at the next open
+    (so take_profit <= 0 sells at once). Emits one row per action with the
+    trade return (0 for buys). A sequential fold: a grouped map keeps it
+    O(n) per group (a higher-order ``aggregate`` that accumulates the output
+    array copies it at every step, O(n^2)).
+    """
+    cols = tradable.select("scenario_id", "symbol", "take_profit", "date", "next_date",
+                           "next_open", "close")
+    return (_spread(cols, "scenario_id", "symbol")
+            .groupBy("scenario_id", "symbol").applyInPandas(_trade_fold, ACTION_SCHEMA))
+
+
+def _held_value(held: dict[str, float], close: float) -> float:
+    """Held shares times ``close``, added left to right in symbol order
+    (Python 3.12's ``sum`` compensates rounding; plain addition is kept so
+    every engine gets the same bits)."""
+    acc = 0.0
+    for s in sorted(held):
+        acc += held[s] * close
+    return acc
+
+
+def _ledger_fold(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One scenario: cash, share sizing and the logged value, action by action.
+
+    Order: signal date, symbol, buy before sell. ``(cash / 3) // price`` is
+    Python float floor division, as in the reference. The logged value
+    values every held share at this symbol's signal-date close (the
+    reference's quirk), after a buy and before a sold position is removed;
+    holdings are summed in symbol order from 0.
     """
-    shares = f"greatest(1D, {_py_floordiv('s.cash / 3', 'e.price')})"
-    held_value = ("aggregate(array_sort(map_entries({held})), 0D, "
-                  "(acc, h) -> acc + h.value * e.close)")
-    buy_cash = f"s.cash - {shares} * e.price * (1 + fee)"
-    buy_held = f"map_concat(s.held, map(e.symbol, {shares}))"
-    sell_cash = "s.cash + s.held[e.symbol] * e.price * (1 - fee)"
-    fold = f"""
-    aggregate(
-      sort_array(collect_list(struct(signal_date, symbol, IF(action = 'buy', 0, 1) AS ord,
-                                     trade_date, action, price, close, ret))),
-      named_struct('cash', initial_cash, 'held', CAST(map() AS map<string,double>),
-                   'log', CAST(array() AS array<{_LOG}>)),
-      (s, e) -> IF(e.action = 'buy',
-        named_struct(
-          'cash', {buy_cash},
-          'held', {buy_held},
-          'log', concat(s.log, array(named_struct(
-             'signal_date', e.signal_date, 'trade_date', e.trade_date, 'symbol', e.symbol,
-             'action', 'buy', 'price', e.price, 'shares', {shares}, 'total_cash', {buy_cash},
-             'portfolio_value', {buy_cash} + {held_value.format(held=buy_held)},
-             'profit_percentage', 0D)))),
-        named_struct(
-          'cash', {sell_cash},
-          'held', map_filter(s.held, (k, v) -> k != e.symbol),
-          'log', concat(s.log, array(named_struct(
-             'signal_date', e.signal_date, 'trade_date', e.trade_date, 'symbol', e.symbol,
-             'action', 'sell', 'price', e.price, 'shares', s.held[e.symbol], 'total_cash', {sell_cash},
-             'portfolio_value', {sell_cash} + {held_value.format(held='s.held')},
-             'profit_percentage', e.ret * 100))))))
+    pdf = pdf.assign(_ord=(pdf["action"] != "buy").astype("int8")).sort_values(
+        ["signal_date", "symbol", "_ord"], kind="mergesort")
+    cash = float(pdf["initial_cash"].iloc[0])
+    fee = float(pdf["fee"].iloc[0])
+    held: dict[str, float] = {}
+    rows = []
+    for seq, (d, td, sym, act, px, close, ret) in enumerate(zip(
+            pdf["signal_date"], pdf["trade_date"], pdf["symbol"], pdf["action"],
+            pdf["price"], pdf["close"], pdf["ret"])):
+        if act == "buy":
+            shares = max(1.0, (cash / 3) // px)
+            cash -= shares * px * (1 + fee)
+            held[sym] = shares
+            value = cash + _held_value(held, close)
+            rows.append((seq, d, td, sym, act, px, shares, cash, value, 0.0))
+        else:
+            shares = held[sym]
+            cash += shares * px * (1 - fee)
+            value = cash + _held_value(held, close)
+            rows.append((seq, d, td, sym, act, px, shares, cash, value, ret * 100))
+            del held[sym]
+    res = pd.DataFrame(rows, columns=["seq", "signal_date", "trade_date", "symbol", "action", "price",
+                                      "shares", "total_cash", "portfolio_value", "profit_percentage"])
+    res.insert(0, "scenario_id", pdf["scenario_id"].iloc[0])
+    return res
+
+
+def ledger(actions: DataFrame, scenarios: DataFrame) -> DataFrame:
+    """The action log of every scenario (one row per action, with its
+    position ``seq``). shares = max(1, (cash / 3) // price); cash -=
+    shares*price*(1+fee) on buy, += shares*price*(1-fee) on sell.
+
+    A group is one scenario's action list: at most k buys per signal date,
+    bounded by k x the calendar, not by data volume. Scenarios run in
+    parallel tasks.
     """
     params = F.broadcast(scenarios.select("scenario_id", "fee", "initial_cash"))
-    with_params = _spread(actions.join(params, "scenario_id"), "scenario_id")
-    state = with_params.groupBy("scenario_id", "fee", "initial_cash").agg(F.expr(fold).alias("st"))
-    # Scenarios without any action keep their initial cash.
-    return (scenarios.select("scenario_id", "initial_cash")
-            .join(state.drop("fee", "initial_cash"), "scenario_id", "left")
-            .select("scenario_id",
-                    F.coalesce(F.col("st.cash"), F.col("initial_cash")).alias("cash"),
-                    F.coalesce(F.col("st.held"), F.expr("CAST(map() AS map<string,double>)")).alias("held"),
-                    F.coalesce(F.col("st.log"), F.expr(f"CAST(array() AS array<{_LOG}>)")).alias("log")))
+    acts = actions.select("scenario_id", "symbol", "signal_date", "trade_date", "action",
+                          "price", "close", "ret").join(params, "scenario_id")
+    return _spread(acts, "scenario_id").groupBy("scenario_id").applyInPandas(_ledger_fold, LOG_SCHEMA)
 
 
-def action_log(ledger_df: DataFrame) -> DataFrame:
-    """The action log, one row per action, with its position in the log."""
-    return ledger_df.select("scenario_id", F.posexplode("log").alias("seq", "a")).select(
-        "scenario_id", "seq", "a.*")
+def action_log(log: DataFrame) -> DataFrame:
+    """The action log, one row per action, in log order ``seq``."""
+    return log
 
 
 def trade_stats(actions: DataFrame) -> DataFrame:
@@ -198,21 +223,34 @@ def trade_stats(actions: DataFrame) -> DataFrame:
         F.stddev_pop("ret").alias("std_return"))
 
 
-def portfolio_summary(ledger_df: DataFrame, actions: DataFrame, bars: DataFrame,
+def final_state(log: DataFrame, scenarios: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cash after the last action (initial cash without actions) and the
+    shares still held: symbols whose last action is a buy."""
+    last = log.groupBy("scenario_id").agg(F.max_by("total_cash", "seq").alias("cash"))
+    cash = (scenarios.select("scenario_id", "initial_cash")
+            .join(last, "scenario_id", "left")
+            .select("scenario_id", F.coalesce("cash", "initial_cash").alias("cash")))
+    per_sym = log.groupBy("scenario_id", "symbol").agg(
+        F.max_by(F.struct("action", "shares"), "seq").alias("last"))
+    held = per_sym.where(F.col("last.action") == "buy").select(
+        "scenario_id", "symbol", F.col("last.shares").alias("shares"))
+    return cash, held
+
+
+def portfolio_summary(log: DataFrame, actions: DataFrame, bars: DataFrame,
                       scenarios: DataFrame) -> DataFrame:
     """Final value (cash + held shares at each symbol's last
     close over the whole price frame), net profit, ROI %, trade Sharpe
     ((mean - rf) / (population std + 1e-8), 0 without trades)."""
-    held = (ledger_df.select("scenario_id", F.explode("held").alias("symbol", "shares"))
-            .join(last_close(bars), "symbol"))
+    cash, held = final_state(log, scenarios)
+    held = held.join(last_close(bars), "symbol")
     # Sum in symbol order from 0, like the reference's Python sum.
     marks = held.groupBy("scenario_id").agg(F.expr(
         "aggregate(array_sort(collect_list(struct(symbol, shares * last_close AS v))), 0D, "
         "(acc, h) -> acc + h.v)").alias("held_value"))
     stats = trade_stats(actions)
     p = scenarios.select("scenario_id", "initial_cash", "risk_free")
-    out = (ledger_df.select("scenario_id", "cash")
-           .join(p, "scenario_id")
+    out = (cash.join(p, "scenario_id")
            .join(marks, "scenario_id", "left")
            .join(stats, "scenario_id", "left"))
     final = F.col("cash") + F.coalesce(F.col("held_value"), F.lit(0.0))
@@ -243,7 +281,7 @@ def run_backtest(preds: DataFrame, bars: DataFrame, scenarios: DataFrame) -> dic
 
     ``preds``: (date, symbol, predicted_return[, scenario_id]); ``bars``:
     daily (or weekly) bars with open/close. Returns the stages as DataFrames:
-    ``tradable``, ``actions``, ``ledger``, ``log``, ``summary``.
+    ``tradable``, ``actions``, ``log``, ``summary``.
     """
     with_params = attach_scenarios(preds, scenarios)
     top = topk_signals(with_params, k="k")
@@ -255,8 +293,7 @@ def run_backtest(preds: DataFrame, bars: DataFrame, scenarios: DataFrame) -> dic
     return {
         "tradable": tradable,
         "actions": actions,
-        "ledger": led,
-        "log": action_log(led),
+        "log": led,
         "summary": portfolio_summary(led, actions, bars, scenarios),
     }
 
