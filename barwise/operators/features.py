@@ -215,31 +215,30 @@ def cumulative_vwap(df: DataFrame, scope: str = "global") -> DataFrame:
     symbols in (symbol, date) order. A global ordered window would move every
     row to one task; instead each symbol's totals (one row per symbol) get a
     running offset over symbols, which is added to the symbol's own running
-    sums. Only the per-symbol totals pass through the single ordered window.
-    ``scope="symbol"`` is the causal, per-symbol variant.
+    sums. Only the per-symbol totals pass through the single ordered window,
+    and the offsets join back on the symbol without shuffling the bar side
+    (it is already partitioned by symbol; AQE broadcasts the offsets when
+    they are small). ``scope="symbol"`` is the causal, per-symbol variant.
     """
-    P, V = F.col("adj_close"), F.col("volume")
-    pv = F.when(P.isNotNull(), P * V)
-    run_pv = F.sum(pv).over(ts.expanding())
-    run_v = F.sum(V).over(ts.expanding())
+    pv = "CASE WHEN adj_close IS NOT NULL THEN adj_close * volume END"
+    run = df.selectExpr("*", f"sum({pv}) {_EXP} AS _run_pv", f"sum(volume) {_EXP} AS _run_v")
     if scope == "symbol":
-        vwap = ieee_div(run_pv, run_v)
-        out = df.withColumn("vwap", F.when(P.isNotNull(), vwap))
+        out = run.selectExpr(
+            "*", f"CASE WHEN adj_close IS NOT NULL THEN {div_sql('_run_pv', '_run_v')} END AS vwap")
     else:
-        base = df.select("symbol", "adj_close", "volume")
-        totals = base.groupBy("symbol").agg(
-            F.coalesce(F.sum(pv), F.lit(0.0)).alias("_tpv"),
-            F.coalesce(F.sum(V), F.lit(0)).alias("_tv"))
-        before = Window.orderBy("symbol").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = totals.select(
+        totals = df.groupBy("symbol").agg(
+            F.expr(f"coalesce(sum({pv}), 0.0D)").alias("_tpv"),
+            F.expr("coalesce(sum(volume), 0L)").alias("_tv"))
+        before = "OVER (ORDER BY symbol ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        offsets = totals.selectExpr(
             "symbol",
-            F.coalesce(F.sum("_tpv").over(before), F.lit(0.0)).alias("_opv"),
-            F.coalesce(F.sum("_tv").over(before), F.lit(0)).alias("_ov"))
-        out = (df.join(offsets, "symbol")
-               .withColumn("vwap", F.when(P.isNotNull(), ieee_div(F.col("_opv") + run_pv,
-                                                                 F.col("_ov") + run_v)))
-               .drop("_opv", "_ov"))
-    return out.withColumn("vwap_distance", P - F.col("vwap"))
+            f"coalesce(sum(_tpv) {before}, 0.0D) AS _opv",
+            f"coalesce(sum(_tv) {before}, 0L) AS _ov")
+        out = run.join(offsets, "symbol").selectExpr(
+            "*", "_opv + _run_pv AS _num", "_ov + _run_v AS _den").selectExpr(
+            "*", f"CASE WHEN adj_close IS NOT NULL THEN {div_sql('_num', '_den')} END AS vwap")
+    out = out.selectExpr("*", "adj_close - vwap AS vwap_distance")
+    return out.drop(*[c for c in out.columns if c.startswith("_")])
 
 
 def add_features(weekly: DataFrame, vwap_scope: str = "global",

@@ -35,7 +35,11 @@ def weekly_aggregate(bars: DataFrame, week_end_day: str = "FRI", key: str = "sym
     volume = sum (0 when the week has no volume).
     """
     if cluster:
-        bars = bars.repartition(key)
+        # An explicit partition count: the weekly rows are few bytes but carry
+        # the heavy window/EMA chain, which AQE's size-based coalescing would
+        # otherwise squeeze into a handful of tasks.
+        n = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        bars = bars.repartition(n, key)
     d = F.col("date")
 
     def valid_date(c: str) -> Column:
@@ -59,20 +63,16 @@ def fill_week_gaps(weekly: DataFrame, key: str = "symbol") -> DataFrame:
     (``lead`` + ``sequence`` + ``explode``), so the grid is generated
     inside the symbol partitioning: no join, no union, no extra shuffle.
     """
-    weekly = weekly.withColumn("_next", F.lead("date").over(series(key)))
-    nxt = F.col("_next")
-    gaps = F.when(
-        nxt > F.date_add("date", 7),
-        F.sequence(F.date_add("date", 7), F.date_sub(nxt, 7), F.expr("INTERVAL 7 DAYS")),
-    ).otherwise(F.array().cast("array<date>"))
-    exploded = weekly.withColumn("_wk", F.explode(F.concat(F.array("date"), gaps)))
-    real = F.col("_wk") == F.col("date")
-    return exploded.select(
-        F.col(key),
-        F.col("_wk").alias("date"),
-        *[F.when(real, F.col(c)).alias(c) for c in PRICES],
-        F.when(real, F.col("volume")).otherwise(F.lit(0)).cast("bigint").alias("volume"),
-    )
+    nxt = weekly.selectExpr("*", f"lead(date) OVER (PARTITION BY {key} ORDER BY date) AS _next")
+    exploded = nxt.selectExpr(
+        "*",
+        "explode(concat(array(date), CASE WHEN _next > date_add(date, 7) "
+        "THEN sequence(date_add(date, 7), date_sub(_next, 7), INTERVAL 7 DAYS) "
+        "ELSE CAST(array() AS array<date>) END)) AS _wk")
+    return exploded.selectExpr(
+        key, "_wk AS date",
+        *[f"CASE WHEN _wk = date THEN {c} END AS {c}" for c in PRICES],
+        "CAST(CASE WHEN _wk = date THEN volume ELSE 0 END AS BIGINT) AS volume")
 
 
 def resample_ohlcv(bars: DataFrame, week_end_day: str = "FRI", key: str = "symbol",
