@@ -298,6 +298,11 @@ def run_backtest(preds: DataFrame, bars: DataFrame, scenarios: DataFrame) -> dic
     }
 
 
+def scenario_sweep(signals: DataFrame, bars: DataFrame, scenarios: DataFrame) -> DataFrame:
+    """M7: one summary row per scenario, all scenarios in one job."""
+    return run_backtest(signals, bars, scenarios)["summary"]
+
+
 def best_scenario(summary: DataFrame, metric: str = "roi",
                   group: Sequence[str] = ()) -> DataFrame:
     """Per group, the scenario with the highest metric (ties: the

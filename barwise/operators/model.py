@@ -47,7 +47,7 @@ def finite(c: str) -> Column:
 
 def model_frame(df: DataFrame, features: Sequence[str] = MODEL_FEATURES) -> DataFrame:
     """Feature columns made finite, keys and label kept."""
-    keep = [c for c in ("symbol", "date", "period", LABEL, "weekly_return", "open")
+    keep = [c for c in ("symbol", "date", "period", LABEL, "weekly_return", "open", "adj_close")
             if c in df.columns and c not in features]
     return df.select(*keep, *[finite(c) for c in features])
 
@@ -67,12 +67,20 @@ def _estimator(profile: str, params: dict, features_col: str, pred_col: str):
 
 
 def fit_base(df: DataFrame, profile: str, features: Sequence[str], params: dict,
-             name: str) -> PipelineModel:
+             name: str, validation_col: str | None = None,
+             validation_tol: float = 0.01) -> PipelineModel:
     """M2-M4: one base learner on a feature subset (P16); the assembler stage
-    stores the subset with the model (S12)."""
+    stores the subset with the model (S12).
+
+    M5: with ``validation_col`` (a boolean column marking the early-stopping
+    rows, e.g. the test period) boosting stops once the validation error no
+    longer improves by ``validation_tol`` — MLlib's rule, not a patience
+    count."""
     vec = f"{name}_features"
     assembler = VectorAssembler(inputCols=list(features), outputCol=vec, handleInvalid="error")
     est = _estimator(profile, params, vec, name)
+    if validation_col is not None:
+        est = est.setValidationIndicatorCol(validation_col).setParams(validationTol=validation_tol)
     return Pipeline(stages=[assembler, est]).fit(df)
 
 
@@ -140,12 +148,21 @@ def sample_trials(profiles: Sequence[str], metrics: Sequence[str], n_trials: int
 
 
 def random_search(train: DataFrame, test: DataFrame, trials: list[dict],
-                  parallelism: int = 4) -> DataFrame:
+                  parallelism: int = 4, early_stopping: bool = True) -> DataFrame:
     """M6: fit every trial on ``train`` (a bounded pool of concurrent Spark
     jobs) and score ``test``; returns the union of all trials' signals with
-    ``scenario_id = trial_id``, ready for one multi-scenario backtest."""
+    ``scenario_id = trial_id``, ready for one multi-scenario backtest.
+    With ``early_stopping`` the test rows serve as the validation set (M5),
+    as in the reference's search."""
+    fit_df, val = train, None
+    if early_stopping:
+        fit_df = (train.withColumn("_is_val", F.lit(False))
+                  .unionByName(test.withColumn("_is_val", F.lit(True))))
+        val = "_is_val"
+
     def fit_one(trial):
-        m = fit_base(train, trial["profile"], trial["features"], trial["params"], "pred")
+        m = fit_base(fit_df, trial["profile"], trial["features"], trial["params"], "pred",
+                     validation_col=val)
         scored = m.transform(test)
         return signals_from(scored, "pred", trial["trial_id"])
 
@@ -157,6 +174,48 @@ def random_search(train: DataFrame, test: DataFrame, trials: list[dict],
     return out
 
 
+def refit_best(train: DataFrame, test: DataFrame, trials: list[dict], best: DataFrame,
+               bars: DataFrame) -> dict[str, DataFrame]:
+    """M8: refit each selected trial (``best``: scenario_id = trial_id), then
+    report RMSE/MAE on ``test`` and backtest its test signals on ``bars``
+    (the reference prices this step on the weekly frame). Returns
+    ``metrics`` and ``summary`` DataFrames keyed by trial."""
+    from barwise.operators import backtest as bt
+    chosen = {r.scenario_id for r in best.select("scenario_id").distinct().collect()}
+    picked = [t for t in trials if t["trial_id"] in chosen]
+    scored, sigs = [], []
+    for t in picked:
+        m = fit_base(train, t["profile"], t["features"], t["params"], "pred")
+        out = m.transform(test).select("symbol", "date", LABEL, "pred",
+                                       F.lit(t["trial_id"]).alias("scenario_id"))
+        scored.append(out)
+        sigs.append(signals_from(out, "pred", t["trial_id"]))
+    union = scored[0]
+    for f in scored[1:]:
+        union = union.unionByName(f)
+    sig = sigs[0]
+    for f in sigs[1:]:
+        sig = sig.unionByName(f)
+    grid = train.sparkSession.createDataFrame(
+        [(t["trial_id"], 5, 0.04, 0.001, 100000.0, 0.0) for t in picked], bt.SCENARIO_SCHEMA)
+    return {"metrics": regression_metrics(union, LABEL, "pred", by=["scenario_id"]),
+            "summary": bt.run_backtest(sig, bars, grid)["summary"]}
+
+
+def score_and_store(spark, frame: DataFrame, models: dict[str, PipelineModel],
+                    stack: PipelineModel, table: str, period: str = "prediction") -> DataFrame:
+    """Score one period with the base models and the stacker and append
+    the predictions (date, symbol, predicted_return, return, open, adj_close)
+    with insert-ignore on (date, symbol). ``return`` is the signal week's
+    own return, as in the reference."""
+    from barwise.sources.tables import PREDICTIONS_DDL, create_table, insert_ignore
+    rows = stack.transform(score(frame.where(F.col("period") == period), models))
+    out = rows.select("date", "symbol", "predicted_return", F.col("weekly_return").alias("return"),
+                      "open", "adj_close", F.lit(0).alias("arrival"))
+    create_table(spark, table, PREDICTIONS_DDL)
+    return insert_ignore(spark, out, table)
+
+
 def save_models(models: dict[str, PipelineModel], path: str) -> None:
     """Persist each model (with its assembler = feature list)."""
     for name, m in models.items():

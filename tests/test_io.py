@@ -70,3 +70,26 @@ def test_model_save_load_roundtrip(spark, tmp_path):
     assert a == b
     rm = ml.regression_metrics(m.transform(df), "next_weekly_return", "p").first()
     assert rm.n == 60 and rm.rmse >= rm.mae >= 0
+
+
+def test_score_and_store_and_early_stopping(spark):
+    import datetime as dt
+    from barwise.operators import model as ml
+    rows = []
+    for i in range(80):
+        d = dt.date(2000, 1, 7) + dt.timedelta(days=7 * i)
+        period = "train" if i < 50 else ("test" if i < 65 else "prediction")
+        rows.append(("S%d" % (i % 3), d, period, float(i % 5), float(i % 7), float(i) * 0.01,
+                     float(i % 4) * 0.01, 10.0 + i, 10.5 + i))
+    df = spark.createDataFrame(rows, "symbol string, date date, period string, a double, b double, "
+                                     "next_weekly_return double, weekly_return double, open double, adj_close double")
+    tv = df.where("period in ('train', 'test')").withColumn("is_val", F.col("period") == "test")
+    m = ml.fit_base(tv, "catboost", ["a", "b"], {"maxIter": 20, "maxDepth": 2}, "cb", validation_col="is_val")
+    assert m.stages[-1].getNumTrees <= 20
+    models = {"cb": m}
+    stack = ml.fit_stack(ml.score(df.where("period = 'train'"), models), ["cb"], trees=5, depth=2)
+    spark.sql("DROP TABLE IF EXISTS bw_preds")
+    added = ml.score_and_store(spark, df, models, stack, "bw_preds")
+    assert added.count() == 15
+    assert ml.score_and_store(spark, df, models, stack, "bw_preds").count() == 0
+    assert spark.table("bw_preds").columns == ["date", "symbol", "predicted_return", "return", "open", "adj_close"]
