@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barwise.session import task_partitions
 from barwise.operators.signals import last_close, topk_signals, tradable_signals
 
 SCENARIO_SCHEMA = T.StructType([
@@ -108,8 +109,7 @@ def _spread(df: DataFrame, *keys: str) -> DataFrame:
     so AQE's size-based coalescing would otherwise pack every group into one
     task; an explicit partition count is kept as is, and the grouping on the
     same keys adds no Exchange."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys)
+    return df.repartition(task_partitions(df.sparkSession), *keys)
 
 
 def _trade_fold(pdf: pd.DataFrame) -> pd.DataFrame:

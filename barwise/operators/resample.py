@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barwise.functions.ts import series
+from barwise.session import task_partitions
 
 WEEKDAY = {"MON": 0, "TUE": 1, "WED": 2, "THU": 3, "FRI": 4, "SAT": 5, "SUN": 6}
 PRICES = ["open", "high", "low", "close", "adj_close"]
@@ -38,8 +39,7 @@ def weekly_aggregate(bars: DataFrame, week_end_day: str = "FRI", key: str = "sym
         # An explicit partition count: the weekly rows are few bytes but carry
         # the heavy window/EMA chain, which AQE's size-based coalescing would
         # otherwise squeeze into a handful of tasks.
-        n = int(bars.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        bars = bars.repartition(n, key)
+        bars = bars.repartition(task_partitions(bars.sparkSession), key)
     d = F.col("date")
 
     def valid_date(c: str) -> Column:
