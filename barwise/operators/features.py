@@ -84,7 +84,7 @@ def _gated(n: int, x: str, agg: str) -> str:
     return f"CASE WHEN count({x}) {_rows(n)} >= {n} THEN {agg}({x}) {_rows(n)} END"
 
 
-def add_window_features(df: DataFrame) -> DataFrame:
+def add_window_features(df: DataFrame, causal: bool = False) -> DataFrame:
     """F1-F10, F19-F24, F27-F69 (everything but the EMAs and VWAP).
 
     Built as a few stages in which every window result is a named column and
@@ -93,6 +93,9 @@ def add_window_features(df: DataFrame) -> DataFrame:
     once. All stages share one window spec, so Catalyst plans a single Sort
     and no Exchange beyond the input's.
     """
+    # causal=True: the whole-history constants F1, F2, F4, F51
+    # use the history up to each row instead of the symbol's full history.
+    hist = _EXP if causal else _ALL
     n4 = 4
     skew_c = (n4 * (n4 - 1)) ** 0.5 / (n4 - 2)
     kurt_a = (n4 + 1) * (n4 - 1) / ((n4 - 2) * (n4 - 3))
@@ -104,10 +107,10 @@ def add_window_features(df: DataFrame) -> DataFrame:
         f"lag(open) {_over()} AS _lag_open",
         f"lag(volume) {_over()} AS _lag_v",
         f"last(adj_close, true) {_EXP} AS _ffp",
-        f"first(open, true) {_ALL} AS _first_open",
-        f"last(adj_close, true) {_ALL} AS _last_p",
-        f"max(high) {_ALL} AS _max_high",
-        f"min(low) {_ALL} AS _min_low",
+        f"first(open, true) {hist} AS _first_open",
+        f"last(adj_close, true) {hist} AS _last_p",
+        f"max(high) {hist} AS _max_high",
+        f"min(low) {hist} AS _min_low",
         f"avg(volume) {_rows(4)} AS volume_ma",
         f"{_gated(14, 'adj_close', 'min')} AS low14",
         f"{_gated(14, 'adj_close', 'max')} AS high14",
@@ -242,7 +245,7 @@ def cumulative_vwap(df: DataFrame, scope: str = "global") -> DataFrame:
 
 
 def add_features(weekly: DataFrame, vwap_scope: str = "global",
-                 materialize: bool = True) -> DataFrame:
+                 materialize: bool = True, causal: bool = False) -> DataFrame:
     """F1-F69 over weekly bars (one row per symbol and week).
 
     The global VWAP needs the weekly bars twice (per-symbol totals and the
@@ -253,11 +256,14 @@ def add_features(weekly: DataFrame, vwap_scope: str = "global",
     from lineage) so the upstream runs once. A cached plan keeps its
     hash-by-symbol partitioning, so the windows, the per-symbol totals and
     the EMA grouped map (run last, on the sorted partitions) add no Exchange
-    over the weekly rows.
+    over the weekly rows. ``causal=True`` replaces the look-ahead features
+    (whole-history constants, the all-symbol VWAP) by causal ones.
     """
+    if causal:  # SURVEY X1: no look-ahead anywhere
+        vwap_scope = "symbol"
     if materialize and vwap_scope == "global":
         weekly = weekly.persist(StorageLevel.MEMORY_AND_DISK)
-    df = add_window_features(weekly)
+    df = add_window_features(weekly, causal)
     df = cumulative_vwap(df, vwap_scope)
     return add_ema_features(df)
 

@@ -14,9 +14,16 @@ DEFAULT_BOUNDS = ("1995-06-01", "1999-01-01", "2000-01-01", "2001-01-01")
 PERIODS = ("train", "test", "validation", "prediction")
 
 
-def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
-    """Drop rows with any NULL or NaN (infinities are kept)."""
-    return df.na.drop(how="any", subset=list(subset) if subset else None)
+def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None,
+                    keep_unlabelled: bool = False) -> DataFrame:
+    """Drop rows with any NULL or NaN (infinities are kept).
+
+    ``keep_unlabelled=True`` (SURVEY X1) ignores the label column, so the
+    newest week, whose next-week return is unknown, can still be scored."""
+    cols = list(subset) if subset else df.columns
+    if keep_unlabelled:
+        cols = [c for c in cols if c != "next_weekly_return"]
+    return df.na.drop(how="any", subset=cols)
 
 
 def period_of(date: Column, bounds: Sequence[str] = DEFAULT_BOUNDS) -> Column:

@@ -151,3 +151,30 @@ def test_insert_ignore_first_arrival_wins(spark):
     # a second run against the grown table adds nothing
     grown = existing.unionByName(new_rows(batch, existing).select("date", "symbol"))
     assert new_rows(batch, grown).count() == 0
+
+
+def test_causal_features_ignore_the_future(spark):
+    """causal=True: altering a later bar leaves earlier rows unchanged (the
+    default keeps the reference's look-ahead constants, which do change)."""
+    from barwise.operators.features import add_features
+    rows = []
+    for i in range(30):
+        p = 10.0 + (i % 5) + i * 0.1
+        rows.append(("a", dt.date(2024, 1, 5) + dt.timedelta(days=7 * i), p, p + 1, p - 1, p, p, 100 + i))
+    schema = "symbol string, date date, open double, high double, low double, close double, adj_close double, volume bigint"
+    base = spark.createDataFrame(rows, schema)
+    bumped = spark.createDataFrame(rows[:-1] + [rows[-1][:3] + (999.0,) + rows[-1][4:]], schema)
+    cols = ["range", "weekly_price_diff", "volatility", "vwap", "rsi_2w", "ema12"]
+
+    def head(df, causal):
+        out = add_features(df, causal=causal).orderBy("date").select(*cols).collect()
+        return out[:20]
+    assert head(base, True) == head(bumped, True)
+    assert head(base, False) != head(bumped, False)
+
+
+def test_keep_unlabelled(spark):
+    from barwise.operators.split import drop_incomplete
+    df = spark.createDataFrame([(1.0, None), (1.0, 2.0), (None, 2.0)], "x double, next_weekly_return double")
+    assert drop_incomplete(df).count() == 1
+    assert drop_incomplete(df, keep_unlabelled=True).count() == 2
