@@ -284,7 +284,8 @@ def run_backtest(preds: DataFrame, bars: DataFrame, scenarios: DataFrame) -> dic
     ``tradable``, ``actions``, ``log``, ``summary``.
     """
     with_params = attach_scenarios(preds, scenarios)
-    top = topk_signals(with_params, k="k")
+    k_max = scenarios.agg(F.max("k")).first()[0]  # the grid is a small driver-built list
+    top = topk_signals(with_params, k="k", k_max=k_max)
     tradable = tradable_signals(top, bars)
     # The action list and the per-scenario ledger are small (bounded by
     # k x signal dates per scenario) and each is read by two consumers.
@@ -311,6 +312,7 @@ def best_scenario(summary: DataFrame, metric: str = "roi",
     g = list(group) or ["_all"]
     s = summary if group else summary.withColumn("_all", F.lit(0))
     best = s.groupBy(*g).agg(F.max(metric).alias("_best"))
+    # ``best`` has one row per group, at most one per scenario of the bounded grid.
     hits = s.join(F.broadcast(best), g).where(F.col(metric) == F.col("_best"))
     out = hits.groupBy(*g).agg(F.min("scenario_id").alias("scenario_id"),
                                F.first("_best").alias("metric"))

@@ -64,3 +64,15 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "PushedFilters" in p and "In(symbol" in p and "GreaterThanOrEqual(date" in p, p
     assert re.search(r"ReadSchema: struct<date:date,symbol:string,adj_close:double>", p), p
     assert df.count() > 0
+
+
+def test_per_scenario_topk_uses_group_limit(spark):
+    """With a per-scenario k, the grid's largest k still bounds the window
+    (partial top-k before the shuffle, final after)."""
+    import datetime as dt
+    from barwise.operators.signals import topk_signals
+    rows = [("s1", 3, dt.date(2024, 1, 5), f"S{i}", float(i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "scenario_id string, k int, date date, symbol string, predicted_return double")
+    top = topk_signals(df, k="k", k_max=3)
+    assert plan(top).count("WindowGroupLimit") == 2
+    assert [r.symbol for r in top.orderBy("rank").collect()] == ["S19", "S18", "S17"]
