@@ -40,11 +40,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) do we create one under
-    the system temp folder; a cluster must supply a shared path.
+    Only when the session names none on a local master (tests) do we create
+    one under the system temp folder; on a cluster a missing setting is an
+    error, never a machine-local folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         path = tempfile.mkdtemp(prefix="barwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

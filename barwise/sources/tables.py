@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from barwise.session import checkpoint_dir
+
 BAR_KEY = ("date", "symbol")
 
 BARS_DDL = """
@@ -96,6 +98,7 @@ def insert_ignore(spark: SparkSession, batch: DataFrame, table: str,
     first; the anti-join reads the stored keys, so a re-run appends nothing.
     Returns the appended rows (read back lazily from the batch plan).
     """
+    checkpoint_dir(spark)
     if not spark.catalog.tableExists(table):
         cols = [c for c in batch.columns if c != arrival]
         batch.limit(0).select(*cols).write.format("parquet").saveAsTable(table)
