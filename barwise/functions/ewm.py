@@ -59,7 +59,11 @@ def add_emas(df: DataFrame, specs: list[tuple[str, str, float]],
     out_schema = T.StructType(out_fields)
 
     def per_symbol(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="mergesort").reset_index(drop=True)
+        # Rows usually arrive in date order (the window chain sorted them);
+        # sorting copies every column, so only sort when needed.
+        if not pdf[order].is_monotonic_increasing:
+            pdf = pdf.sort_values(order, kind="mergesort")
+        pdf = pdf.reset_index(drop=True)
         cols: dict[str, np.ndarray] = {}
         for name, source, span in specs:
             if "-" in source:
@@ -68,8 +72,6 @@ def add_emas(df: DataFrame, specs: list[tuple[str, str, float]],
             else:
                 x = pdf[source].to_numpy(dtype="float64", na_value=np.nan)
             cols[name] = ema_values(x, span)
-        for name, arr in cols.items():
-            pdf[name] = arr
-        return pdf
+        return pdf.assign(**cols)
 
     return df.groupBy(key).applyInPandas(per_symbol, schema=out_schema)
