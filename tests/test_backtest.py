@@ -118,3 +118,19 @@ def test_scenarios_share_one_job(spark):
         for k in (1, 2):
             _, alone = run(spark, bars, preds, take_profit=tp, cash=1000.0, k=k)
             assert math.isclose(together[f"k{k}_tp{tp}_fee0.001"], alone["final_portfolio_value"])
+
+
+def test_mark_each_values_every_holding_at_its_own_close(spark):
+    bars = [("A", D[0], 10.0, 10.5), ("A", D[1], 10.0, 11.0), ("A", D[2], 11.0, 11.0),
+            ("A", D[3], 12.0, 12.0), ("B", D[0], 50.0, 50.0), ("B", D[1], 50.0, 51.0),
+            ("B", D[3], 49.0, 48.0)]
+    tops = {D[0]: "AB", D[1]: "B", D[2]: "AB", D[3]: "A"}
+    preds = [(d, s, 1.0) for d, syms in tops.items() for s in syms]
+    grid = bt.scenario_grid(spark, initial_cash=1000.0)
+    res = bt.run_backtest(spark.createDataFrame(preds, PRED_SCHEMA),
+                          spark.createDataFrame(bars, BAR_SCHEMA), grid, mark="each")
+    got = [round(r.portfolio_value, 6) for r in res["log"].orderBy("seq").collect()]
+    # d1 buy A: 669.67 + 33*10.5; d1 buy B: 469.47 + 33*10.5 + 4*50;
+    # d3 sell A: 865.074 + 33*11 (A, before removal) + 4*51 (B's last close on or before d3)
+    assert got == [round(669.67 + 33 * 10.5, 6), round(469.47 + 33 * 10.5 + 4 * 50, 6),
+                   round(865.074 + 33 * 11 + 4 * 51, 6)]
