@@ -211,15 +211,46 @@ def add_ema_features(df: DataFrame) -> DataFrame:
             .withColumn("macd_diff", F.col("macd_short") - F.col("macd_long")))
 
 
+MAX_SYMBOL_BUCKETS = 1024
+
+
+def symbol_prefix(totals: DataFrame, cols: dict[str, str],
+                  buckets: int = MAX_SYMBOL_BUCKETS, seed: int = 42) -> DataFrame:
+    """Exclusive prefix sums over symbols in symbol order: for each symbol,
+    the sum of ``cols`` (input -> output name) over all smaller symbols.
+
+    Two levels, so no task sees every symbol: up to ``buckets`` random symbols
+    become range boundaries (one small bounded job; collected once, then
+    literals in the plan), each symbol gets the bucket of its range, the
+    ordered pass runs over the bucket totals only (at most ``buckets`` + 1
+    rows), and the within-bucket prefix is a window per bucket.
+    """
+    bounds = sorted(r[0] for r in totals.select("symbol")
+                    .orderBy(F.rand(seed)).limit(buckets).collect())
+    arr = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<string>")
+    tb = totals.withColumn("_bucket", F.size(F.filter(arr, lambda b: b <= F.col("symbol"))))
+    sums = {c: f"_b{c}" for c in cols}
+    per_bucket = tb.groupBy("_bucket").agg(*[F.sum(c).alias(sums[c]) for c in cols])
+    before_b = "OVER (ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    bucket_off = per_bucket.selectExpr(
+        "_bucket", *[f"coalesce(sum({sums[c]}) {before_b}, 0) AS _bo{c}" for c in cols])
+    before_s = ("OVER (PARTITION BY _bucket ORDER BY symbol "
+                "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+    within = tb.selectExpr("symbol", "_bucket",
+                           *[f"coalesce(sum({c}) {before_s}, 0) AS _wo{c}" for c in cols])
+    return within.join(F.broadcast(bucket_off), "_bucket").selectExpr(
+        "symbol", *[f"_bo{c} + _wo{c} AS {out}" for c, out in cols.items()])
+
+
 def cumulative_vwap(df: DataFrame, scope: str = "global") -> DataFrame:
     """running sum(p*v) / sum(v).
 
     ``scope="global"`` reproduces the reference: ONE running sum over all
     symbols in (symbol, date) order. A global ordered window would move every
     row to one task; instead each symbol's totals (one row per symbol) get a
-    running offset over symbols, which is added to the symbol's own running
-    sums. Only the per-symbol totals pass through the single ordered window,
-    and the offsets join back on the symbol without shuffling the bar side
+    running offset over symbols (``symbol_prefix``: an ordered pass over at
+    most 1,025 bucket totals plus per-bucket windows), which is added to the
+    symbol's own running sums. The offsets join back on the symbol without shuffling the bar side
     (it is already partitioned by symbol; AQE broadcasts the offsets when
     they are small). ``scope="symbol"`` is the causal, per-symbol variant.
     """
@@ -232,11 +263,7 @@ def cumulative_vwap(df: DataFrame, scope: str = "global") -> DataFrame:
         totals = df.groupBy("symbol").agg(
             F.expr(f"coalesce(sum({pv}), 0.0D)").alias("_tpv"),
             F.expr("coalesce(sum(volume), 0L)").alias("_tv"))
-        before = "OVER (ORDER BY symbol ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-        offsets = totals.selectExpr(
-            "symbol",
-            f"coalesce(sum(_tpv) {before}, 0.0D) AS _opv",
-            f"coalesce(sum(_tv) {before}, 0L) AS _ov")
+        offsets = symbol_prefix(totals, {"_tpv": "_opv", "_tv": "_ov"})
         out = run.join(offsets, "symbol").selectExpr(
             "*", "_opv + _run_pv AS _num", "_ov + _run_v AS _den").selectExpr(
             "*", f"CASE WHEN adj_close IS NOT NULL THEN {div_sql('_num', '_den')} END AS vwap")

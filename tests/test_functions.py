@@ -178,3 +178,20 @@ def test_keep_unlabelled(spark):
     df = spark.createDataFrame([(1.0, None), (1.0, 2.0), (None, 2.0)], "x double, next_weekly_return double")
     assert drop_incomplete(df).count() == 1
     assert drop_incomplete(df, keep_unlabelled=True).count() == 2
+
+
+def test_symbol_prefix_two_level(spark):
+    """Exclusive prefix over symbols equals the direct sum, whatever the
+    number of buckets."""
+    from barwise.operators.features import symbol_prefix
+    rows = [(f"S{i:03d}", float(i), i) for i in range(200)]
+    totals = spark.createDataFrame(rows, "symbol string, a double, b bigint")
+    want = {}
+    acc_a = acc_b = 0
+    for sym, a, b in sorted(rows):
+        want[sym] = (acc_a, acc_b)
+        acc_a += a
+        acc_b += b
+    for nb in (1, 7, 1024):
+        got = {r.symbol: (r.pa, r.pb) for r in symbol_prefix(totals, {"a": "pa", "b": "pb"}, nb).collect()}
+        assert got == want
