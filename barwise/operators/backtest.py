@@ -44,6 +44,9 @@ SCENARIO_SCHEMA = T.StructType([
 
 # Guard for the parameter grid: it is built on the driver and broadcast.
 MAX_SCENARIOS = 100_000
+# Shared predictions are replicated per scenario through a literal array in
+# the plan; keep that array small.
+MAX_SHARED_SCENARIOS = 10_000
 
 def scenario_grid(spark: SparkSession, take_profit: Sequence[float] = (0.04,),
                   fee: Sequence[float] = (0.001,), k: Sequence[int] = (5,),
@@ -68,9 +71,10 @@ def attach_scenarios(preds: DataFrame, scenarios: DataFrame) -> DataFrame:
     """
     if "scenario_id" in preds.columns:
         return preds.join(F.broadcast(scenarios), "scenario_id")
-    rows = scenarios.limit(MAX_SCENARIOS + 1).collect()
-    if len(rows) > MAX_SCENARIOS:
-        raise ValueError(f"more than {MAX_SCENARIOS} scenarios")
+    rows = scenarios.limit(MAX_SHARED_SCENARIOS + 1).collect()
+    if len(rows) > MAX_SHARED_SCENARIOS:
+        raise ValueError(f"more than {MAX_SHARED_SCENARIOS} scenarios share one prediction set; "
+                         "give the predictions a scenario_id instead")
     fields = scenarios.schema.fieldNames()
     grid = F.array(*[F.struct(*[F.lit(r[f]).cast(scenarios.schema[f].dataType).alias(f)
                                 for f in fields]) for r in rows])
