@@ -134,3 +134,11 @@ def test_mark_each_values_every_holding_at_its_own_close(spark):
     # d3 sell A: 865.074 + 33*11 (A, before removal) + 4*51 (B's last close on or before d3)
     assert got == [round(669.67 + 33 * 10.5, 6), round(469.47 + 33 * 10.5 + 4 * 50, 6),
                    round(865.074 + 33 * 11 + 4 * 51, 6)]
+
+
+def test_close_asof_backward(spark):
+    bars = spark.createDataFrame([("A", D[1], 1.0, 10.0), ("A", D[3], 1.0, 12.0)], BAR_SCHEMA)
+    points = spark.createDataFrame([("A", D[0]), ("A", D[1]), ("A", D[2]), ("A", D[4])],
+                                   "symbol string, date date")
+    got = {r.date: r.asof_close for r in bt.close_asof(points, bars).collect()}
+    assert got == {D[0]: None, D[1]: 10.0, D[2]: 10.0, D[4]: 12.0}
