@@ -9,7 +9,6 @@ derivation.
 
 from __future__ import annotations
 
-from barwise.operators import backtest as bt
 from barwise.operators.features import EMA_SPECS, MODEL_FEATURES
 from barwise.plans import catalog as cat
 
