@@ -1,7 +1,8 @@
 """Quality scores by supervised subword embeddings.
 
 A word's features are itself and its character n-grams, each hashed to a
-learned vector; a document is the average over all its features, and a softmax
+learned vector; one more vector stands for a word that repeats the one before
+it. A document is the average over all its features, and a softmax
 gives the probability of label 1. Vectors and output layer are trained
 together by stochastic gradient descent in numpy.
 
@@ -14,6 +15,7 @@ labels trains with each. Extra columns and clashing names are ignored.
 
 from __future__ import annotations
 
+import operator
 import zlib
 from dataclasses import dataclass
 
@@ -36,6 +38,14 @@ EPOCHS, RATE = 4, 0.5
 REMEMBERED = 400_000
 
 
+#: The bucket of a word that repeats the one before it, and how often it counts.
+REPEAT, REPEAT_TIMES = BUCKETS, 10
+
+
+def repeats(words: list[bytes]) -> int:
+    return sum(map(operator.eq, words, words[1:]))
+
+
 def features(word: bytes) -> list[int]:
     """Buckets of a word and of its n-grams, with marks at both ends."""
     marked = b"<" + word[:64] + b">"
@@ -68,9 +78,9 @@ class Words(dict):
         return value
 
 
-def train(texts: list[list[bytes]], labels: list[int], seed: int = 11) -> Model:
+def train(texts: list[list[bytes]], labels: list[int], prior: float | None = None, seed: int = 11) -> Model:
     rng = np.random.default_rng(seed)
-    vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
+    vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS + 1, DIM)).astype(np.float32)
     out, bias = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)
     known: dict[bytes, np.ndarray] = {}
     y = np.array(labels)
@@ -89,6 +99,7 @@ def train(texts: list[list[bytes]], labels: list[int], seed: int = 11) -> Model:
             if (f := known.get(w)) is None:
                 f = known[w] = np.array(features(w))
             ids.append(f)
+        ids.append(np.full(REPEAT_TIMES * repeats(words[at:at + n]), REPEAT))
         ids = np.concatenate(ids)
         h = vectors[ids].mean(0)
         z = h @ out + bias
@@ -99,7 +110,9 @@ def train(texts: list[list[bytes]], labels: list[int], seed: int = 11) -> Model:
         np.add.at(vectors, ids, (-rate / len(ids)) * (out @ p))
         out -= rate * np.outer(h, p)
         bias -= 0.1 * rate * p
-    return Model(vectors @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0]))
+    # the steps saw both labels equally often; the bias takes their real odds
+    odds = np.log(len(by[1]) / len(by[0])) if len(by[0]) and len(by[1]) and prior is None else prior or 0.0
+    return Model(vectors @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0] + odds))
 
 
 def fit(docs: DataFrame, labels: DataFrame, fold: int = 4, held_out: int = 2) -> Model | None:
@@ -120,7 +133,8 @@ def fit(docs: DataFrame, labels: DataFrame, fold: int = 4, held_out: int = 2) ->
     for r in got:
         words.append(text_words(r["text"]))
         y.append(r["quality"])
-    return train(words, y) if y else None
+    prior = float(np.log(counts[1] / counts[0])) if len(counts) == 2 else None
+    return train(words, y, prior) if y else None
 
 
 def score(docs: DataFrame, model: Model | None, threshold: float = 0.7) -> DataFrame:
@@ -132,8 +146,13 @@ def score(docs: DataFrame, model: Model | None, threshold: float = 0.7) -> DataF
 
     def run(batches):
         words = model.scorer()
+        repeated = REPEAT_TIMES * complex(float(model.margins[REPEAT]), 1)
         for batch in batches:
-            total = np.array([sum(map(words.__getitem__, text_words(t)), 0j) for t in strings(batch.column(1))], complex)
+            total = []
+            for t in strings(batch.column(1)):
+                w = text_words(t)
+                total.append(sum(map(words.__getitem__, w), 0j) + repeated * repeats(w))
+            total = np.array(total, complex)
             z = model.bias + total.real / np.maximum(total.imag, 1)
             p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
             yield pa.RecordBatch.from_arrays(
