@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, language_id, quality_classifier, token_counts
+from . import best_fit_packing, decontamination, language_id, license_scan, quality_classifier, token_counts
 from .common import held_out_remainder, table
 
 
@@ -26,10 +26,21 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", (held_out_remainder(3) == 1).alias("held_out"), "lang_pred", "score"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "paragraph", "family", "score", "overlap", "confirmed")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontamination.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
@@ -42,4 +53,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_decontamination": decontamination.ORACLE}
