@@ -127,7 +127,8 @@ def fit(docs: DataFrame, labels: DataFrame, fold: int = 4, held_out: int = 2) ->
     share = F.coalesce(*[F.when(F.col("quality") == k, F.lit(min(1.0, SAMPLE_DOCS / 2 / n))) for k, n in counts.items()])
     some = known.filter(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 20)) < share * (1 << 20))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    got = (texts.join(some, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "text")
+    # ids only, and no more than the limit: a bounded broadcast, so that no text is shuffled
+    got = (texts.join(F.broadcast(some.limit(2 * SAMPLE_DOCS)), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "text")
            .limit(2 * SAMPLE_DOCS).toLocalIterator())
     words, y = [], []
     for r in got:
