@@ -224,3 +224,17 @@ class Merges:
     def ids(self, pre_token: str) -> list[int]:
         raw = pre_token.encode("utf-8")
         return self.bpe.encode_single_piece(raw if self.last is self.inner else self.spelled(raw, True))
+
+
+def byte_chunks(texts: list[str | None], limit: int = 4 << 20, rows: int = 4096):
+    """Slices of a batch with about ``limit`` characters at most, so that a
+    batch of very long texts doesn't need all its arrays at once."""
+    at = size = 0
+    for i, t in enumerate(texts):
+        n = len(t or "")
+        if i > at and (size + n > limit or i - at >= rows):
+            yield slice(at, i)
+            at, size = i, 0
+        size += n
+    if at < len(texts):
+        yield slice(at, len(texts))

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, decontamination, language_id, license_scan, quality_classifier, token_counts
+from . import best_fit_packing, decontamination, language_id, license_scan, ngram_jaccard, quality_classifier, token_counts
 from .common import held_out_remainder, table
 
 
@@ -41,6 +41,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
@@ -53,4 +57,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_decontamination": decontamination.ORACLE}
+    return {"op7_decontamination": decontamination.ORACLE, "op8_ngram_jaccard": ngram_jaccard.ORACLE}
