@@ -12,10 +12,13 @@ are enumerated anew under another hash; at the last level empty parts are
 signatures, too. No link is lost.
 
 Exact copies are one node (64-bit digest of the set). Candidates are verified on
-whole sets of 64-bit shingle hashes. In a group that shares a signature, all
-members are first compared with one of them, for a few rounds; then every pair
-whose members aren't yet connected is. Pairs already connected need no check,
-so a large group of copies costs its size, not its square.
+whole sets of 64-bit shingle hashes. First every set is compared with one
+other, the most shared one among the sets it shares signatures with. Then pairs
+that aren't connected by now are looked at in two rounds, the likeliest ones
+and all of them: within a task, bit maps in which every shingle flips a bit
+bound the difference of two sets from below, and only pairs within the bound
+leave the task to be verified. Pairs already connected need no check, so a
+large group of copies doesn't give the square of its size.
 
 A text without words is a set without elements, linked with nothing. A null id
 is linked with nothing, its component is null. Repeated rows are copies of each
@@ -40,8 +43,10 @@ from .common import (WordHashes, byte_chunks, checkpointed, components, grams, m
 SHINGLE = 4
 PERCENT = 85
 LEVELS = 5
-#: Rounds that compare with one member of a group.
-ROUNDS = 3
+#: Bits of a set's map.
+MAP_BITS = 1024
+#: Rows that a task of the later rounds takes, on average.
+OPEN_ROWS = 50_000
 #: Text bytes whose signatures meet in one task, about.
 PART_BYTES = 16 << 20
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -192,25 +197,32 @@ def shared_signatures(docs: DataFrame, percent: int, n_parts: int) -> DataFrame:
         keep = np.zeros(len(sig), bool)
         keep[same] = keep[same + 1] = True
         out = pd.DataFrame({"sig": sig[keep].astype(np.int64), "node": node[keep]}).drop_duplicates()
-        return out[out.duplicated("sig", keep=False)]
+        out["n"] = out.groupby("sig")["node"].transform("size")
+        return out[out["n"] > 1]
 
     packed = docs.select(F.col("text").cast("string")).mapInArrow(make, "p int, sigs binary, nodes binary")
-    return packed.groupBy("p").applyInPandas(meet, "sig long, node long")
+    return packed.groupBy("p").applyInPandas(meet, "sig long, node long, n long")
 
 
 def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, s): shingle hashes of the documents in ``ids``."""
+    """(doc_id, s, bits): shingle hashes of the documents in ``ids``, and their
+    bit maps."""
+    def bits(s: np.ndarray) -> bytes:
+        return np.packbits((np.bincount((s % np.uint64(MAP_BITS)).astype(np.int64), minlength=MAP_BITS) & 1).astype(np.uint8)).tobytes()
+
     def run(batches):
         hashes = WordHashes()
         for batch in batches:
             texts = strings(batch.column(1))
             for part in byte_chunks(texts):
-                sets = [s.view(np.int64) for s in shingle_sets(texts[part], hashes)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.start, part.stop - part.start),
-                                                  pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "s"])
+                sets = shingle_sets(texts[part], hashes)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(part.start, part.stop - part.start),
+                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array(map(bits, sets), pa.binary())],
+                    ["doc_id", "s", "bits"])
 
     some = only_keys(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), ids, "doc_id")
-    return some.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(run, "doc_id long, s array<long>")
+    return some.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(run, "doc_id long, s array<long>, bits binary")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -222,6 +234,48 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .filter(both * (100 + percent) >= percent * (F.size("sa") + F.size("sb"))).select("a", "b"))
 
 
+def first_partners(shared: DataFrame) -> DataFrame:
+    """A pair (a, b) for each node: itself and the most shared node among those
+    that stand first in one of its groups."""
+    weight = shared.groupBy("id").agg(F.sum("n").alias("w"))
+    rows = shared.select("sig", "id").join(weight, "id")
+    first = rows.groupBy("sig").agg(F.max(F.struct("w", "id")).alias("first"))
+    partner = (shared.select("sig", "id").join(first, "sig").filter(F.col("id") != F.col("first.id"))
+               .groupBy("id").agg(F.max("first").alias("first")))
+    return partner.select(F.least("id", "first.id").alias("a"), F.greatest("id", "first.id").alias("b")).distinct()
+
+
+def open_pairs(rows: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Pairs (a, b) of rows (sig, id, comp, n, bits) that share a signature,
+    belong to different components and can be similar enough by their maps.
+    With ``best`` only the likeliest one of each row in a group."""
+    def look(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["sig", "id"])
+        sig, ids, comp, n = (group[c].to_numpy() for c in ("sig", "id", "comp", "n"))
+        maps = np.frombuffer(b"".join(group["bits"]), np.uint64).reshape(len(group), MAP_BITS // 64)
+        starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
+        out = []
+        for at, end in zip(starts, np.r_[starts[1:], len(sig)]):
+            for i in range(at, end, 128):
+                mine = slice(i, min(i + 128, end))
+                apart = np.bitwise_count(maps[mine, None, :] ^ maps[None, at:end, :]).sum(2, dtype=np.int64)
+                most = (n[mine, None] + n[None, at:end]) * (100 - percent) // (100 + percent)
+                fits = (comp[mine, None] != comp[None, at:end]) & (apart <= most)
+                if best:
+                    score = np.where(fits, apart, 1 << 30)
+                    r = np.flatnonzero(fits.any(1))
+                    c = score.argmin(1)[r]
+                else:
+                    r, c = np.nonzero(fits)
+                out.append(np.stack([ids[mine][r], ids[at:end][c]], 1))
+        pairs = np.sort(np.concatenate(out), 1)
+        return pd.DataFrame(np.unique(pairs, axis=0), columns=["a", "b"])
+
+    n_parts = max(partitions(rows.sparkSession), -(-rows.count() // OPEN_ROWS))
+    bucket = F.pmod(F.xxhash64("sig"), F.lit(n_parts))
+    return rows.withColumn("_p", bucket).groupBy("_p").applyInPandas(look, "a long, b long").distinct()
+
+
 def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; component_id is the
     smallest doc_id that links reach."""
@@ -231,39 +285,21 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
     n_parts = max(partitions(spark), -(-size // PART_BYTES))
     shared = shared_signatures(docs.filter(F.col("doc_id").isNotNull()), percent, n_parts)
-    shared = checkpointed(shared.join(reps, "node").select("sig", F.col("rep").alias("id")))
+    shared = checkpointed(shared.join(reps, "node").select("sig", F.col("rep").alias("id"), "n"))
     sets = checkpointed(sets_of(docs, shared.select(F.col("id").alias("doc_id")).distinct()))
-    links = comps = tested = None
-    for r in range(ROUNDS + 1):
-        now = shared if comps is None else shared.join(comps, F.col("id") == F.col("node"), "left").select(
+    links = checkpointed(verified(first_partners(shared), sets, percent))
+    comps = checkpointed(components(links))
+    maps = sets.select(F.col("doc_id").alias("id"), F.size("s").cast("long").alias("n"), "bits")
+    for best in (True, False):
+        now = shared.select("sig", "id").join(comps, F.col("id") == F.col("node"), "left").select(
             "sig", "id", F.coalesce("component", "id").alias("comp"))
-        if comps is None:
-            now = now.withColumn("comp", F.col("id"))
-        split = now.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                       F.min_by(F.struct("id", "comp"), F.xxhash64("id", F.lit(r))).alias("pivot")).filter("lo < hi")
-        if r < ROUNDS:  # everyone against one member of its group
-            other = now.join(split.select("sig", "pivot"), "sig").filter(F.col("comp") != F.col("pivot.comp"))
-            pairs = other.select(F.least("id", "pivot.id").alias("a"), F.greatest("id", "pivot.id").alias("b"))
-        else:  # every pair that isn't connected by now
-            open_ = checkpointed(now.join(split.select("sig"), "sig", "left_semi"))
-            pairs = (open_.select("sig", F.col("id").alias("a"), F.col("comp").alias("ca"))
-                     .join(open_.select("sig", F.col("id").alias("b"), F.col("comp").alias("cb")), "sig")
-                     .filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b"))
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = checkpointed(pairs)
-        if not pairs.head(1):
-            if r < ROUNDS and tested is not None:
-                continue
-            break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = checkpointed(verified(pairs, sets, percent))
-        links = found if links is None else links.unionByName(found)
-        comps = checkpointed(components(links))
+        split = now.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("sig")
+        rows = checkpointed(now.join(split, "sig", "left_semi").join(maps, "id"))
+        found = checkpointed(verified(open_pairs(rows, percent, best), sets, percent))
+        if found.head(1):
+            links = links.unionByName(found)
+            comps = checkpointed(components(links))
     out = base.join(reps, "node", "left")
-    if comps is None:
-        return out.select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("component_id"))
     return (out.join(comps.select(F.col("node").alias("rep"), "component"), "rep", "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id")))
 
