@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, decontamination, language_id, license_scan, ngram_jaccard, quality_classifier, token_counts
+from . import best_fit_packing, decontamination, language_id, license_scan, ngram_jaccard, quality_classifier, substring_dedup, token_counts
 from .common import held_out_remainder, table
 
 
@@ -31,6 +31,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "paragraph", "family", "score", "overlap", "confirmed")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
 
@@ -57,4 +61,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_decontamination": decontamination.ORACLE, "op8_ngram_jaccard": ngram_jaccard.ORACLE}
+    return {"op4_substring_dedup": substring_dedup.ORACLE, "op7_decontamination": decontamination.ORACLE, "op8_ngram_jaccard": ngram_jaccard.ORACLE}
