@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, decontamination, language_id, license_scan, ngram_jaccard, quality_classifier, substring_dedup, token_counts
+from . import best_fit_packing, decontamination, language_id, license_scan, ngram_jaccard, quality_classifier, substring_dedup, suffix_array_dedup, token_counts
 from .common import held_out_remainder, table
 
 
@@ -56,6 +56,10 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (held_out_remainder(4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array_dedup.digests(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 

@@ -27,7 +27,7 @@ from .common import WordHashes
 from .window_routing import Units, repeated_runs, with_runs
 
 WINDOW = 50
-WORDS = Units(size=WINDOW, k=8, words=True, within=False)
+WORDS = Units(size=WINDOW, k=8, words=True, within=False, shard=1 << 20)
 
 
 def suffixes(ranks: np.ndarray, depth: int) -> np.ndarray:
@@ -148,7 +148,8 @@ class FmIndex:
                 at = np.where(low >= high, lo[todo], hi[todo])
                 empty = np.maximum(low, high) == 0
                 lo[todo], hi[todo] = np.where(empty, 0, self.lower[at]), np.where(empty, len(self.order), self.upper[at])
-            # a match needn't be known beyond the threshold: back to all suffixes that share it
+            # a match needn't be known beyond the threshold; where a longer one fails,
+            # its parent is the interval of all suffixes that share the window
             over = live[size[live] > most]
             size[over] = most
             yield live, lens[live] - 1 - step, lo[live], size[live]

@@ -32,8 +32,8 @@ CHUNK = 1 << 19
 #: Different segments of one anchor from which on they are split, and into how
 #: many shards.
 HOT, SPLIT = 20_000, 64
-#: Text bytes whose segments meet in one task, and units in a shard, about.
-PART_BYTES, SHARD_UNITS = 16 << 20, 2 << 20
+#: Text bytes whose segments meet in one task, about.
+PART_BYTES = 16 << 20
 BASE = 0x9E3779B97F4A7C15
 PACKED = np.dtype([("h", "<u8"), ("sig", "<u8"), ("doc", "<u2"), ("start", "<u4"), ("n", "u1")])
 
@@ -44,6 +44,7 @@ class Units:
     k: int  # units of an anchor
     words: bool
     within: bool  # repeats within a document count, too
+    shard: int  # units in a shard, about
 
     def split(self, text: str | None):
         raw = (text or "").encode("utf-8", "surrogatepass")
@@ -212,7 +213,7 @@ def repeated_runs(docs: DataFrame, u: Units, look: Callable[[list, np.ndarray, n
     found = checkpointed(met(docs, u))
     todo = found.filter("look").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "n", "h", "hot"))).alias("segments"))
     units = found.filter("look").agg(F.sum(F.col("n") + F.lit(u.size))).first()[0] or 0
-    n_shards = max(partitions(spark), -(-units // SHARD_UNITS))
+    n_shards = max(partitions(spark), -(-units // u.shard))
 
     def fetch(batches):
         hashes = WordHashes()
