@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, decontamination, language_id, license_scan, ngram_jaccard, quality_classifier, substring_dedup, suffix_array_dedup, token_counts
+from . import best_fit_packing, decontamination, embedding_near_dedup, language_id, license_scan, ngram_jaccard, quality_classifier, substring_dedup, suffix_array_dedup, token_counts
 from .common import held_out_remainder, table
 
 
@@ -39,6 +39,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), "byte_bpe_50k.json")
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_near_dedup.links(table(spark, sf_dir, "embeddings"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontamination.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
