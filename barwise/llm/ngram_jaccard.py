@@ -227,8 +227,10 @@ def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (a, b) that are linked."""
-    left = sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
-    right = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa"))
+    pairs = checkpointed(pairs)
+    # sets that are in no pair never reach a shuffle
+    left = only_keys(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), pairs, "b")
+    right = only_keys(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), pairs, "a")
     both = F.size(F.array_intersect("sa", "sb"))
     return (pairs.join(left, "b").join(right, "a")
             .filter(both * (100 + percent) >= percent * (F.size("sa") + F.size("sb"))).select("a", "b"))
@@ -242,7 +244,7 @@ def first_partners(shared: DataFrame) -> DataFrame:
     first = rows.groupBy("sig").agg(F.max(F.struct("w", "id")).alias("first"))
     partner = (shared.select("sig", "id").join(first, "sig").filter(F.col("id") != F.col("first.id"))
                .groupBy("id").agg(F.max("first").alias("first")))
-    return partner.select(F.least("id", "first.id").alias("a"), F.greatest("id", "first.id").alias("b")).distinct()
+    return partner.select(F.col("first.id").alias("a"), F.col("id").alias("b"))
 
 
 def open_pairs(rows: DataFrame, percent: int, best: bool) -> DataFrame:
