@@ -42,11 +42,6 @@ SCENARIO_SCHEMA = T.StructType([
     T.StructField("risk_free", T.DoubleType(), False),
 ])
 
-# Guard for the parameter grid: it is built on the driver and broadcast.
-MAX_SCENARIOS = 100_000
-# Shared predictions are replicated per scenario through a literal array in
-# the plan; keep that array small.
-MAX_SHARED_SCENARIOS = 10_000
 
 def scenario_grid(spark: SparkSession, take_profit: Sequence[float] = (0.04,),
                   fee: Sequence[float] = (0.001,), k: Sequence[int] = (5,),
@@ -54,31 +49,24 @@ def scenario_grid(spark: SparkSession, take_profit: Sequence[float] = (0.04,),
     """Cartesian parameter grid, one row per scenario (a driver-side list)."""
     rows = [(f"k{kk}_tp{tp}_fee{ff}", int(kk), float(tp), float(ff), float(initial_cash),
              float(risk_free)) for kk in k for tp in take_profit for ff in fee]
-    if len(rows) > MAX_SCENARIOS:
-        raise ValueError(f"{len(rows)} scenarios exceed the broadcast bound {MAX_SCENARIOS}")
     return spark.createDataFrame(rows, SCENARIO_SCHEMA)
 
 
-def attach_scenarios(preds: DataFrame, scenarios: DataFrame) -> DataFrame:
-    """Give every prediction row its scenario parameters.
+def ranked_scenarios(preds: DataFrame, scenarios: DataFrame) -> DataFrame:
+    """The top-k rows of every scenario, with its parameters.
 
-    Predictions that carry a ``scenario_id`` join the grid on it; the grid is
-    a driver-built list checked against ``MAX_SCENARIOS``, so it is broadcast
-    (a shuffle on a handful of scenario ids would put whole scenarios into
-    single tasks). Predictions without one are shared by every scenario: each
-    row is replicated once per scenario by exploding the (bounded) grid as a
-    literal array, a narrow map-side step with no join.
+    Predictions that carry a ``scenario_id`` join the grid on it and are ranked
+    per scenario. Predictions without one are shared: they are ranked once, up
+    to the grid's largest k, and the few rows left join the grid on the rank
+    (each scenario stands for ranks 1 to its k), so the ranking shuffle doesn't
+    grow with the number of scenarios. AQE picks the joins by measured sizes.
     """
+    k_max = scenarios.agg(F.max("k")).first()[0]
     if "scenario_id" in preds.columns:
-        return preds.join(F.broadcast(scenarios), "scenario_id")
-    rows = scenarios.limit(MAX_SHARED_SCENARIOS + 1).collect()
-    if len(rows) > MAX_SHARED_SCENARIOS:
-        raise ValueError(f"more than {MAX_SHARED_SCENARIOS} scenarios share one prediction set; "
-                         "give the predictions a scenario_id instead")
-    fields = scenarios.schema.fieldNames()
-    grid = F.array(*[F.struct(*[F.lit(r[f]).cast(scenarios.schema[f].dataType).alias(f)
-                                for f in fields]) for r in rows])
-    return preds.withColumn("_sc", F.explode(grid)).select(*preds.columns, "_sc.*")
+        return topk_signals(preds.join(scenarios, "scenario_id"), k="k", k_max=k_max)
+    top = topk_signals(preds, k=int(k_max or 0))
+    ranks = scenarios.withColumn("rank", F.explode(F.sequence(F.lit(1), F.greatest("k", F.lit(1))))).where("rank <= k")
+    return top.join(ranks, "rank")
 
 
 ACTION_SCHEMA = T.StructType([
@@ -225,11 +213,11 @@ def mark_each(log: DataFrame, bars: DataFrame) -> DataFrame:
     marks = close_asof(held.select("symbol", F.col("signal_date").alias("date")), bars)
     valued = (held.join(marks, (held["symbol"] == marks["symbol"]) & (held["signal_date"] == marks["date"]))
               .select("scenario_id", "seq", held["symbol"], (F.col("shares") * F.col("asof_close")).alias("v")))
-    per_action = valued.groupBy("scenario_id", "seq").agg(F.expr(
+    per_action = valued.groupBy("scenario_id", "seq").agg(F.lit(True).alias("_holds"), F.expr(
         "aggregate(array_sort(collect_list(struct(symbol, v))), 0D, (acc, h) -> acc + h.v)").alias("_held_value"))
     return (log.join(per_action, ["scenario_id", "seq"], "left")
-            .withColumn("portfolio_value", F.col("total_cash") + F.coalesce("_held_value", F.lit(0.0)))
-            .drop("_held_value"))
+            .withColumn("portfolio_value", F.col("total_cash") + F.when(F.col("_holds"), F.col("_held_value")).otherwise(F.lit(0.0)))
+            .drop("_held_value", "_holds"))
 
 
 def ledger(actions: DataFrame, scenarios: DataFrame) -> DataFrame:
@@ -241,7 +229,7 @@ def ledger(actions: DataFrame, scenarios: DataFrame) -> DataFrame:
     bounded by k x the calendar, not by data volume. Scenarios run in
     parallel tasks.
     """
-    params = F.broadcast(scenarios.select("scenario_id", "fee", "initial_cash"))
+    params = scenarios.select("scenario_id", "fee", "initial_cash")
     acts = actions.select("scenario_id", "symbol", "signal_date", "trade_date", "action",
                           "price", "close", "ret").join(params, "scenario_id")
     return _spread(acts, "scenario_id").groupBy("scenario_id").applyInPandas(_ledger_fold, LOG_SCHEMA)
@@ -283,7 +271,8 @@ def portfolio_summary(log: DataFrame, actions: DataFrame, bars: DataFrame,
     cash, held = final_state(log, scenarios)
     held = held.join(last_close(bars), "symbol")
     # Sum in symbol order from 0, like the reference's Python sum.
-    marks = held.groupBy("scenario_id").agg(F.expr(
+    # A held symbol without a last close leaves the sum NULL: not a worthless one.
+    marks = held.groupBy("scenario_id").agg(F.lit(True).alias("holds"), F.expr(
         "aggregate(array_sort(collect_list(struct(symbol, shares * last_close AS v))), 0D, "
         "(acc, h) -> acc + h.v)").alias("held_value"))
     stats = trade_stats(actions)
@@ -291,7 +280,7 @@ def portfolio_summary(log: DataFrame, actions: DataFrame, bars: DataFrame,
     out = (cash.join(p, "scenario_id")
            .join(marks, "scenario_id", "left")
            .join(stats, "scenario_id", "left"))
-    final = F.col("cash") + F.coalesce(F.col("held_value"), F.lit(0.0))
+    final = F.col("cash") + F.when(F.col("holds"), F.col("held_value")).otherwise(F.lit(0.0))
     net = final - F.col("initial_cash")
     sharpe = F.when(F.coalesce(F.col("trades"), F.lit(0)) == 0, F.lit(0.0)).otherwise(
         (F.col("mean_return") - F.col("risk_free")) / (F.col("std_return") + F.lit(1e-8)))
@@ -324,10 +313,7 @@ def run_backtest(preds: DataFrame, bars: DataFrame, scenarios: DataFrame,
     the logged portfolio at each held symbol's own close (SURVEY X1); the
     default keeps the reference's quirk.
     """
-    with_params = attach_scenarios(preds, scenarios)
-    k_max = scenarios.agg(F.max("k")).first()[0]  # the grid is a small driver-built list
-    top = topk_signals(with_params, k="k", k_max=k_max)
-    tradable = tradable_signals(top, bars)
+    tradable = tradable_signals(ranked_scenarios(preds, scenarios), bars)
     # The action list and the per-scenario ledger are small (bounded by
     # k x signal dates per scenario) and each is read by two consumers.
     actions = trade_pairs(tradable).persist(StorageLevel.MEMORY_AND_DISK)
@@ -354,8 +340,7 @@ def best_scenario(summary: DataFrame, metric: str = "roi",
     g = list(group) or ["_all"]
     s = summary if group else summary.withColumn("_all", F.lit(0))
     best = s.groupBy(*g).agg(F.max(metric).alias("_best"))
-    # ``best`` has one row per group, at most one per scenario of the bounded grid.
-    hits = s.join(F.broadcast(best), g).where(F.col(metric) == F.col("_best"))
+    hits = s.join(best, g).where(F.col(metric) == F.col("_best"))
     out = hits.groupBy(*g).agg(F.min("scenario_id").alias("scenario_id"),
                                F.first("_best").alias("metric"))
     return out if group else out.drop("_all")

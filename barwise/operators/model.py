@@ -16,7 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barwise.operators.features import LABEL, MODEL_FEATURES
@@ -32,7 +32,6 @@ PROFILES = {
     "catboost": {"maxIter": (100, 1000, "int"), "stepSize": (0.01, 0.3, "log"),
                  "maxDepth": (3, 15, "int")},
 }
-MLLIB_MAX_DEPTH = 30
 SEED = 42
 
 
@@ -60,7 +59,7 @@ def _estimator(profile: str, params: dict, features_col: str, pred_col: str):
     if fraction is not None:
         est = est.setFeatureSubsetStrategy(str(round(float(fraction), 4)))
     if "maxDepth" in p:
-        p["maxDepth"] = int(min(p["maxDepth"], MLLIB_MAX_DEPTH))
+        p["maxDepth"] = int(p["maxDepth"])
     if "maxIter" in p:
         p["maxIter"] = int(p["maxIter"])
     return est.setParams(**p)
@@ -68,18 +67,23 @@ def _estimator(profile: str, params: dict, features_col: str, pred_col: str):
 
 def fit_base(df: DataFrame, profile: str, features: Sequence[str], params: dict,
              name: str, validation_col: str | None = None,
-             validation_tol: float = 0.01) -> PipelineModel:
+             validation_tol: float | None = None) -> PipelineModel:
     """M2-M4: one base learner on a feature subset (P16); the assembler stage
     stores the subset with the model (S12).
 
     M5: with ``validation_col`` (a boolean column marking the early-stopping
     rows, e.g. the test period) boosting stops once the validation error no
     longer improves by ``validation_tol`` — MLlib's rule, not a patience
-    count."""
+    count. MLlib takes the tolerance relative to max(error, 0.01), which is
+    more than the whole variance of weekly returns, so by default it is set on
+    the label's own scale: one step must gain 0.01 % of its variance."""
     vec = f"{name}_features"
     assembler = VectorAssembler(inputCols=list(features), outputCol=vec, handleInvalid="error")
     est = _estimator(profile, params, vec, name)
     if validation_col is not None:
+        if validation_tol is None:
+            variance = df.agg(F.var_pop(LABEL)).first()[0] or 0.0
+            validation_tol = 1e-4 * min(1.0, variance / 0.01)
         est = est.setValidationIndicatorCol(validation_col).setParams(validationTol=validation_tol)
     return Pipeline(stages=[assembler, est]).fit(df)
 
@@ -119,19 +123,19 @@ def signals_from(df: DataFrame, col: str, scenario_id: str | None = None) -> Dat
 
 def sample_trials(profiles: Sequence[str], metrics: Sequence[str], n_trials: int,
                   features: Sequence[str] = MODEL_FEATURES, seed: int = SEED,
-                  cap: dict | None = None) -> list[dict]:
+                  ranges: dict | None = None) -> list[dict]:
     """M6: seeded random search space — a feature mask and the profile's
     hyper-parameters per trial (Optuna's adaptive sampler is replaced by
-    independent seeded draws so all trials can run concurrently)."""
+    independent seeded draws so all trials can run concurrently). ``ranges``
+    replaces a profile's search range by name; draws are passed on unchanged."""
     rng = random.Random(seed)
-    cap = cap or {}
     trials = []
     for profile in profiles:
         for metric in metrics:
             for t in range(n_trials):
                 mask = [f for f in features if rng.random() < 0.5] or [features[0]]
                 params = {}
-                for name, (lo, hi, kind) in PROFILES[profile].items():
+                for name, (lo, hi, kind) in (PROFILES[profile] | (ranges or {})).items():
                     if kind == "int":
                         v = rng.randint(lo, hi)
                     elif kind == "log":
@@ -139,8 +143,6 @@ def sample_trials(profiles: Sequence[str], metrics: Sequence[str], n_trials: int
                         v = math.exp(rng.uniform(math.log(lo), math.log(hi)))
                     else:
                         v = rng.uniform(lo, hi)
-                    if name in cap:
-                        v = min(v, cap[name])
                     params[name] = v
                 trials.append({"trial_id": f"{profile}_{metric}_{t}", "profile": profile,
                                "metric": metric, "features": mask, "params": params})
@@ -223,11 +225,12 @@ def save_models(models: dict[str, PipelineModel], path: str) -> None:
 
 
 def load_models(path: str, names: Sequence[str]) -> dict[str, PipelineModel]:
-    """Load those of ``names`` that exist, skip the others."""
+    """Load those of ``names`` that exist, skip the others. A model that
+    exists and can't be read is an error."""
+    spark = SparkSession.getActiveSession()
     out = {}
     for name in names:
-        try:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
             out[name] = PipelineModel.load(f"{path}/{name}")
-        except Exception:  # absent model: skipped, like the reference
-            continue
     return out

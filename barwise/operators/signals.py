@@ -10,16 +10,17 @@ def topk_signals(preds: DataFrame, k: int | str = 5, score: str = "predicted_ret
                  by: tuple[str, ...] = ("scenario_id",), k_max: int | None = None) -> DataFrame:
     """T5/B1: the k best symbols per (scenario, date) by score.
 
-    NULL scores are never selected (pandas ``nlargest`` drops NaN); ties go to
-    the smaller symbol. ``k`` may be an int or the name of a per-row column
+    NULL scores come last and fill the k places when fewer rows have a score
+    (as pandas ``DataFrame.nlargest`` keeps NaN rows last); ties go to the
+    smaller symbol. ``k`` may be an int or the name of a per-row column
     (one k per scenario, then ``k_max`` bounds it). A literal bound makes
     ``row_number() <= k`` a window group limit: each map task keeps only the
     top rows per (scenario, date) before the shuffle, so a date with a
     million symbols moves k rows per task, not a million.
     """
     keys = [c for c in by if c in preds.columns] + ["date"]
-    w = Window.partitionBy(*keys).orderBy(F.desc(score), F.asc("symbol"))
-    ranked = preds.where(F.col(score).isNotNull()).withColumn("rank", F.row_number().over(w))
+    w = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(score), F.asc("symbol"))
+    ranked = preds.withColumn("rank", F.row_number().over(w))
     if isinstance(k, int):
         return ranked.where(F.col("rank") <= F.lit(k))
     if k_max is not None:

@@ -55,7 +55,7 @@ def feature_frame(bars: DataFrame, benchmark: str | None = None,
 
 
 def train_models(spark: SparkSession, bars: DataFrame, model_path: str, n_trials: int = 10,
-                 benchmark: str | None = None, cap: dict | None = None,
+                 benchmark: str | None = None, ranges: dict | None = None,
                  grid_params: dict | None = None) -> dict[str, DataFrame]:
     """Random search (M6), one multi-scenario backtest of every trial on the
     test period priced on daily bars (M7), best trial per (profile,
@@ -63,7 +63,7 @@ def train_models(spark: SparkSession, bars: DataFrame, model_path: str, n_trials
     frame = feature_frame(bars, benchmark).persist()
     train = frame.where(F.col("period") == "train")
     test = frame.where(F.col("period") == "test")
-    trials = ml.sample_trials(list(ml.PROFILES), OBJECTIVES, n_trials, cap=cap)
+    trials = ml.sample_trials(list(ml.PROFILES), OBJECTIVES, n_trials, ranges=ranges)
     sigs = ml.random_search(train, test, trials)
     p = dict(k=5, take_profit=0.04, fee=0.001, initial_cash=100000.0, risk_free=0.0)
     p.update(grid_params or {})
@@ -73,7 +73,7 @@ def train_models(spark: SparkSession, bars: DataFrame, model_path: str, n_trials
     summary = bt.scenario_sweep(sigs, bars, grid)
     meta = spark.createDataFrame([(t["trial_id"], t["profile"], t["metric"]) for t in trials],
                                  "scenario_id string, profile string, metric string")
-    tagged = summary.join(F.broadcast(meta), "scenario_id")
+    tagged = summary.join(meta, "scenario_id")
     best = None
     for objective in OBJECTIVES:
         b = bt.best_scenario(tagged.where(F.col("metric") == objective), objective, ["profile"])

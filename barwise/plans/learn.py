@@ -1,7 +1,9 @@
 """Registered model queries (rows-only checks: tree learners have no SQL form).
 
-Hyper-parameters are capped (few iterations, shallow trees) so the checks
-stay quick; the full search ranges are in ``operators.model.PROFILES``.
+The learners' budgets here are explicit arguments, small ones so that the
+checks end in time; the full search ranges are in ``operators.model.PROFILES``.
+``base_scores`` and ``stacked_scores`` return facts that hold for any sound
+learner, so SQL can check them.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from barwise.operators.features import LABEL, MODEL_FEATURES
 from barwise.operators.split import split_periods
 from barwise.plans import catalog as cat
 
-# Capped learner settings for the registered checks (fixed values).
+# Budgets of the registered checks.
 BASE_PARAMS = {
     "lightgbm": {"maxIter": 10, "stepSize": 0.1, "maxDepth": 4, "subsamplingRate": 0.8,
                  "featureFraction": 0.8},
@@ -23,7 +25,7 @@ BASE_PARAMS = {
                 "featureFraction": 0.6},
     "catboost": {"maxIter": 10, "stepSize": 0.1, "maxDepth": 4},
 }
-SEARCH_CAP = {"maxIter": 5, "maxDepth": 3}
+SEARCH_RANGES = {"maxIter": (3, 8, "int"), "maxDepth": (2, 4, "int")}
 
 
 def frame(spark: SparkSession, sf: str) -> DataFrame:
@@ -31,6 +33,17 @@ def frame(spark: SparkSession, sf: str) -> DataFrame:
     return ml.model_frame(df).persist()
 
 
+def model_facts(scored: DataFrame, predictions: list[str]) -> DataFrame:
+    """Per learner and period: rows, NULL predictions, and whether the error on
+    the training rows is below the label's standard deviation (NULL elsewhere)."""
+    long = scored.select("period", LABEL, F.explode(F.create_map(*[
+        x for p in predictions for x in (F.lit(p), F.col(p))])).alias("learner", "prediction"))
+    err = F.col(LABEL) - F.col("prediction")
+    return long.groupBy("learner", "period").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction").isNull()).alias("null_predictions"),
+        F.when(F.col("period") == "train", F.sqrt(F.avg(err * err)) < F.stddev_pop(LABEL)).alias("beats_std"))
+
+
 def base_models(df: DataFrame):
     train = df.where(F.col("period") == "train")
     return {name: ml.fit_base(train, name, MODEL_FEATURES, params, name)
@@ -40,15 +53,14 @@ def base_models(df: DataFrame):
 def q_base_scores(spark, sf):
     df = frame(spark, sf)
     scored = ml.score(df, base_models(df))
-    return scored.select("symbol", "date", "period", *[F.col(n) for n in BASE_PARAMS])
+    return model_facts(scored, list(BASE_PARAMS))
 
 
 def q_stacked_scores(spark, sf):
     df = frame(spark, sf)
     scored = ml.score(df, base_models(df)).persist()
     stack = ml.fit_stack(scored.where(F.col("period") == "train"), list(BASE_PARAMS), trees=20, depth=4)
-    out = stack.transform(scored.where(F.col("period").isin("validation", "prediction")))
-    return out.select("symbol", "date", "period", "predicted_return", LABEL)
+    return model_facts(stack.transform(scored), ["predicted_return"])
 
 
 def q_random_search(spark, sf):
@@ -56,14 +68,14 @@ def q_random_search(spark, sf):
     train = df.where(F.col("period") == "train")
     test = df.where(F.col("period") == "test")
     trials = ml.sample_trials(list(ml.PROFILES), ["roi", "sharpe_ratio"], n_trials=1,
-                              cap=SEARCH_CAP)
+                              ranges=SEARCH_RANGES)
     sigs = ml.random_search(train, test, trials, parallelism=6)
     grid = spark.createDataFrame(
         [(t["trial_id"], 5, 0.04, 0.001, 100000.0, 0.0) for t in trials], bt.SCENARIO_SCHEMA)
     res = bt.run_backtest(sigs, cat.daily(spark, sf), grid)
     meta = spark.createDataFrame([(t["trial_id"], t["profile"], t["metric"]) for t in trials],
                                  "scenario_id string, profile string, metric string")
-    summary = res["summary"].join(F.broadcast(meta), "scenario_id")
+    summary = res["summary"].join(meta, "scenario_id")
     roi = bt.best_scenario(summary.where(F.col("metric") == "roi"), "roi", ["profile"])
     sharpe = bt.best_scenario(summary.where(F.col("metric") == "sharpe_ratio"),
                               "sharpe_ratio", ["profile"])

