@@ -48,7 +48,10 @@ MAP_BITS = 1024
 #: Rows that a task of the later rounds takes, on average.
 OPEN_ROWS = 50_000
 #: Text bytes whose signatures meet in one task, about.
-PART_BYTES = 16 << 20
+PART_BYTES = 64 << 20
+#: Bytes of a signature that travel. Those that meet in a task are some
+#: millions, so that equal ones of different parts stay rare.
+KEY_BYTES = 5
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
 
@@ -157,11 +160,10 @@ def doc_sets(docs: DataFrame) -> DataFrame:
 
 
 def shared_signatures(docs: DataFrame, percent: int, n_parts: int) -> DataFrame:
-    """(sig, node) of the signatures that several nodes have. A batch's
-    signatures travel packed: sorted 64-bit values of 48 bits of signature and
-    16 of the node's place in the batch; the other 16 bits choose the task."""
-    low48, low16 = np.uint64((1 << 48) - 1), np.uint64((1 << 16) - 1)
-
+    """(sig, node, n) of the signatures that several nodes have. The high bits
+    of a signature choose the task where it meets its equals, ``KEY_BYTES`` of
+    the low ones travel, packed node by node: a batch sends each task its nodes,
+    how many signatures each has there, and these."""
     def make(batches):
         hashes, bands = WordHashes(), Bands(percent)
         for batch in batches:
@@ -170,37 +172,43 @@ def shared_signatures(docs: DataFrame, percent: int, n_parts: int) -> DataFrame:
                 sets = {digest(s): s for s in shingle_sets(texts[part], hashes) if len(s)}
                 nodes = np.array(list(sets), np.int64)
                 sig, own = signatures(list(sets.values()), bands)
-                p = ((sig >> np.uint64(48)) ^ (sig & low16)) % np.uint64(n_parts)
-                order = np.argsort(p, kind="stable")
+                p = ((sig >> np.uint64(8 * KEY_BYTES)) % np.uint64(n_parts)).astype(np.uint16 if n_parts <= 1 << 16 else np.uint32)
+                order = np.argsort(own.astype(np.uint16), kind="stable")  # a chunk has 4096 texts at most
+                order = order[np.argsort(p[order], kind="stable")]
                 sig, own, p = sig[order], own[order], p[order]
+                packed = sig.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+                run = np.flatnonzero(np.r_[True, (p[1:] != p[:-1]) | (own[1:] != own[:-1])]) if len(p) else np.empty(0, np.int64)
+                count = np.diff(np.r_[run, len(p)]).astype(np.uint32)
                 edge = np.searchsorted(p, np.arange(n_parts + 1))
-                ps, blobs, owners = [], [], []
+                run_edge = np.searchsorted(run, edge)
+                ps, blobs, owners, counts = [], [], [], []
                 for k in np.flatnonzero(np.diff(edge)):
-                    at = slice(edge[k], edge[k + 1])
-                    used, place = np.unique(own[at], return_inverse=True)
+                    at = slice(run_edge[k], run_edge[k + 1])
                     ps.append(int(k))
-                    blobs.append((((sig[at] & low48) << np.uint64(16)) | place.astype(np.uint64)).tobytes())
-                    owners.append(nodes[used].tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(ps, pa.int32()), pa.array(blobs, pa.binary()),
-                                                  pa.array(owners, pa.binary())], ["p", "sigs", "nodes"])
+                    blobs.append(packed[edge[k]:edge[k + 1]].tobytes())
+                    owners.append(nodes[own[run[at]]].tobytes())
+                    counts.append(count[at].tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ps, pa.int32()), *(pa.array(x, pa.binary()) for x in (blobs, owners, counts))],
+                    ["p", "sigs", "nodes", "counts"])
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
-        sigs, nodes = [], []
-        for s, n in zip(group["sigs"], group["nodes"]):
-            v = np.frombuffer(s, np.uint64)
-            sigs.append(v >> np.uint64(16))
-            nodes.append(np.frombuffer(n, np.int64)[(v & low16).astype(np.int64)])
-        sig, node = np.concatenate(sigs), np.concatenate(nodes)
-        order = np.argsort(sig, kind="stable")
+        raw = np.frombuffer(b"".join(group["sigs"]), np.uint8).reshape(-1, KEY_BYTES)
+        sig = np.zeros((len(raw), 8), np.uint8)
+        sig[:, :KEY_BYTES] = raw
+        sig = sig.view(np.uint64).ravel()
+        node = np.repeat(np.frombuffer(b"".join(group["nodes"]), np.int64), np.frombuffer(b"".join(group["counts"]), np.uint32))
+        order = np.argsort(sig)
         sig, node = sig[order], node[order]
         same = np.flatnonzero(sig[1:] == sig[:-1])
         keep = np.zeros(len(sig), bool)
         keep[same] = keep[same + 1] = True
-        out = pd.DataFrame({"sig": sig[keep].astype(np.int64), "node": node[keep]}).drop_duplicates()
+        sig = sig[keep].astype(np.int64) + (int(group["p"].iat[0]) << 8 * KEY_BYTES)
+        out = pd.DataFrame({"sig": sig, "node": node[keep]}).drop_duplicates()
         out["n"] = out.groupby("sig")["node"].transform("size")
         return out[out["n"] > 1]
 
-    packed = docs.select(F.col("text").cast("string")).mapInArrow(make, "p int, sigs binary, nodes binary")
+    packed = docs.select(F.col("text").cast("string")).mapInArrow(make, "p int, sigs binary, nodes binary, counts binary")
     return packed.groupBy("p").applyInPandas(meet, "sig long, node long, n long")
 
 
