@@ -163,7 +163,10 @@ def shared_signatures(docs: DataFrame, percent: int, n_parts: int) -> DataFrame:
     """(sig, node, n) of the signatures that several nodes have. The high bits
     of a signature choose the task where it meets its equals, ``KEY_BYTES`` of
     the low ones travel, packed node by node: a batch sends each task its nodes,
-    how many signatures each has there, and these."""
+    how many signatures each has there, and these. Near copies share many
+    signatures; those of the same nodes are one, named by a digest of the nodes
+    (equal digests of different ones only make a group larger). n: their number
+    times that of the nodes."""
     def make(batches):
         hashes, bands = WordHashes(), Bands(percent)
         for batch in batches:
@@ -203,13 +206,24 @@ def shared_signatures(docs: DataFrame, percent: int, n_parts: int) -> DataFrame:
         same = np.flatnonzero(sig[1:] == sig[:-1])
         keep = np.zeros(len(sig), bool)
         keep[same] = keep[same + 1] = True
-        sig = sig[keep].astype(np.int64) + (int(group["p"].iat[0]) << 8 * KEY_BYTES)
-        out = pd.DataFrame({"sig": sig, "node": node[keep]}).drop_duplicates()
-        out["n"] = out.groupby("sig")["node"].transform("size")
-        return out[out["n"] > 1]
+        out = pd.DataFrame({"sig": sig[keep], "node": node[keep]}).drop_duplicates()
+        out = out[out.groupby("sig")["node"].transform("size") > 1]
+        sig, node = out["sig"].to_numpy(), out["node"].to_numpy()
+        if not len(sig):
+            return pd.DataFrame({"members": sig, "node": node, "n": node})
+        # signatures that the same nodes have are one group
+        start = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
+        size = np.diff(np.r_[start, len(sig)])
+        members = mix64(np.add.reduceat(mix64(node.view(np.uint64)), start) + size.astype(np.uint64))
+        _, first, times = np.unique(members, return_index=True, return_counts=True)
+        of = np.repeat(np.arange(len(first)), size[first])
+        rows = start[first][of] + np.arange(len(of)) - (np.cumsum(size[first]) - size[first])[of]
+        return pd.DataFrame({"members": members[first][of].view(np.int64), "node": node[rows],
+                             "n": (size[first] * times)[of]})
 
     packed = docs.select(F.col("text").cast("string")).mapInArrow(make, "p int, sigs binary, nodes binary, counts binary")
-    return packed.groupBy("p").applyInPandas(meet, "sig long, node long, n long")
+    groups = packed.groupBy("p").applyInPandas(meet, "members long, node long, n long")
+    return groups.groupBy("members", "node").agg(F.sum("n").alias("n")).withColumnRenamed("members", "sig")
 
 
 def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
