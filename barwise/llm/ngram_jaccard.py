@@ -15,9 +15,9 @@ Exact copies are one node (64-bit digest of the set). Candidates are verified on
 whole sets of 64-bit shingle hashes. First every set is compared with one
 other, the most shared one among the sets it shares signatures with. Then pairs
 that aren't connected by now are looked at in two rounds, the likeliest ones
-and all of them: within a task, bit maps in which every shingle flips a bit
-bound the difference of two sets from below, and only pairs within the bound
-leave the task to be verified. Pairs already connected need no check, so a
+and all of them. Bit maps in which every shingle flips a bit bound the
+difference of two sets from below, and only pairs within the bound are
+verified; in the two rounds no others leave a task. Pairs already connected need no check, so a
 large group of copies doesn't give the square of its size.
 
 A text without words is a set without elements, linked with nothing. A null id
@@ -258,6 +258,19 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .filter(both * (100 + percent) >= percent * (F.size("sa") + F.size("sb"))).select("a", "b"))
 
 
+def possible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) that can be similar enough by their maps."""
+    def look(batches):
+        for x in batches:
+            a, b = (np.frombuffer(b"".join(x[c]), np.uint64).reshape(len(x), MAP_BITS // 64) for c in ("bits_a", "bits_b"))
+            apart = np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
+            yield x.loc[apart <= (x["n_a"] + x["n_b"]) * (100 - percent) // (100 + percent), ["a", "b"]]
+
+    for c in "ba":
+        pairs = pairs.join(maps.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")), c)
+    return pairs.mapInPandas(look, "a long, b long")
+
+
 def first_partners(shared: DataFrame) -> DataFrame:
     """A pair (a, b) for each node: itself and the most shared node among those
     that stand first in one of its groups."""
@@ -311,9 +324,9 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     shared = shared_signatures(docs.filter(F.col("doc_id").isNotNull()), percent, n_parts)
     shared = checkpointed(shared.join(reps, "node").select("sig", F.col("rep").alias("id"), "n"))
     sets = checkpointed(sets_of(docs, shared.select(F.col("id").alias("doc_id")).distinct()))
-    links = checkpointed(verified(first_partners(shared), sets, percent))
-    comps = checkpointed(components(links))
     maps = sets.select(F.col("doc_id").alias("id"), F.size("s").cast("long").alias("n"), "bits")
+    links = checkpointed(verified(possible(first_partners(shared), maps, percent), sets, percent))
+    comps = checkpointed(components(links))
     for best in (True, False):
         now = shared.select("sig", "id").join(comps, F.col("id") == F.col("node"), "left").select(
             "sig", "id", F.coalesce("component", "id").alias("comp"))
