@@ -7,7 +7,8 @@ equal windows always lie in segments with the same anchor hash, and only the
 segments are shuffled, packed, about one for every size / 2 units.
 
 Where an anchor hash meets, segments of equal content are one: all but the
-first are copies, every window of theirs is repeated. The firsts of different
+first are copies, every window of theirs is repeated; where only other documents
+count, those in the first one's own document get its windows' flags. The firsts of different
 content need a look at their text (an index or a suffix sort, in shards by
 anchor); only those are fetched. An anchor with very many different segments is
 dealt to ``SPLIT`` shards by the hash of each window, so that no shard has to
@@ -136,8 +137,10 @@ def runs(flags: np.ndarray, starts: np.ndarray, owners: np.ndarray):
 
 
 def met(docs: DataFrame, u: Units) -> DataFrame:
-    """(doc_id, start, n, h, hot): segments whose anchor occurs elsewhere. h is
-    null for copies of an earlier segment; the others are to be looked at."""
+    """(doc_id, start, n, h, look, hot, copies): segments whose anchor occurs
+    elsewhere. Copies of an earlier segment aren't to be looked at; where a repeat
+    in the same document doesn't count, ``copies`` has the starts (64 bits each)
+    of the equal segments in it, which share what the look at the first finds."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_parts = max(partitions(docs.sparkSession), -(-size // PART_BYTES))
 
@@ -195,12 +198,19 @@ def met(docs: DataFrame, u: Units) -> DataFrame:
         kinds = np.bincount(np.cumsum(new_h) - 1, weights=new).astype(np.int64)[np.cumsum(new_h) - 1] if len(h) else of
         look = new & (kinds > 1)
         keep = look | later
+        copies = np.full(len(h), None, object)
+        twin = ~new & ~later & (kinds > 1) & np.r_[True, start[1:] != start[:-1]][:len(h)]
+        if not u.within and twin.any():
+            whose, at = first[of[twin]], start[twin]
+            edge = np.flatnonzero(np.r_[True, whose[1:] != whose[:-1], True])
+            copies[whose[edge[:-1]]] = [at[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])]
         return pd.DataFrame({"doc_id": doc[keep], "start": start[keep], "n": n[keep],
                              "h": pd.array(np.where(look, h.view(np.int64), 0)[keep], "Int64").copy(),
-                             "look": look[keep], "hot": (look & (kinds > HOT))[keep]})
+                             "look": look[keep], "hot": (look & (kinds > HOT))[keep],
+                             "copies": copies[keep]})
 
     packed = docs.mapInArrow(make, "p int, segments binary, ids binary")
-    return packed.groupBy("p").applyInPandas(meet, "doc_id long, start long, n long, h long, look boolean, hot boolean")
+    return packed.groupBy("p").applyInPandas(meet, "doc_id long, start long, n long, h long, look boolean, hot boolean, copies binary")
 
 
 def repeated_runs(docs: DataFrame, u: Units, look: Callable[[list, np.ndarray, np.ndarray, np.ndarray], list]) -> DataFrame:
@@ -211,7 +221,7 @@ def repeated_runs(docs: DataFrame, u: Units, look: Callable[[list, np.ndarray, n
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter(
         "doc_id IS NOT NULL AND text IS NOT NULL")
     found = checkpointed(met(docs, u))
-    todo = found.filter("look").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "n", "h", "hot"))).alias("segments"))
+    todo = found.filter("look").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "n", "h", "hot", "copies"))).alias("segments"))
     units = found.filter("look").agg(F.sum(F.col("n") + F.lit(u.size))).first()[0] or 0
     n_shards = max(partitions(spark), -(-units // u.shard))
 
@@ -224,27 +234,36 @@ def repeated_runs(docs: DataFrame, u: Units, look: Callable[[list, np.ndarray, n
                 for s in segments:
                     part = all_units[s["start"]:s["start"] + s["n"] + u.size - 1]
                     if not s["hot"]:
-                        out.append((s["h"] % n_shards, doc, s["start"], s["n"], u.join(part)))
+                        out.append((s["h"] % n_shards, doc, s["start"], s["n"], u.join(part), s["copies"]))
                         continue
                     deal = (grams(u.values(part, hashes), u.size) % np.uint64(SPLIT)).astype(np.int64)
                     edges = np.flatnonzero(np.r_[True, deal[1:] != deal[:-1], True])
+                    starts = np.frombuffer(s["copies"] or b"", np.int64)
                     for a, b in zip(edges[:-1], edges[1:]):
                         shard = (s["h"] + int(deal[a]) * BASE) % n_shards
-                        out.append((shard, doc, s["start"] + int(a), int(b - a), u.join(part[a:b + u.size - 1])))
-            cols = list(zip(*out)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(),) * 4 + (pa.binary(),))],
-                                             ["shard", "doc_id", "start", "n", "units"])
+                        out.append((shard, doc, s["start"] + int(a), int(b - a), u.join(part[a:b + u.size - 1]),
+                                    (starts + a).tobytes() if len(starts) else None))
+            cols = list(zip(*out)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(),) * 4 + (pa.binary(),) * 2)],
+                                             ["shard", "doc_id", "start", "n", "units", "copies"])
 
     def sort_out(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "start"])
         doc, start, n = (group[c].to_numpy() for c in ("doc_id", "start", "n"))
         flags = look([x.split(b" ") if u.words else x for x in group["units"]], doc, start, n)
         at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        o, s, m = runs(flags, at, np.repeat(doc, n))
+        parts = [runs(flags, at, np.repeat(doc, n))]
+        base = np.cumsum(n) - n
+        for i, copies in enumerate(group["copies"]):
+            if copies is not None:  # the same windows at other places of the document
+                _, s, m = runs(flags[base[i]:base[i] + n[i]], np.arange(n[i]), np.zeros(n[i]))
+                starts = np.add.outer(np.frombuffer(copies, np.int64), s).ravel()
+                parts.append((np.full(len(starts), doc[i]), starts, np.tile(m, len(starts) // max(1, len(m)))))
+        o, s, m = (np.concatenate(c) for c in zip(*parts))
         return pd.DataFrame({"doc_id": o, "start": s, "n": m})
 
     fetched = (only_keys(docs, todo.select("doc_id"), "doc_id").dropDuplicates(["doc_id"]).join(todo, "doc_id")
-               .select("doc_id", "text", "segments").mapInArrow(fetch, "shard long, doc_id long, start long, n long, units binary"))
+               .select("doc_id", "text", "segments").mapInArrow(fetch, "shard long, doc_id long, start long, n long, units binary, copies binary"))
     looked = fetched.groupBy("shard").applyInPandas(sort_out, "doc_id long, start long, n long")
     return found.filter("NOT look").select("doc_id", "start", "n").unionByName(looked)
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barwise.llm import (best_fit_packing, decontamination, embedding_near_dedup, language_id, license_scan, ngram_jaccard,
-                         quality_classifier, substring_dedup, suffix_array_dedup, token_counts)
+                         quality_classifier, substring_dedup, suffix_array_dedup, token_counts, window_routing)
 from barwise.llm.common import components, held_out_remainder, tokenizer_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, rank int, p int"
@@ -118,6 +118,21 @@ def test_substring_dedup(docs, empty, monkeypatch):
     assert kept[0] == corpus()[0][1] and kept[1] == "" and kept[6] is None
 
 
+def test_substring_dedup_of_a_stretch_twice_in_a_document(spark, monkeypatch):
+    rows = []
+    for t in range(12):  # the smaller document has the middle of a stretch that another has twice
+        x, p, y, v, z, w = (words(1000 + 10 * t + k, n, 100_000) for k, n in enumerate((70, 70, 70, 40, 60, 60)))
+        rows += [(10 * t + 3, " ".join(z + p + w)), (10 * t + 5, " ".join(x + p + y + v + x + p + y))]
+    rows.append(rows[-1])
+    want = removed_words(rows)
+    assert sum(r[1] for r in want.values()) >= 12 * 140
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for hot in (window_routing.HOT, 1):
+        monkeypatch.setattr(window_routing, "HOT", hot)
+        got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.digests(table).collect()}
+        assert got == want
+
+
 def test_fm_index_windows():
     rng = np.random.default_rng(0)
     base = [b"%d" % x for x in rng.integers(0, 5, 140)]
