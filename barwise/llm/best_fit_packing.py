@@ -13,9 +13,9 @@ Repeated rows are packed each on its own. Extra columns are ignored.
 from __future__ import annotations
 
 import struct
-import zlib
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -92,12 +92,10 @@ def chunk_ids(name: str) -> ChunkIds:
     return ChunkIds(tokenizer_path(name))
 
 
-def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS, emit: str = "ids") -> DataFrame:
-    """(doc_id, piece, start, length, payload): the documents' pieces. The
-    payload is the ids as little-endian unsigned 32-bit ``ids`` (binary), or,
-    with ``emit="crc32"``, only their checksum ``ids_crc32``."""
+def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS) -> DataFrame:
+    """(doc_id, piece, start, length, ids): the documents' pieces, their ids as
+    little-endian unsigned 32-bit binary."""
     small_batches(docs.sparkSession)
-    crc = emit == "crc32"
     end = SEPARATOR.to_bytes(4, "little")
 
     def cut(batches):
@@ -107,14 +105,40 @@ def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS, emit:
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * max_tokens)):
                     part = ids[at:at + 4 * max_tokens]
-                    out.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part) if crc else part))
+                    out.append((doc, k, at // 4, len(part) // 4, part))
             cols = list(zip(*out)) or [()] * 5
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64() if crc else pa.binary())
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             ["doc_id", "piece", "start", "length", "ids_crc32" if crc else "ids"])
+                                             ["doc_id", "piece", "start", "length", "ids"])
 
-    schema = "doc_id long, piece int, start long, length long, " + ("ids_crc32 long" if crc else "ids binary")
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        cut, "doc_id long, piece int, start long, length long, ids binary")
+
+
+def recoded(df: DataFrame, code) -> DataFrame:
+    """``df`` with every row's ids mapped by ``code(ids, length)``."""
+    at, n = df.columns.index("ids"), df.columns.index("length")
+
+    def run(batches):
+        for batch in batches:
+            ids = [code(*x) for x in zip(batch.column(at).to_pylist(), batch.column(n).to_pylist())]
+            yield batch.set_column(at, "ids", pa.array(ids, pa.binary()))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def narrow(df: DataFrame) -> DataFrame:
+    """Ids in 16 bits where all of a piece's fit, for the checkpoint and the shuffle."""
+    def code(ids, length):
+        ids = np.frombuffer(ids, "<u4")
+        return (ids.astype("<u2") if ids.max() < 1 << 16 else ids).tobytes()
+
+    return recoded(df, code)
+
+
+def wide(df: DataFrame) -> DataFrame:
+    """Undoes ``narrow``."""
+    return recoded(df, lambda ids, length: ids if len(ids) == 4 * length else np.frombuffer(ids, "<u2").astype("<u4").tobytes())
 
 
 def best_fit(lengths: list[int], capacity: int, open_bins: int) -> tuple[list[int], list[int]]:
@@ -154,22 +178,25 @@ def best_fit(lengths: list[int], capacity: int, open_bins: int) -> tuple[list[in
 
 def pack(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS, open_bins: int = OPEN_BINS,
          block_pieces: int = BLOCK_PIECES, emit: str = "ids") -> DataFrame:
-    """Pieces of ``docs`` with their sequence_id and offset in it.
+    """Pieces of ``docs`` with their ids, sequence_id and offset in it.
 
     The pieces are checkpointed once: the number of blocks follows from their
-    number, and a lost executor doesn't bring back the tokenizer."""
-    cut = checkpointed(pieces(docs, tokenizer, max_tokens, emit))
+    number, and a lost executor doesn't bring back the tokenizer. Blocks are
+    packed by lengths alone, so that no task holds a block's ids, and the places
+    are joined back by row."""
+    if emit != "ids":
+        raise ValueError(f"emit: {emit!r}; only the ids themselves are returned")
+    cut = checkpointed(narrow(pieces(docs, tokenizer, max_tokens)).withColumn("_row", F.monotonically_increasing_id()))
     n_blocks = max(1, -(-cut.count() // block_pieces))
-    payload = cut.columns[-1]
 
     def place(key, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["length", "doc_id", "piece", "start"], ascending=[False, True, True, True])
         bins, offsets = best_fit(group["length"].tolist(), max_tokens, open_bins)
         group["sequence_id"] = [(int(key[0]) << 32) + b for b in bins]
         group["offset"] = offsets
-        return group[["doc_id", "piece", "start", "length", payload, "sequence_id", "offset"]]
+        return group[["_row", "sequence_id", "offset"]]
 
-    kind = dict(cut.dtypes)[payload]
     block = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(n_blocks))
-    return (cut.withColumn("_block", block).groupBy("_block").applyInPandas(
-        place, f"doc_id long, piece int, start long, length long, {payload} {kind}, sequence_id long, offset long"))
+    placed = (cut.select("doc_id", "piece", "start", "length", "_row", block.alias("_block")).groupBy("_block")
+              .applyInPandas(place, "_row long, sequence_id long, offset long"))
+    return wide(cut.join(placed, "_row").drop("_row"))

@@ -15,8 +15,8 @@ from .common import held_out_remainder, table
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = best_fit_packing.pack(table(spark, sf_dir, "documents"), "word_bpe_49k.json", emit="crc32")
-    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    out = best_fit_packing.pack(table(spark, sf_dir, "documents"), "word_bpe_49k.json")
+    return out.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

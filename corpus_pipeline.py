@@ -44,8 +44,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the documents' tokens into sequences."""
-    return best_fit_packing.pack(docs, "word_bpe_49k.json", emit="crc32")
+    """Packs the documents' token ids into sequences."""
+    return best_fit_packing.pack(docs, "word_bpe_49k.json")
 
 
 STAGES = [

@@ -58,6 +58,25 @@ def test_packing(docs, empty):
     assert best_fit_packing.pack(empty, "word_bpe_49k.json").count() == 0
 
 
+def test_packed_ids_are_the_output(docs, spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from barwise.llm import queries
+
+    tok = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    want = {i: tok.encode(t or "", add_special_tokens=False).ids + [0] for i, t, *_ in corpus()}
+    got = {}
+    for r in corpus_pipeline.pack(spark, docs, "").orderBy("start").dropDuplicates(["doc_id", "piece"]).collect():
+        got.setdefault(r.doc_id, {})[r.piece] = list(np.frombuffer(r.ids, "<u4"))
+    assert {i: sum((p[k] for k in sorted(p)), []) for i, p in got.items()} == want
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    crc = {(r.doc_id, r.piece): r.ids_crc32 for r in queries.op1_best_fit_packing(spark, str(tmp_path)).collect()}
+    assert crc == {(i, k): zlib.crc32(np.array(p[k], "<u4").tobytes()) for i, p in got.items() for k in p}
+    with pytest.raises(ValueError):
+        best_fit_packing.pack(docs, "word_bpe_49k.json", emit="crc32")
+
+
 def test_best_fit_takes_the_tightest_and_closes_the_fullest():
     assert best_fit_packing.best_fit([6, 5, 3, 4], 10, 9) == ([0, 1, 0, 1], [0, 0, 6, 5])
     assert best_fit_packing.best_fit([6, 5, 4], 10, 1)[0] == [0, 1, 1]
