@@ -36,6 +36,12 @@ SAMPLE_DOCS = 4000
 STEP_WORDS = 150
 EPOCHS, RATE = 4, 0.5
 REMEMBERED = 400_000
+#: Bytes above which a word's n-grams are hashed together and not remembered.
+LONG = 64
+#: Table of the checksum, a byte at a time.
+CRC = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    CRC = (CRC >> 1) ^ np.where(CRC & 1, np.uint32(0xEDB88320), np.uint32(0))
 
 
 #: The bucket of a word that repeats the one before it, and how often it counts.
@@ -46,9 +52,23 @@ def repeats(words: list[bytes]) -> int:
     return sum(map(operator.eq, words, words[1:]))
 
 
-def features(word: bytes) -> list[int]:
+def long_features(word: bytes) -> np.ndarray:
+    """``features``, over all bytes at once."""
+    marked = np.frombuffer(b"<" + word + b">", np.uint8).astype(np.uint32)
+    out = [np.array([zlib.crc32(word) % BUCKETS])]
+    for n in GRAMS:
+        crc = np.full(len(marked) - n + 1, n ^ 0xFFFFFFFF, np.uint32)
+        for k in range(n):
+            crc = CRC[(crc ^ marked[k:k + len(crc)]) & 0xFF] ^ (crc >> 8)
+        out.append(((crc ^ 0xFFFFFFFF) % BUCKETS).astype(np.int64))
+    return np.concatenate(out)
+
+
+def features(word: bytes) -> list[int] | np.ndarray:
     """Buckets of a word and of its n-grams, with marks at both ends."""
-    marked = b"<" + word[:64] + b">"
+    if len(word) > LONG:
+        return long_features(word)
+    marked = b"<" + word + b">"
     return [zlib.crc32(word) % BUCKETS] + [
         zlib.crc32(marked[i:i + n], n) % BUCKETS for n in GRAMS for i in range(len(marked) - n + 1)]
 
@@ -73,7 +93,7 @@ class Words(dict):
     def __missing__(self, word: bytes) -> complex:
         f = features(word)
         value = complex(float(self.margins[f].sum()), len(f))
-        if len(self) < REMEMBERED:
+        if len(word) <= LONG and len(self) < REMEMBERED:
             self[word] = value
         return value
 
@@ -97,7 +117,9 @@ def train(texts: list[list[bytes]], labels: list[int], prior: float | None = Non
         ids = []
         for w in words[at:at + n]:
             if (f := known.get(w)) is None:
-                f = known[w] = np.array(features(w))
+                f = np.array(features(w))
+                if len(w) <= LONG:
+                    known[w] = f
             ids.append(f)
         ids.append(np.full(REPEAT_TIMES * repeats(words[at:at + n]), REPEAT))
         ids = np.concatenate(ids)

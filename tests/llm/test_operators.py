@@ -257,6 +257,22 @@ def test_quality_classifier(spark, docs, empty):
     assert none is None and quality_classifier.score(docs, none).count() == len(corpus())
 
 
+def test_quality_features_of_whole_words():
+    word = "東京都の天気は晴れです。".encode() * 9
+    marked = b"<" + word + b">"
+    assert list(quality_classifier.features(word)) == [zlib.crc32(word) % quality_classifier.BUCKETS] + [
+        zlib.crc32(marked[i:i + n], n) % quality_classifier.BUCKETS
+        for n in quality_classifier.GRAMS for i in range(len(marked) - n + 1)]
+    same = b"x" * 64  # tells nothing; what decides comes after it
+    tail = {0: "悪い".encode() * 8, 1: "良い".encode() * 8}
+    rng = np.random.default_rng(2)
+    labels = [i % 2 for i in range(200)]
+    model = quality_classifier.train([[same + b"%d" % rng.integers(1 << 40) + tail[y]] for y in labels], labels)
+    words_ = model.scorer()
+    margin = [words_[same + b"new%d" % y + tail[y]].real for y in (0, 1)]
+    assert margin[0] < 0 < margin[1] and not words_
+
+
 def test_embedding_near_dedup(spark):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(40, 16))
