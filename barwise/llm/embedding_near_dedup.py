@@ -5,8 +5,9 @@ Equal vectors are one node with a weight. Nodes are assigned to their
 overlap; a shard larger than ``BLOCK`` is dealt into blocks, each indexed alone
 and searched by every node of the shard. In a block a flat graph is built by
 robust pruning: a node keeps a neighbour only if no kept one is much nearer to
-it. The lists of a node from all its blocks are united. The search starts from
-the block's medoid, walks greedily with a beam, and from then on expands every
+it. Centres within the threshold of each other are one shard, whose blocks all
+its nodes search, so that a dense group isn't cut. The search starts from the
+medoid of each component of the graph, and from a node itself in its own block, walks greedily with a beam, and from then on expands every
 node within a widened range of the query until none is left. Cosines of what it
 finds are verified in double precision.
 
@@ -57,6 +58,19 @@ def centres(vectors: np.ndarray, k: int, seed: int = 5) -> np.ndarray:
     return c
 
 
+def merged(c: np.ndarray, least: float) -> np.ndarray:
+    """Labels of centres: those linked by similarities of ``least`` or more share
+    one, so that a dense group cut by several centres is one shard."""
+    label = np.arange(len(c))
+    while True:
+        low = np.concatenate([np.where(c[i:i + 256] @ c.T >= least, label, len(c)).min(1) for i in range(0, len(c), 256)])
+        low = np.minimum(low, label)
+        low = low[low]
+        if (low == label).all():
+            return label
+        label = low
+
+
 def pruned(x: np.ndarray) -> np.ndarray:
     """Adjacency lists [nodes, DEGREE] (-1: none) by robust pruning of each
     node's nearest ``POOL``."""
@@ -91,17 +105,39 @@ def united(lists: np.ndarray) -> list[np.ndarray]:
     return pairs[:, 1], edge
 
 
+def medoids(x: np.ndarray, heads: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """The most central node of each component of the graph."""
+    label = np.arange(len(x))
+    tails = np.repeat(label, np.diff(edge))
+    while True:
+        low = label.copy()
+        np.minimum.at(low, tails, label[heads])
+        low = low[low]
+        if (low == label).all():
+            break
+        label = low
+    out = []
+    for k in np.unique(label):
+        mine = np.flatnonzero(label == k)
+        out.append(mine[(x[mine] @ x[mine].mean(0)).argmax()])
+    return np.array(out)
+
+
 def search(x: np.ndarray, queries: np.ndarray, heads: np.ndarray, edge: np.ndarray, least: float):
-    """(query, node) pairs with a similarity of ``least`` or more."""
-    medoid = int((x @ x.mean(0)).argmax())
+    """(query, node) pairs with a similarity of ``least`` or more. The first
+    queries are the nodes themselves; each of those starts from itself, too."""
+    starts = medoids(x, heads, edge)
     found = []
     for at in range(0, len(queries), 256):
         q = queries[at:at + 256]
         rows = np.arange(len(q))
         seen = np.full((len(q), len(x)), -9.0)  # similarity where visited
         open_ = np.zeros(seen.shape, bool)
-        seen[:, medoid] = q @ x[medoid]
-        open_[:, medoid] = True
+        seen[:, starts] = q @ x[starts].T
+        open_[:, starts] = True
+        own = np.arange(at, min(at + len(q), len(x)))
+        seen[own - at, own] = 1.0
+        open_[own - at, own] = True
 
         def expand(r: np.ndarray, node: np.ndarray) -> None:
             open_[r, node] = False
@@ -154,10 +190,11 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     part = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     sample = nodes.filter(part < F.lit(int((1 << 30) * min(1.0, SAMPLE / 2 / max(n, 1))))).select("v").limit(SAMPLE).collect()
     dims = sorted({len(r["v"]) for r in sample})
-    per_dim = {}
+    per_dim, label = {}, {}
     for d in dims:
         x = unit(np.array([r["v"] for r in sample if len(r["v"]) == d]))
         per_dim[d] = centres(x, max(1, -(-n // SHARD_NODES)) if len(x) > 1 else 1)
+        label[d] = merged(per_dim[d], threshold)
 
     def assign(batches):
         for batch in batches:
@@ -166,7 +203,8 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 c = per_dim.get(len(v))
                 v = np.asarray(v, float)
                 scale = np.abs(v).max()
-                near = [0] if c is None else np.argsort(-(c @ (v / scale)), kind="stable")[:OVERLAP].tolist()
+                near = [0] if c is None else np.argsort(-(c @ (v / scale)), kind="stable")[:OVERLAP]
+                near = near if c is None else np.unique(label[len(v)][near]).tolist()
                 out.append((i, w, v, [len(v) * (1 << 32) + k for k in near]))
             yield pd.DataFrame(out, columns=["id", "weight", "v", "shards"])
 

@@ -295,6 +295,29 @@ def test_embedding_near_dedup(spark):
     assert embedding_near_dedup.links(table.limit(0)).count() == 0
 
 
+def test_search_reaches_every_group():
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(3, 32))
+    x = embedding_near_dedup.unit(np.concatenate([b + rng.normal(size=(n, 32)) * 0.1 for b, n in zip(base, (80, 70, 60))]))
+    heads, edge = embedding_near_dedup.united(embedding_near_dedup.pruned(x))
+    assert len(embedding_near_dedup.medoids(x, heads, edge)) > 1
+    more = embedding_near_dedup.unit(x[::7] + 1e-3)
+    q = np.concatenate([x, more])
+    r, c = embedding_near_dedup.search(x, q, heads, edge, 0.9)
+    assert len(r) >= 0.99 * (q @ x.T >= 0.9).sum()
+
+
+def test_dense_group_is_one_shard():
+    rng = np.random.default_rng(9)
+    group = embedding_near_dedup.unit(rng.normal(size=64) + rng.normal(size=(8000, 64)) * 0.2)
+    other = embedding_near_dedup.unit(rng.normal(size=(2000, 64)))
+    x = np.concatenate([group, other])
+    c = embedding_near_dedup.centres(x, 10)
+    label = embedding_near_dedup.merged(c, 0.9)
+    near = label[(x @ c.T).argmax(1)]
+    assert len(set(near[:8000])) == 1 and len(set(near[8000:])) > 1
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(5, 4), (4, 3), (3, 9), (7, 8), (8, 8), (20, 10), (10, 20)], "a long, b long")
     assert {(r.node, r.component) for r in components(edges).collect()} == {
