@@ -112,6 +112,16 @@ def test_license_scan(docs, empty, spark):
         (100, 1, "mit", True), (101, 0, "apache-2.0", True)]
 
 
+def test_license_scan_of_repeated_rows(spark, monkeypatch):
+    names = [license_scan.UNKNOWN, *license_scan.TEMPLATES]
+    weights = {g: [0.3 * (n == "mit") for n in names] for g in ("the mit", "mit license")}
+    monkeypatch.setattr(license_scan, "train", lambda docs: (names, weights, [0.0] * len(names), 0.0))
+    text = "Released under the MIT License."
+    table = spark.createDataFrame([(1, text)] + [(2, text)] * 3 + [(None, text)] * 4, "doc_id long, text string")
+    got = license_scan.scan(table).collect()
+    assert len(got) == 3 and len({round(r.score, 12) for r in got}) == 1
+
+
 def removed_words(rows, size=50):
     first, out = {}, {}
     texts = {i: (t or "").encode().split() for i, t, *_ in rows if i is not None}
