@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, decontamination, embedding_near_dedup, language_id, license_scan, ngram_jaccard, quality_classifier, substring_dedup, suffix_array_dedup, token_counts
+from . import best_fit_packing, conversation_repair, decontamination, embedding_near_dedup, language_id, license_scan, ngram_jaccard, quality_classifier, substring_dedup, suffix_array_dedup, token_counts
 from .common import held_out_remainder, table
 
 
@@ -64,9 +64,14 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array_dedup.digests(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_substring_dedup": substring_dedup.ORACLE, "op7_decontamination": decontamination.ORACLE, "op8_ngram_jaccard": ngram_jaccard.ORACLE}
+    return {"op4_substring_dedup": substring_dedup.ORACLE, "op7_decontamination": decontamination.ORACLE, "op8_ngram_jaccard": ngram_jaccard.ORACLE,
+            "op13_conversation_repair": conversation_repair.ORACLE}
