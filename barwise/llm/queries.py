@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, conversation_repair, decontamination, embedding_near_dedup, language_id, license_scan, ngram_jaccard, quality_classifier, substring_dedup, suffix_array_dedup, token_counts
+from . import (ball_tree_search, best_fit_packing, conversation_repair, decontamination, embedding_near_dedup, language_id, license_scan,
+               ngram_jaccard, one_bit_search, quality_classifier, substring_dedup, suffix_array_dedup, token_counts)
 from .common import held_out_remainder, table
 
 
@@ -64,6 +65,14 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array_dedup.digests(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op11_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_one_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return one_bit_search.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
 
@@ -74,4 +83,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_substring_dedup": substring_dedup.ORACLE, "op7_decontamination": decontamination.ORACLE, "op8_ngram_jaccard": ngram_jaccard.ORACLE,
-            "op13_conversation_repair": conversation_repair.ORACLE}
+            "op11_ball_tree_search": ball_tree_search.ORACLE, "op13_conversation_repair": conversation_repair.ORACLE}
