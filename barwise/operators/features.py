@@ -2,8 +2,8 @@
 
 All windows share one specification (``symbol`` ordered by ``date``), so the
 chain plans as one Sort over the symbol partitioning produced by the resample;
-the recursive EMAs run first in one grouped-map pass over the same
-partitioning. ``p`` is adj_close, ``v`` volume; every ratio is ``ieee_div``.
+the recursive EMAs run first, composed from maps of calendar blocks. ``p`` is
+adj_close, ``v`` volume; every ratio is ``ieee_div``.
 """
 
 from __future__ import annotations
@@ -20,9 +20,9 @@ from barwise.functions.ewm import add_emas
 EMA_SPECS = [
     ("ema12", "adj_close", 12.0),
     ("ema26", "adj_close", 26.0),
-    ("signal_line", "ema12-ema26", 9.0),
     ("macd_short", "adj_close", 6.0),
     ("macd_long", "adj_close", 19.0),
+    ("signal_line", "macd", 9.0),
 ]
 
 # Model inputs in the reference's order (fixed values; %K/%D renamed, lower-cased).
@@ -203,32 +203,30 @@ def rsi(c: Column, n: int = 2) -> Column:
 
 
 def add_ema_features(df: DataFrame) -> DataFrame:
-    """EMAs in one grouped-map pass, then their differences."""
-    out = add_emas(df, EMA_SPECS)
-    return (out
-            .withColumn("macd", F.col("ema12") - F.col("ema26"))
-            .withColumn("macd_distance", F.col("macd") - F.col("signal_line"))
-            .withColumn("macd_diff", F.col("macd_short") - F.col("macd_long")))
+    """The EMAs of the price, then that of their difference."""
+    out = add_emas(df, [s for s in EMA_SPECS if s[1] == "adj_close"])
+    out = add_emas(out.selectExpr("*", "ema12 - ema26 AS macd"), [s for s in EMA_SPECS if s[1] == "macd"])
+    return out.selectExpr("*", "macd - signal_line AS macd_distance", "macd_short - macd_long AS macd_diff")
 
 
 MAX_SYMBOL_BUCKETS = 1024
 
 
-def symbol_prefix(totals: DataFrame, cols: dict[str, str],
-                  buckets: int = MAX_SYMBOL_BUCKETS, seed: int = 42) -> DataFrame:
+def symbol_prefix(totals: DataFrame, cols: dict[str, str], buckets: int = MAX_SYMBOL_BUCKETS) -> DataFrame:
     """Exclusive prefix sums over symbols in symbol order: for each symbol,
     the sum of ``cols`` (input -> output name) over all smaller symbols.
 
-    Two levels, so no task sees every symbol: up to ``buckets`` random symbols
-    become range boundaries (one small bounded job; collected once, then
-    literals in the plan), each symbol gets the bucket of its range, the
-    ordered pass runs over the bucket totals only (at most ``buckets`` + 1
-    rows), and the within-bucket prefix is a window per bucket.
+    Two levels, so no task sees every symbol: the ``buckets`` symbols of least
+    hash become range boundaries (one array, a scalar subquery of the same
+    plan), each symbol gets the bucket of its range, the ordered pass runs over
+    the bucket totals only (at most ``buckets`` + 1 rows), and the prefix within
+    a bucket is a window per bucket. Nothing runs before the action.
     """
-    bounds = sorted(r[0] for r in totals.select("symbol")
-                    .orderBy(F.rand(seed)).limit(buckets).collect())
-    arr = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<string>")
-    tb = totals.withColumn("_bucket", F.size(F.filter(arr, lambda b: b <= F.col("symbol"))))
+    some = totals.select(F.col("symbol").alias("_s")).filter("_s IS NOT NULL").orderBy(F.xxhash64("_s"), "_s").limit(buckets)
+    bounds = some.agg(F.sort_array(F.collect_list("_s")).alias("bounds")).scalar()
+    below = F.size(F.filter("_bounds", lambda b: b <= F.col("symbol")))
+    tb = (totals.withColumn("_bounds", bounds).withColumn("_bucket", F.when(F.col("symbol").isNull(), -1).otherwise(below))
+          .drop("_bounds"))
     sums = {c: f"_b{c}" for c in cols}
     per_bucket = tb.groupBy("_bucket").agg(*[F.sum(c).alias(sums[c]) for c in cols])
     before_b = "OVER (ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
@@ -242,7 +240,7 @@ def symbol_prefix(totals: DataFrame, cols: dict[str, str],
         "symbol", *[f"_bo{c} + _wo{c} AS {out}" for c, out in cols.items()])
 
 
-def cumulative_vwap(df: DataFrame, scope: str = "global") -> DataFrame:
+def cumulative_vwap(df: DataFrame, scope: str = "global", bars: DataFrame | None = None) -> DataFrame:
     """running sum(p*v) / sum(v).
 
     ``scope="global"`` reproduces the reference: ONE running sum over all
@@ -252,7 +250,8 @@ def cumulative_vwap(df: DataFrame, scope: str = "global") -> DataFrame:
     most 1,025 bucket totals plus per-bucket windows), which is added to the
     symbol's own running sums. The offsets join back on the symbol without shuffling the bar side
     (it is already partitioned by symbol; AQE broadcasts the offsets when
-    they are small). ``scope="symbol"`` is the causal, per-symbol variant.
+    they are small). ``bars`` may give the same rows by a shorter plan, for the
+    totals. ``scope="symbol"`` is the causal, per-symbol variant.
     """
     pv = "CASE WHEN adj_close IS NOT NULL THEN adj_close * volume END"
     run = df.selectExpr("*", f"sum({pv}) {_EXP} AS _run_pv", f"sum(volume) {_EXP} AS _run_v")
@@ -260,7 +259,7 @@ def cumulative_vwap(df: DataFrame, scope: str = "global") -> DataFrame:
         out = run.selectExpr(
             "*", f"CASE WHEN adj_close IS NOT NULL THEN {div_sql('_run_pv', '_run_v')} END AS vwap")
     else:
-        totals = df.groupBy("symbol").agg(
+        totals = (df if bars is None else bars).groupBy("symbol").agg(
             F.expr(f"coalesce(sum({pv}), 0.0D)").alias("_tpv"),
             F.expr("coalesce(sum(volume), 0L)").alias("_tv"))
         offsets = symbol_prefix(totals, {"_tpv": "_opv", "_tv": "_ov"})
@@ -275,24 +274,23 @@ def add_features(weekly: DataFrame, vwap_scope: str = "global",
                  materialize: bool = True, causal: bool = False) -> DataFrame:
     """F1-F69 over weekly bars (one row per symbol and week).
 
-    The global VWAP needs the weekly bars twice (per-symbol totals and the
-    row-level running sums). Spark prunes the two consumers differently, so
+    The global VWAP and the EMAs need the weekly bars twice (totals and
+    rows). Spark prunes the consumers differently, so
     their shuffles would not be shared and the whole upstream (scan, join,
     daily and weekly aggregates) would run twice. ``materialize`` persists
     the weekly bars (memory, spilling to disk; a lost block is recomputed
     from lineage) so the upstream runs once. A cached plan keeps its
-    hash-by-symbol partitioning, so the windows, the per-symbol totals and
-    the EMA grouped map (run last, on the sorted partitions) add no Exchange
-    over the weekly rows. ``causal=True`` replaces the look-ahead features
+    hash-by-symbol partitioning, so the windows and the per-symbol totals add
+    no Exchange over the weekly rows. The EMAs come first, on the narrow rows;
+    the small tables of block entries and offsets are joined by key. ``causal=True`` replaces the look-ahead features
     (whole-history constants, the all-symbol VWAP) by causal ones.
     """
     if causal:  # SURVEY X1: no look-ahead anywhere
         vwap_scope = "symbol"
     if materialize and vwap_scope == "global":
         weekly = weekly.persist(StorageLevel.MEMORY_AND_DISK)
-    df = add_window_features(weekly, causal)
-    df = cumulative_vwap(df, vwap_scope)
-    return add_ema_features(df)
+    df = cumulative_vwap(add_ema_features(weekly), vwap_scope, weekly)
+    return add_window_features(df, causal)
 
 
 def feature_columns() -> list[str]:

@@ -175,7 +175,7 @@ def _window_group(cols: list[str], digits: int = 6) -> Query:
 
 
 def q_feat_ema_macd(spark, sf):
-    df = ft.add_ema_features(weekly(spark, sf))
+    df = ft.add_ema_features(weekly(spark, sf).persist())
     cols = ["ema12", "ema26", "macd", "signal_line", "macd_distance", "macd_short",
             "macd_long", "macd_diff"]
     return df.select("symbol", "date", *[r(c) for c in cols])

@@ -168,9 +168,9 @@ wf AS (
 
 
 def _ema_cte() -> str:
-    """EMAs by recursion over each symbol's rows (same update as ema_values)."""
-    direct = [(n, s) for n, src, s in EMA_SPECS if "-" not in src]
-    sig = [(n, src, s) for n, src, s in EMA_SPECS if "-" in src]
+    """EMAs by recursion over each symbol's rows (the plain recurrence)."""
+    direct = [(n, s) for n, src, s in EMA_SPECS if src == "adj_close"]
+    sig = [(n, "ema12-ema26", s) for n, src, s in EMA_SPECS if src == "macd"]
 
     def step(y: str, w: str, x: str, span: float) -> tuple[str, str]:
         a = 2.0 / (span + 1.0)

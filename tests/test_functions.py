@@ -2,13 +2,12 @@
 import datetime as dt
 import math
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from barwise.functions import ts
 from barwise.functions.arith import ieee_div
-from barwise.functions.ewm import ema_values
+from barwise.functions.ewm import add_emas
 from barwise.operators.features import cumulative_vwap, rsi
 
 
@@ -35,15 +34,55 @@ def close(a, b, tol=1e-6):
     return abs(a - b) <= tol
 
 
-def test_ema_with_gap():
-    out = ema_values(np.array([1, 2, np.nan, 4, 4, 4, 4, 0], dtype=float), 3)
-    want = [1, 1.5, 1.5, 3.166667, 3.583333, 3.791667, 3.895833, 1.947917]
-    assert all(close(a, b) for a, b in zip(out, want))
+def ema(values, span):
+    """The recurrence, value by value."""
+    alpha, y, weight, out = 2 / (span + 1), None, 1.0, []
+    for v in values:
+        weight *= 1 - alpha
+        if v is not None:
+            y = v if y is None else (weight * y + alpha * v) / (weight + alpha)
+            weight = 1.0
+        out.append(y)
+    return out
 
 
-def test_ema_leading_missing():
-    out = ema_values(np.array([np.nan, 2.0, 4.0]), 3)
-    assert np.isnan(out[0]) and out[1] == 2.0 and out[2] == 3.0
+def test_ema_with_gap(spark):
+    df = add_emas(series_df(spark, [1, 2, None, 4, 4, 4, 4, 0]), [("e", "x", 3)])
+    want = [1, 1.5, 1.5, 3.166667, 3.583333, 3.791667, 3.895833, 1.947917]
+    assert all(close(a, b) for a, b in zip(collect(df, "e"), want))
+
+
+def test_ema_leading_missing(spark):
+    assert collect(add_emas(series_df(spark, [None, 2, 4]), [("e", "x", 3)]), "e") == [None, 2, 3]
+
+
+@pytest.mark.parametrize("block_days", [7, 50, 896])
+def test_ema_of_one_long_series_in_blocks(spark, block_days):
+    """One symbol, in many blocks: the same as the recurrence, without Python
+    nodes, and its rows lie in several tasks."""
+    import random
+
+    rng = random.Random(block_days)
+    days = sorted(rng.sample(range(4000), 900))
+    values = [None if rng.random() < 0.3 or 100 < i < 180 else rng.uniform(-5, 90) for i in range(len(days))]
+    start = dt.date(1968, 3, 1)
+    rows = [("A", start + dt.timedelta(days=d), v) for d, v in zip(days, values)] + [("B", start, None), ("C", start, 4.0), (None, start, 1.0)]
+    df = spark.createDataFrame(rows, "symbol string, date date, x double").repartition(3)
+    out = add_emas(df, [("a", "x", 2.0), ("b", "x", 26.0)], block_days=block_days)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+    got = [r for r in out.collect() if r.symbol == "A"]
+    got.sort(key=lambda r: r.date)
+    for name, span in (("a", 2.0), ("b", 26.0)):
+        for r, want in zip(got, ema(values, span)):
+            assert (r[name] is None) == (want is None) and (want is None or abs(r[name] - want) < 1e-9)
+    assert {r.symbol: r.a for r in out.collect() if r.symbol != "A"} == {"B": None, "C": 4.0, None: 1.0}
+    if block_days == 7:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            assert out.where("symbol = 'A'").groupBy(F.spark_partition_id()).count().count() > 1
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_rolling_skew_kurt(spark):
