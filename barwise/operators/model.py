@@ -1,38 +1,49 @@
 """Base learners, stacking, random search and metrics.
 
-The reference trains LightGBM / XGBoost / CatBoost on one machine and stacks
-them with a scikit-learn forest. Here every learner is a Spark ML estimator
-(distributed tree induction over the partitioned feature frame); the three
-"profiles" keep the reference's hyper-parameter surface mapped onto
-``GBTRegressor`` (MLlib has no regularisation terms, which are dropped).
+The reference trains three boosting libraries on one machine and stacks them
+with a scikit-learn forest. Here the base learners are ``operators.boosting``
+(second-order boosting over the partitioned, binned feature frame, all trials of
+a search in shared passes), and the stack is Spark ML's forest. The three
+profiles keep the reference's hyper-parameter surface, leaf penalties included.
 """
 
 from __future__ import annotations
 
 import random
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barwise.operators import boosting
+from barwise.operators.boosting import PATIENCE, SEED, Booster, Trial
 from barwise.operators.features import LABEL, MODEL_FEATURES
 
 # Search ranges of the reference (fixed values): name -> (low, high, kind).
 PROFILES = {
     "lightgbm": {"maxIter": (100, 1000, "int"), "stepSize": (0.01, 0.3, "log"),
-                 "maxDepth": (3, 15, "int"), "subsamplingRate": (0.1, 1.0, "uniform"),
-                 "featureFraction": (0.1, 1.0, "uniform")},
+                 "maxDepth": (3, 15, "int"), "regAlpha": (0.001, 10, "log"), "regLambda": (0.001, 10, "log"),
+                 "subsamplingRate": (0.1, 1.0, "uniform"), "featureFraction": (0.1, 1.0, "uniform")},
     "xgboost": {"maxIter": (100, 1000, "int"), "stepSize": (0.01, 0.3, "log"),
-                "maxDepth": (3, 15, "int"), "subsamplingRate": (0.1, 1.0, "uniform"),
-                "featureFraction": (0.1, 1.0, "uniform")},
+                "maxDepth": (3, 15, "int"), "regAlpha": (0.001, 10, "log"), "regLambda": (0.001, 10, "log"),
+                "subsamplingRate": (0.1, 1.0, "uniform"), "featureFraction": (0.1, 1.0, "uniform")},
     "catboost": {"maxIter": (100, 1000, "int"), "stepSize": (0.01, 0.3, "log"),
-                 "maxDepth": (3, 15, "int")},
+                 "maxDepth": (3, 15, "int"), "l2LeafReg": (0.001, 10, "log"),
+                 "baggingTemperature": (0, 1, "uniform"), "randomStrength": (0.001, 10, "log")},
 }
-SEED = 42
+# Settings of the profiles' libraries that no search varies (fixed values).
+PROFILE_SETTINGS = {
+    "lightgbm": {"leaves": 31, "min_child": 20.0, "lambda_": 0.0},
+    "xgboost": {"min_child": 1.0},
+    "catboost": {"symmetric": True, "lambda_": 3.0, "min_child": 0.0, "temperature": 1.0, "noise": 1.0},
+}
+# Our names of the hyper-parameters -> fields of ``Trial``.
+PARAMETERS = {"maxIter": "rounds", "stepSize": "rate", "maxDepth": "depth", "regAlpha": "alpha", "regLambda": "lambda_",
+              "l2LeafReg": "lambda_", "subsamplingRate": "row_fraction", "featureFraction": "feature_fraction",
+              "baggingTemperature": "temperature", "randomStrength": "noise"}
 
 
 def finite(c: str) -> Column:
@@ -51,55 +62,32 @@ def model_frame(df: DataFrame, features: Sequence[str] = MODEL_FEATURES) -> Data
     return df.select(*keep, *[finite(c) for c in features])
 
 
-def _estimator(profile: str, params: dict, features_col: str, pred_col: str):
-    p = dict(params)
-    fraction = p.pop("featureFraction", None)
-    est = GBTRegressor(featuresCol=features_col, labelCol=LABEL, predictionCol=pred_col,
-                       seed=SEED, maxBins=32)
-    if fraction is not None:
-        est = est.setFeatureSubsetStrategy(str(round(float(fraction), 4)))
-    if "maxDepth" in p:
-        p["maxDepth"] = int(p["maxDepth"])
-    if "maxIter" in p:
-        p["maxIter"] = int(p["maxIter"])
-    return est.setParams(**p)
+def trial(name: str, profile: str, features: Sequence[str], params: dict) -> Trial:
+    """The settings of one learner: the profile's, then ``params``."""
+    given = {PARAMETERS[k]: v for k, v in params.items()}
+    whole = {k: int(given[k]) for k in ("rounds", "depth") if k in given}
+    return Trial(name, list(features), **(PROFILE_SETTINGS[profile] | given | whole))
 
 
 def fit_base(df: DataFrame, profile: str, features: Sequence[str], params: dict,
-             name: str, validation_col: str | None = None,
-             validation_tol: float | None = None) -> PipelineModel:
-    """M2-M4: one base learner on a feature subset (P16); the assembler stage
-    stores the subset with the model (S12).
+             name: str, validation_col: str | None = None, patience: int = PATIENCE) -> Booster:
+    """M2-M4: one base learner on a feature subset (P16), which it stores.
 
     M5: with ``validation_col`` (a boolean column marking the early-stopping
-    rows, e.g. the test period) boosting stops once the validation error no
-    longer improves by ``validation_tol`` — MLlib's rule, not a patience
-    count. MLlib takes the tolerance relative to max(error, 0.01), which is
-    more than the whole variance of weekly returns, so by default it is set on
-    the label's own scale: one step must gain 0.01 % of its variance."""
-    vec = f"{name}_features"
-    assembler = VectorAssembler(inputCols=list(features), outputCol=vec, handleInvalid="error")
-    est = _estimator(profile, params, vec, name)
-    if validation_col is not None:
-        if validation_tol is None:
-            variance = df.agg(F.var_pop(LABEL)).first()[0] or 0.0
-            validation_tol = 1e-4 * min(1.0, variance / 0.01)
-        est = est.setValidationIndicatorCol(validation_col).setParams(validationTol=validation_tol)
-    return Pipeline(stages=[assembler, est]).fit(df)
-
-
-def score(df: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
+    rows, e.g. the test period) boosting stops ``patience`` iterations after
+    the best validation error and keeps the trees up to that."""
+    return boosting.fit_many(df, [trial(name, profile, features, params)], LABEL, validation_col, patience)[0]
+
+
+def score(df: DataFrame, models: dict[str, Booster]) -> DataFrame:
     """Append one prediction column per model in a single pass
-    (transform adds columns in place, so no positional re-alignment)."""
-    out = df
-    for name, model in models.items():
-        out = model.transform(out).drop(f"{name}_features")
-    return out
+    (columns are added in place, so no positional re-alignment)."""
+    return boosting.score(df, models)
 
 
-def fit_stack(df: DataFrame, cols: Sequence[str], trees: int = 100, depth: int = 5) -> PipelineModel:
+def fit_stack(df: DataFrame, cols: Sequence[str], trees: int = 100, depth: int = 10) -> PipelineModel:
     """Random forest over the base predictions (bootstrap, all features
-    per split, seed 42)."""
+    per split, seed 42). The reference's trees have no depth limit."""
     assembler = VectorAssembler(inputCols=list(cols), outputCol="stack_features")
     rf = RandomForestRegressor(featuresCol="stack_features", labelCol=LABEL,
                                predictionCol="predicted_return", numTrees=trees, maxDepth=depth,
@@ -126,7 +114,7 @@ def sample_trials(profiles: Sequence[str], metrics: Sequence[str], n_trials: int
                   ranges: dict | None = None) -> list[dict]:
     """M6: seeded random search space — a feature mask and the profile's
     hyper-parameters per trial (Optuna's adaptive sampler is replaced by
-    independent seeded draws so all trials can run concurrently). ``ranges``
+    independent seeded draws so all trials can share passes). ``ranges``
     replaces a profile's search range by name; draws are passed on unchanged."""
     rng = random.Random(seed)
     trials = []
@@ -149,31 +137,31 @@ def sample_trials(profiles: Sequence[str], metrics: Sequence[str], n_trials: int
     return trials
 
 
-def random_search(train: DataFrame, test: DataFrame, trials: list[dict],
-                  parallelism: int = 4, early_stopping: bool = True) -> DataFrame:
-    """M6: fit every trial on ``train`` (a bounded pool of concurrent Spark
-    jobs) and score ``test``; returns the union of all trials' signals with
-    ``scenario_id = trial_id``, ready for one multi-scenario backtest.
-    With ``early_stopping`` the test rows serve as the validation set (M5),
-    as in the reference's search."""
-    fit_df, val = train, None
-    if early_stopping:
-        fit_df = (train.withColumn("_is_val", F.lit(False))
-                  .unionByName(test.withColumn("_is_val", F.lit(True))))
+def fit_trials(train: DataFrame, trials: list[dict], test: DataFrame | None = None, patience: int = PATIENCE) -> list[Booster]:
+    """All trials at once, over one binned frame; ``test`` rows, if given, are
+    the early-stopping set (M5), as in the reference's search."""
+    df, val = train, None
+    if test is not None:
         val = "_is_val"
+        df = train.withColumn(val, F.lit(False)).unionByName(test.withColumn(val, F.lit(True)))
+    return boosting.fit_many(df, [trial(t["trial_id"], t["profile"], t["features"], t["params"]) for t in trials], LABEL, val, patience)
 
-    def fit_one(trial):
-        m = fit_base(fit_df, trial["profile"], trial["features"], trial["params"], "pred",
-                     validation_col=val)
-        scored = m.transform(test)
-        return signals_from(scored, "pred", trial["trial_id"])
-
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        frames = list(pool.map(fit_one, trials))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+
+def trial_signals(df: DataFrame, models: Sequence[Booster], *keep: str) -> DataFrame:
+    """(date, symbol, scenario_id, predicted_return, *keep): every model's
+    predictions, scored in one pass, with ``scenario_id`` = the model's name."""
+    scored = score(df, {f"_p{i}": m for i, m in enumerate(models)})
+    each = F.explode(F.array(*[F.struct(F.lit(m.name).alias("scenario_id"), F.col(f"_p{i}").alias("predicted_return"))
+                               for i, m in enumerate(models)]))
+    return scored.select("date", "symbol", *keep, each.alias("_t")).select("date", "symbol", "_t.scenario_id", "_t.predicted_return", *keep)
+
+
+def random_search(train: DataFrame, test: DataFrame, trials: list[dict],
+                  early_stopping: bool = True, patience: int = PATIENCE) -> DataFrame:
+    """M6: fit every trial on ``train``, all in shared passes, and score
+    ``test``; returns all trials' signals with ``scenario_id = trial_id``,
+    ready for one multi-scenario backtest."""
+    return trial_signals(test, fit_trials(train, trials, test if early_stopping else None, patience))
 
 
 def refit_best(train: DataFrame, test: DataFrame, trials: list[dict], best: DataFrame,
@@ -185,26 +173,14 @@ def refit_best(train: DataFrame, test: DataFrame, trials: list[dict], best: Data
     from barwise.operators import backtest as bt
     chosen = {r.scenario_id for r in best.select("scenario_id").distinct().collect()}
     picked = [t for t in trials if t["trial_id"] in chosen]
-    scored, sigs = [], []
-    for t in picked:
-        m = fit_base(train, t["profile"], t["features"], t["params"], "pred")
-        out = m.transform(test).select("symbol", "date", LABEL, "pred",
-                                       F.lit(t["trial_id"]).alias("scenario_id"))
-        scored.append(out)
-        sigs.append(signals_from(out, "pred", t["trial_id"]))
-    union = scored[0]
-    for f in scored[1:]:
-        union = union.unionByName(f)
-    sig = sigs[0]
-    for f in sigs[1:]:
-        sig = sig.unionByName(f)
+    sig = trial_signals(test, fit_trials(train, picked), LABEL)
     grid = train.sparkSession.createDataFrame(
         [(t["trial_id"], 5, 0.04, 0.001, 100000.0, 0.0) for t in picked], bt.SCENARIO_SCHEMA)
-    return {"metrics": regression_metrics(union, LABEL, "pred", by=["scenario_id"]),
-            "summary": bt.run_backtest(sig, bars, grid)["summary"]}
+    return {"metrics": regression_metrics(sig, LABEL, "predicted_return", by=["scenario_id"]),
+            "summary": bt.run_backtest(sig.drop(LABEL), bars, grid)["summary"]}
 
 
-def score_and_store(spark, frame: DataFrame, models: dict[str, PipelineModel],
+def score_and_store(spark, frame: DataFrame, models: dict[str, Booster],
                     stack: PipelineModel, table: str, period: str = "prediction") -> DataFrame:
     """Score one period with the base models and the stacker and append
     the predictions (date, symbol, predicted_return, return, open, adj_close)
@@ -218,13 +194,14 @@ def score_and_store(spark, frame: DataFrame, models: dict[str, PipelineModel],
     return insert_ignore(spark, out, table)
 
 
-def save_models(models: dict[str, PipelineModel], path: str) -> None:
-    """Persist each model (with its assembler = feature list)."""
+def save_models(models: dict[str, Booster], path: str) -> None:
+    """Persist each model, its feature list with it, as one JSON text."""
+    spark = SparkSession.getActiveSession()
     for name, m in models.items():
-        m.write().overwrite().save(f"{path}/{name}")
+        spark.createDataFrame([(m.to_json(),)], "model string").coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
 
 
-def load_models(path: str, names: Sequence[str]) -> dict[str, PipelineModel]:
+def load_models(path: str, names: Sequence[str]) -> dict[str, Booster]:
     """Load those of ``names`` that exist, skip the others. A model that
     exists and can't be read is an error."""
     spark = SparkSession.getActiveSession()
@@ -232,5 +209,5 @@ def load_models(path: str, names: Sequence[str]) -> dict[str, PipelineModel]:
     for name in names:
         place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
         if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-            out[name] = PipelineModel.load(f"{path}/{name}")
+            out[name] = Booster.from_json(spark.read.parquet(f"{path}/{name}").first()["model"])
     return out

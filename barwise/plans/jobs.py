@@ -79,14 +79,9 @@ def train_models(spark: SparkSession, bars: DataFrame, model_path: str, n_trials
         b = bt.best_scenario(tagged.where(F.col("metric") == objective), objective, ["profile"])
         b = b.withColumn("objective", F.lit(objective))
         best = b if best is None else best.unionByName(b)
-    chosen = {r.scenario_id: (r.profile, r.objective) for r in best.collect()}
-    by_id = {t["trial_id"]: t for t in trials}
-    models = {}
-    for trial_id, (profile, objective) in chosen.items():
-        t = by_id[trial_id]
-        models[f"{profile}_{objective}"] = ml.fit_base(train, profile, t["features"], t["params"],
-                                                       f"{profile}_{objective}")
-    ml.save_models(models, model_path)
+    chosen = {r.scenario_id: f"{r.profile}_{r.objective}" for r in best.collect()}
+    picked = [t for t in trials if t["trial_id"] in chosen]
+    ml.save_models({chosen[m.name]: m for m in ml.fit_trials(train, picked)}, model_path)
     return {"summary": summary, "best": best}
 
 

@@ -1,17 +1,21 @@
-"""Registered model queries (rows-only checks: tree learners have no SQL form).
-
-The learners' budgets here are explicit arguments, small ones so that the
-checks end in time; the full search ranges are in ``operators.model.PROFILES``.
-``base_scores`` and ``stacked_scores`` return facts that hold for any sound
-learner, so SQL can check them.
+"""Registered model queries.
+
+``base_scores`` and ``stacked_scores`` return every prediction (rows-only checks:
+learners have no SQL form); ``base_score_facts`` and ``stacked_score_facts`` are
+facts that hold for any sound learner, and ``boost_tree`` is one tree in full,
+which SQL can check. The base learners run 100 iterations with the libraries'
+default depth, the stack 100 trees. ``random_search`` has the reference's trials
+and ranges but for the iterations (``SEARCH_RANGES``, ``SEARCH_PATIENCE``); README
+has the times.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barwise.operators import backtest as bt
+from barwise.operators import boosting
 from barwise.operators import model as ml
 from barwise.operators.features import LABEL, MODEL_FEATURES
 from barwise.operators.split import split_periods
@@ -19,13 +23,17 @@ from barwise.plans import catalog as cat
 
 # Budgets of the registered checks.
 BASE_PARAMS = {
-    "lightgbm": {"maxIter": 10, "stepSize": 0.1, "maxDepth": 4, "subsamplingRate": 0.8,
-                 "featureFraction": 0.8},
-    "xgboost": {"maxIter": 10, "stepSize": 0.1, "maxDepth": 4, "subsamplingRate": 0.8,
-                "featureFraction": 0.6},
-    "catboost": {"maxIter": 10, "stepSize": 0.1, "maxDepth": 4},
+    "lightgbm": {"maxIter": 100, "stepSize": 0.1, "maxDepth": 6, "regAlpha": 0.1, "regLambda": 1.0,
+                 "subsamplingRate": 0.8, "featureFraction": 0.8},
+    "xgboost": {"maxIter": 100, "stepSize": 0.1, "maxDepth": 6, "regAlpha": 0.1, "regLambda": 1.0,
+                "subsamplingRate": 0.8, "featureFraction": 0.6},
+    "catboost": {"maxIter": 100, "stepSize": 0.1, "maxDepth": 6, "l2LeafReg": 3.0},
 }
-SEARCH_RANGES = {"maxIter": (3, 8, "int"), "maxDepth": (2, 4, "int")}
+SEARCH_RANGES = {"maxIter": (3, 6, "int")}
+SEARCH_TRIALS, SEARCH_PATIENCE = 10, 2
+# The tree of ``boost_tree``.
+TREE_FEATURES = ["adj_close", "rsi_2w", "momentum_4w", "stoch_d", "atr", "weekly_return"]
+TREE_PARAMS = dict(depth=2, alpha=5.0, lambda_=2.0, rate=0.5, min_child=20.0)
 
 
 def frame(spark: SparkSession, sf: str) -> DataFrame:
@@ -46,46 +54,70 @@ def model_facts(scored: DataFrame, predictions: list[str]) -> DataFrame:
 
 def base_models(df: DataFrame):
     train = df.where(F.col("period") == "train")
-    return {name: ml.fit_base(train, name, MODEL_FEATURES, params, name)
-            for name, params in BASE_PARAMS.items()}
+    trials = [dict(trial_id=p, profile=p, features=MODEL_FEATURES, params=params) for p, params in BASE_PARAMS.items()]
+    return {m.name: m for m in ml.fit_trials(train, trials)}
 
 
-def q_base_scores(spark, sf):
+def base_predictions(spark, sf):
     df = frame(spark, sf)
-    scored = ml.score(df, base_models(df))
-    return model_facts(scored, list(BASE_PARAMS))
+    return ml.score(df, base_models(df))
+
+
+def stacked_predictions(spark, sf):
+    scored = base_predictions(spark, sf).persist()
+    stack = ml.fit_stack(scored.where(F.col("period") == "train"), list(BASE_PARAMS))
+    return stack.transform(scored)
+
+
+def q_base_scores(spark, sf):
+    return base_predictions(spark, sf).select("symbol", "date", "period", *BASE_PARAMS)
+
+
+def q_base_score_facts(spark, sf):
+    return model_facts(base_predictions(spark, sf), list(BASE_PARAMS))
 
 
 def q_stacked_scores(spark, sf):
-    df = frame(spark, sf)
-    scored = ml.score(df, base_models(df)).persist()
-    stack = ml.fit_stack(scored.where(F.col("period") == "train"), list(BASE_PARAMS), trees=20, depth=4)
-    return model_facts(stack.transform(scored), ["predicted_return"])
+    return stacked_predictions(spark, sf).select("symbol", "date", "period", "predicted_return")
+
+
+def q_stacked_score_facts(spark, sf):
+    return model_facts(stacked_predictions(spark, sf), ["predicted_return"])
+
+
+def q_boost_tree(spark, sf):
+    """The first tree of a booster over the training rows, node by node."""
+    train = frame(spark, sf).where(F.col("period") == "train")
+    one = boosting.Trial("tree", TREE_FEATURES, rounds=1, **TREE_PARAMS)
+    model = boosting.fit_many(train.select("symbol", "date", LABEL, *TREE_FEATURES), [one], LABEL)[0]
+    rows = [(path, feature, threshold, gain, value) for _, path, feature, threshold, gain, value in boosting.tree_rows(model)]
+    out = spark.createDataFrame(rows, "path string, feature string, threshold double, gain double, value double")
+    return out.select("path", "feature", cat.r("threshold", 6), cat.r("gain", 1), cat.r("value", 4))
 
 
 def q_random_search(spark, sf):
     df = frame(spark, sf)
     train = df.where(F.col("period") == "train")
     test = df.where(F.col("period") == "test")
-    trials = ml.sample_trials(list(ml.PROFILES), ["roi", "sharpe_ratio"], n_trials=1,
-                              ranges=SEARCH_RANGES)
-    sigs = ml.random_search(train, test, trials, parallelism=6)
+    trials = ml.sample_trials(list(ml.PROFILES), ["roi", "sharpe_ratio"], SEARCH_TRIALS, ranges=SEARCH_RANGES)
+    sigs = ml.random_search(train, test, trials, patience=SEARCH_PATIENCE).persist()
     grid = spark.createDataFrame(
         [(t["trial_id"], 5, 0.04, 0.001, 100000.0, 0.0) for t in trials], bt.SCENARIO_SCHEMA)
     res = bt.run_backtest(sigs, cat.daily(spark, sf), grid)
     meta = spark.createDataFrame([(t["trial_id"], t["profile"], t["metric"]) for t in trials],
                                  "scenario_id string, profile string, metric string")
-    summary = res["summary"].join(meta, "scenario_id")
-    roi = bt.best_scenario(summary.where(F.col("metric") == "roi"), "roi", ["profile"])
-    sharpe = bt.best_scenario(summary.where(F.col("metric") == "sharpe_ratio"),
-                              "sharpe_ratio", ["profile"])
-    return (roi.withColumn("objective", F.lit("roi"))
-            .unionByName(sharpe.withColumn("objective", F.lit("sharpe_ratio"))))
+    rank = Window.partitionBy("profile", "metric").orderBy(
+        F.desc(F.when(F.col("metric") == "roi", F.col("roi")).otherwise(F.col("sharpe_ratio"))), "scenario_id")
+    return (res["summary"].join(meta, "scenario_id").withColumn("best", F.row_number().over(rank) == 1)
+            .select("profile", "metric", "scenario_id", "roi", "sharpe_ratio", "trades", "best"))
 
 
 def queries():
     return {
         "base_scores": q_base_scores,
+        "base_score_facts": q_base_score_facts,
         "stacked_scores": q_stacked_scores,
+        "stacked_score_facts": q_stacked_score_facts,
+        "boost_tree": q_boost_tree,
         "random_search": q_random_search,
     }

@@ -425,6 +425,51 @@ FROM (SELECT *, {_period()} AS period FROM complete), (VALUES {names}) l(learner
 GROUP BY learner, period"""
 
 
+def _boost_tree() -> str:
+    """One tree of two levels: split gains and leaves from plain sums."""
+    from barwise.operators.boosting import MAX_BINS
+    from barwise.plans.learn import TREE_FEATURES, TREE_PARAMS
+    p = TREE_PARAMS
+    soft = lambda g: f"(sign({g}) * greatest(abs({g}) - {p['alpha']}, 0))"
+    score = lambda g, h: f"({soft(g)} * {soft(g)} / ({h} + {p['lambda_']}))"
+    names = ", ".join(f"('{f}', {i})" for i, f in enumerate(TREE_FEATURES))
+    values = "CASE feature " + " ".join(f"""WHEN '{f}' THEN CAST("{f}" AS DOUBLE)""" for f in TREE_FEATURES) + " END"
+    at = "[" + ", ".join(repr(k / MAX_BINS) for k in range(1, MAX_BINS)) + "]"
+
+    def level(n: int) -> str:
+        return f"""sums{n} AS (
+  SELECT path, c.feature, c.k, c.edge, sum(g) FILTER (v <= c.edge) AS gl, count(*) FILTER (v <= c.edge) AS hl, sum(g) AS g, count(*) AS h
+  FROM node{n} JOIN edges c USING (feature) GROUP BY path, c.feature, c.k, c.edge),
+best{n} AS (
+  SELECT * FROM (SELECT *, {score('gl', 'hl')} + {score('(g - gl)', '(h - hl)')} - {score('g', 'h')} AS gain FROM sums{n}
+    WHERE hl >= {p['min_child']} AND h - hl >= {p['min_child']})
+  QUALIFY row_number() OVER (PARTITION BY path ORDER BY gain DESC, k, edge) = 1 AND gain > 0),
+node{n + 1} AS (
+  SELECT r.id, r.feature, r.k, r.v, r.g, r.path || CASE WHEN s.v <= b.edge THEN 'L' ELSE 'R' END AS path
+  FROM node{n} r JOIN best{n} b ON b.path = r.path JOIN node{n} s ON s.id = r.id AND s.feature = b.feature)"""
+
+    leaf = f"-{p['rate']} * {soft('sum(g)')} / (count(*) + {p['lambda_']})"
+    return with_(*BASE, FEATURES, EMA, VWAP, FULL).rstrip() + f""",
+train AS (
+  SELECT *, row_number() OVER () AS id FROM complete WHERE {_period()} = 'train'),
+node0 AS (
+  SELECT id, feature, k, {values} AS v, (SELECT avg(next_weekly_return) FROM train) - next_weekly_return AS g, '' AS path
+  FROM train, (VALUES {names}) n(feature, k)),
+edges AS (
+  SELECT DISTINCT feature, k, edge FROM (
+    SELECT feature, k, unnest(quantile_disc(v, {at})) AS edge, max(v) AS top FROM node0 GROUP BY feature, k) WHERE edge < top),
+{level(0)},
+{level(1)},
+ends AS (
+  SELECT path, feature, g FROM node2 UNION ALL
+  SELECT path, feature, g FROM node1 WHERE path NOT IN (SELECT path FROM best1) UNION ALL
+  SELECT path, feature, g FROM node0 WHERE path NOT IN (SELECT path FROM best0))
+SELECT path, feature, round(edge, 6) AS threshold, round(gain, 1) AS gain, CAST(NULL AS DOUBLE) AS value
+FROM (SELECT * FROM best0 UNION ALL SELECT * FROM best1)
+UNION ALL
+SELECT path, NULL, NULL, NULL, round({leaf}, 4) FROM ends WHERE feature = '{TREE_FEATURES[0]}' GROUP BY path"""
+
+
 def oracle_sql() -> dict[str, str]:
     absent = ", ".join(f"('{s}')" for s in cat.ABSENT_SYMBOLS)
     batch = f"""batch AS (
@@ -500,8 +545,9 @@ FROM daily d LEFT JOIN bm ON bm.date = d.date WHERE d.symbol <> '{cat.BENCHMARK}
         "split_counts": with_(*BASE, FEATURES, EMA, VWAP, FULL)
         + f"""SELECT period, CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT symbol) AS BIGINT) AS symbols
 FROM (SELECT symbol, {_period()} AS period FROM complete) WHERE period IS NOT NULL GROUP BY period""",
-        "base_scores": _model_facts("lightgbm", "xgboost", "catboost"),
-        "stacked_scores": _model_facts("predicted_return"),
+        "base_score_facts": _model_facts("lightgbm", "xgboost", "catboost"),
+        "stacked_score_facts": _model_facts("predicted_return"),
+        "boost_tree": _boost_tree(),
         "topk_signals": with_(*BASE, SIGNALS) + """SELECT date, symbol, CAST(rank AS INTEGER) AS rank,
   round(predicted_return, 6) AS predicted_return
 FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY predicted_return DESC NULLS LAST, symbol) AS rank

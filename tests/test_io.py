@@ -85,7 +85,7 @@ def test_score_and_store_and_early_stopping(spark):
                                      "next_weekly_return double, weekly_return double, open double, adj_close double")
     tv = df.where("period in ('train', 'test')").withColumn("is_val", F.col("period") == "test")
     m = ml.fit_base(tv, "catboost", ["a", "b"], {"maxIter": 20, "maxDepth": 2}, "cb", validation_col="is_val")
-    assert m.stages[-1].getNumTrees <= 20
+    assert 1 <= m.n_trees <= 20 and len(m.errors) <= 20
     models = {"cb": m}
     stack = ml.fit_stack(ml.score(df.where("period = 'train'"), models), ["cb"], trees=5, depth=2)
     spark.sql("DROP TABLE IF EXISTS bw_preds")
