@@ -12,6 +12,7 @@ Repeated rows are packed each on its own. Extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
 from functools import lru_cache
 
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PLAIN, Merges, checkpointed, single_thread_tokenizers, small_batches, strings, tokenizer_path
+from .common import PLAIN, Merges, byte_chunks, checkpointed, single_thread_tokenizers, small_batches, strings, tokenizer_path
 
 MAX_TOKENS = 2048
 SEPARATOR = 0
@@ -30,7 +31,9 @@ OPEN_BINS = 16_384
 #: Pieces of a block, on average.
 BLOCK_PIECES = 65_536
 #: Strings between spaces whose ids a worker remembers.
-REMEMBERED = 800_000
+REMEMBERED = 600_000
+#: Characters of the longest of them.
+LONGEST = 64
 
 
 #: Fixed value: the vocabulary's public pre-token pattern.
@@ -38,15 +41,29 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 
 
-class ChunkIds:
+#: Characters from which on a text is left to the tokenizer.
+ODD = re.compile(f"[{PLAIN}-\U0010ffff]")
+
+
+def odd(text: str) -> bool:
+    try:
+        text.encode("latin-1")  # settles most texts, at a fraction of a search's cost
+        return False
+    except UnicodeEncodeError:
+        return ODD.search(text) is not None
+
+
+class ChunkIds(dict):
     """Ids of whole texts, from remembered ids of the strings between spaces.
 
     Exact for tokenizers whose tokens never hold or depend on white space and
     whose normalizer lower-cases: the ids of a text are those of its lower-case
     parts in order. Plain Latin parts are split into pre-tokens and merged here;
-    any other is left to the tokenizer."""
+    any other is left to the tokenizer. Ids take 16 bits where the vocabulary
+    allows, else 32."""
 
     def __init__(self, path: str):
+        super().__init__()
         single_thread_tokenizers()
         import regex
         from tokenizers import Tokenizer
@@ -54,37 +71,32 @@ class ChunkIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = Merges(self.tokenizer, WORD_END)
         self.pre_tokens = regex.compile(PRE_TOKEN).findall
-        self.known: dict[str, bytes] = {"": b""}
-
-    def learn(self, fresh: set[str]) -> None:
-        odd = []
-        for part in fresh:
-            low = part.lower()
-            if max(low) < PLAIN and "<|" not in part:
-                ids = [i for p in self.pre_tokens(low) for i in self.merges.ids(p)]
-                self.known[part] = struct.pack(f"<{len(ids)}I", *ids)
-            else:
-                odd.append(part)
-        for part, e in zip(odd, self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)):
-            self.known[part] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.code = "H" if self.width == 2 else "I"
+        self.end = SEPARATOR.to_bytes(self.width, "little")
+
+    def __missing__(self, part: str) -> bytes:
+        if not part:
+            return b""
+        low = part.lower()
+        if odd(low) or "<|" in part:
+            ids = self.tokenizer.encode(part, add_special_tokens=False).ids
+        else:
+            ids = [i for p in self.pre_tokens(low) for i in self.merges.ids(p)]
+        found = struct.pack(f"<{len(ids)}{self.code}", *ids)
+        if len(self) < REMEMBERED and len(part) <= LONGEST:
+            self[part] = found
+        return found
 
     def parts(self, text: str | None) -> list[str]:
         text = (text or "").replace("\n", " ")
-        if text and max(text) < PLAIN and "<|" not in text:  # no special string, neither now nor in lower case
+        if text and "<|" not in text and not odd(text):  # no special string, neither now nor in lower case
             text = text.lower()
         return text.split(" ")
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        parts = [self.parts(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        fresh: set[str] = set()
-        for p in parts:
-            fresh.update(p)
-        fresh.difference_update(self.known)
-        self.learn(fresh)
-        return [b"".join(map(self.known.__getitem__, p)) for p in parts]
+    def encode(self, text: str | None) -> bytes:
+        """Little-endian ids of a text, ``width`` bytes each."""
+        return b"".join(map(self.__getitem__, self.parts(text)))
 
 
 @lru_cache(maxsize=2)
@@ -93,54 +105,46 @@ def chunk_ids(name: str) -> ChunkIds:
 
 
 def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """(doc_id, piece, start, length, ids): the documents' pieces, their ids as
-    little-endian unsigned 32-bit binary."""
+    """(doc_id, piece, start, length, ids): the documents' pieces, their ids in
+    16 bits each where the vocabulary allows, else 32."""
     small_batches(docs.sparkSession)
-    end = SEPARATOR.to_bytes(4, "little")
 
     def cut(batches):
+        known = chunk_ids(tokenizer)
+        size = known.width * max_tokens
         for batch in batches:
-            out: list[tuple] = []
-            for doc, ids in zip(batch.column(0).to_pylist(), chunk_ids(tokenizer).encode(strings(batch.column(1)))):
-                ids += end
-                for k, at in enumerate(range(0, len(ids), 4 * max_tokens)):
-                    part = ids[at:at + 4 * max_tokens]
-                    out.append((doc, k, at // 4, len(part) // 4, part))
-            cols = list(zip(*out)) or [()] * 5
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             ["doc_id", "piece", "start", "length", "ids"])
+            docs_of, texts = batch.column(0).to_pylist(), strings(batch.column(1))
+            for part in byte_chunks(texts):
+                out: list[tuple] = []
+                for doc, text in zip(docs_of[part], texts[part]):
+                    ids = known.encode(text) + known.end
+                    for k, at in enumerate(range(0, len(ids), size)):
+                        some = ids[at:at + size]
+                        out.append((doc, k, at // known.width, len(some) // known.width, some))
+                cols = list(zip(*out)) or [()] * 5
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                                 ["doc_id", "piece", "start", "length", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         cut, "doc_id long, piece int, start long, length long, ids binary")
 
 
-def recoded(df: DataFrame, code) -> DataFrame:
-    """``df`` with every row's ids mapped by ``code(ids, length)``."""
+def wide(df: DataFrame) -> DataFrame:
+    """``df`` with all ids in 32 bits."""
     at, n = df.columns.index("ids"), df.columns.index("length")
 
     def run(batches):
         for batch in batches:
-            ids = [code(*x) for x in zip(batch.column(at).to_pylist(), batch.column(n).to_pylist())]
-            yield batch.set_column(at, "ids", pa.array(ids, pa.binary()))
+            for start in range(0, batch.num_rows, 500):
+                some = batch.slice(start, 500)
+                ids = [b if len(b) == 4 * k else np.frombuffer(b, "<u2").astype("<u4").tobytes()
+                       for b, k in zip(some.column(at).to_pylist(), some.column(n).to_pylist())]
+                yield some.set_column(at, "ids", pa.array(ids, pa.binary()))
 
     return df.mapInArrow(run, df.schema)
 
 
-def narrow(df: DataFrame) -> DataFrame:
-    """Ids in 16 bits where all of a piece's fit, for the checkpoint and the shuffle."""
-    def code(ids, length):
-        ids = np.frombuffer(ids, "<u4")
-        return (ids.astype("<u2") if ids.max() < 1 << 16 else ids).tobytes()
-
-    return recoded(df, code)
-
-
-def wide(df: DataFrame) -> DataFrame:
-    """Undoes ``narrow``."""
-    return recoded(df, lambda ids, length: ids if len(ids) == 4 * length else np.frombuffer(ids, "<u2").astype("<u4").tobytes())
-
-
 def best_fit(lengths: list[int], capacity: int, open_bins: int) -> tuple[list[int], list[int]]:
     """Bin and offset of each length, in the order given. The bins with equal
     free space are a stack; ``free`` has a bit for each stack that isn't empty,
@@ -186,7 +190,7 @@ def pack(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS, open_bin
     are joined back by row."""
     if emit != "ids":
         raise ValueError(f"emit: {emit!r}; only the ids themselves are returned")
-    cut = checkpointed(narrow(pieces(docs, tokenizer, max_tokens)).withColumn("_row", F.monotonically_increasing_id()))
+    cut = checkpointed(pieces(docs, tokenizer, max_tokens).withColumn("_row", F.monotonically_increasing_id()))
     n_blocks = max(1, -(-cut.count() // block_pieces))
 
     def place(key, group: pd.DataFrame) -> pd.DataFrame:
@@ -196,7 +200,7 @@ def pack(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS, open_bin
         group["offset"] = offsets
         return group[["_row", "sequence_id", "offset"]]
 
-    block = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(n_blocks))
+    block = F.pmod(F.xxhash64("doc_id", "piece", "_row"), F.lit(n_blocks))  # rows of one id (or none) spread, too
     placed = (cut.select("doc_id", "piece", "start", "length", "_row", block.alias("_block")).groupBy("_block")
               .applyInPandas(place, "_row long, sequence_id long, offset long"))
     return wide(cut.join(placed, "_row").drop("_row"))
