@@ -16,9 +16,8 @@ from barwise.session import checkpoint_dir
 BATCH_ROWS = 2000
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
-#: Hash buckets of ``only_keys``: the broadcast holds at most this many longs.
-KEY_BUCKETS = 1 << 18
-
+#: Bits of ``only_keys``' map for each key, and at most: 32 MB to broadcast.
+KEY_BITS, MOST_BITS = 16, 1 << 28
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -51,25 +50,43 @@ def single_thread_tokenizers() -> None:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 
-def key_bucket(col) -> F.col:
-    return F.pmod(F.xxhash64(col), F.lit(KEY_BUCKETS))
+def key_map(df: DataFrame, keys: DataFrame, col: str) -> DataFrame:
+    """``df`` with ``_may``: whether ``col`` may be in ``keys``. The keys are
+    hashed into a bit map of ``KEY_BITS`` bits for each, so that one of 16 other
+    keys is taken for one of them; a map never exceeds ``MOST_BITS`` bits, with
+    more errors and none lost. It is broadcast in pieces of 4 kB, which the hash
+    finds by a join."""
+    n = keys.agg(F.approx_count_distinct(col)).first()[0]
+    bits = min(MOST_BITS, 1 << max(15, (KEY_BITS * n - 1).bit_length()))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)) + 1
+    maps = (keys.select(place(F.col(col)).alias("_place")).groupBy(F.bitmap_bucket_number("_place").alias("_piece"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_map")))
+    bit = F.bitmap_bit_position(F.col("_place"))
+    byte = F.conv(F.hex(F.substring(F.col("_map"), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    may = F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+    placed = df.withColumn("_place", place(F.col(col)))
+    return (placed.withColumn("_piece", F.bitmap_bucket_number("_place")).join(F.broadcast(maps), "_piece", "left")
+            .withColumn("_may", may).drop("_piece", "_place", "_map"))
 
 
 def only_keys(df: DataFrame, keys: DataFrame, col: str) -> DataFrame:
     """Rows of ``df`` whose ``col`` may be in ``keys``: none of those in it is
-    lost, some others stay. The broadcast side holds distinct hash buckets, at
-    most ``KEY_BUCKETS`` longs whatever the size of ``keys``, so wide rows of
-    ``df`` that surely don't match never reach a shuffle."""
-    hit = keys.select(key_bucket(F.col(col)).alias("_bucket")).distinct()
-    return (df.withColumn("_bucket", key_bucket(F.col(col)))
-            .join(F.broadcast(hit), "_bucket", "left_semi").drop("_bucket"))
+    lost, some others stay. Wide rows of ``df`` that surely don't match never
+    reach a shuffle."""
+    return key_map(df, keys, col).filter("_may").drop("_may")
 
 
 def without_keys(df: DataFrame, keys: DataFrame, col: str) -> DataFrame:
     """The rows that ``only_keys`` leaves out."""
-    hit = keys.select(key_bucket(F.col(col)).alias("_bucket")).distinct()
-    return (df.withColumn("_bucket", key_bucket(F.col(col)))
-            .join(F.broadcast(hit), "_bucket", "left_anti").drop("_bucket"))
+    return key_map(df, keys, col).filter("NOT _may").drop("_may")
+
+
+def renamed(df: DataFrame, prefix: str = "_c") -> tuple[DataFrame, list[str]]:
+    """``df`` with its columns but doc_id and text renamed by number, so that no
+    name clashes with a helper column, and the names to go back to. The last
+    ``doc_id`` or ``text`` that a case-insensitive lookup finds is the one used."""
+    names = [c if c in ("doc_id", "text") else f"{prefix}{i}" for i, c in enumerate(df.columns)]
+    return df.toDF(*names), list(df.columns)
 
 
 def held_out_remainder(n: int) -> F.col:

@@ -24,7 +24,7 @@ import string
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, only_keys
+from .common import checkpointed, only_keys, renamed
 
 WINDOW = 13
 #: A document is contaminated if at least one word in so many is hit.
@@ -122,15 +122,17 @@ def judge(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, one_in: int
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without its contaminated documents."""
-    bad = judge(docs, benchmark).filter("contaminated").select(
+    rows, names = renamed(docs)
+    bad = judge(rows, benchmark).filter("contaminated").select(
         F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_d"))
-                     & (F.xxhash64(F.col("text").cast("string")) == F.col("_t")), "left_anti")
+    return rows.join(bad, F.col("doc_id").eqNullSafe(F.col("_d"))
+                     & (F.xxhash64(F.col("text").cast("string")) == F.col("_t")), "left_anti").toDF(*names)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` with the hit words, and what separates them, cut out of the
     texts; untouched texts stay as they are."""
+    docs, names = renamed(docs)
     found = hits(docs, benchmark)
     spans = found.groupBy(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")).agg(
         F.sort_array(F.collect_set(F.struct("start", "n"))).alias("_spans"))
@@ -148,7 +150,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             F.when(F.exists("_spans", lambda s: (x["i"] >= s["start"]) & (x["i"] < s["start"] + s["n"])), acc["kept"])
             .otherwise(F.concat(acc["kept"], F.col("text").substr(acc["at"], x["size"]))).alias("kept")))
     text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut["kept"])
-    return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
+    return joined.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns]).toDF(*names)
 
 
 ORACLE = r"""

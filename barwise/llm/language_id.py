@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out_remainder, small_batches, strings
+from .common import byte_chunks, held_out_remainder, renamed, small_batches, strings
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -170,6 +170,20 @@ def training_windows(docs: DataFrame, fold: int = 3, held_out: int = 1) -> tuple
     return [r["w"].encode("utf-8") for r in got], [r["lang"] for r in got]
 
 
+def has_letter() -> F.col:
+    return F.coalesce(F.col("text").cast("string").rlike("\\p{L}"), F.lit(False))
+
+
+def keep_known(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose language the network tells, after learning from
+    their own labels; where there are none, those that have a letter."""
+    network = fit(docs)
+    if network is None:
+        return docs.filter(has_letter())
+    rows, names = renamed(docs)
+    return identify(rows, network).filter("lang_pred != 'und'").select(rows.columns).toDF(*names)
+
+
 def identify(docs: DataFrame, network: Network | None) -> DataFrame:
     """All columns of ``docs``, with lang_pred and score instead of any of that
     name; the score is the probability of lang_pred."""
@@ -181,19 +195,20 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
     def run(batches):
         for batch in batches:
             letters = batch.column(batch.num_columns - 1).to_pylist()
-            texts = strings(batch.column(batch.num_columns - 2))
-            logs = network.score([t.encode("utf-8", "surrogatepass") if t and ok else b"" for t, ok in zip(texts, letters)])
+            texts = strings(batch.column(at))
+            logs = np.concatenate([np.zeros((0, len(network.langs)))] + [
+                network.score([t.encode("utf-8", "surrogatepass") if t and ok else b"" for t, ok in zip(texts[part], letters[part])])
+                for part in byte_chunks(texts)])
             best = logs.argmax(1)
             p = np.exp(logs - logs.max(1, keepdims=True))
             p = p.max(1) / p.sum(1)
             lang = [network.langs[k] if ok else "und" for k, ok in zip(best, letters)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-2], pa.array(lang), pa.array(np.where(letters, p, 0.0))],
-                [*batch.schema.names[:-2], "lang_pred", "score"])
+                [*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(np.where(letters, p, 0.0), pa.float64())],
+                [*batch.schema.names[:-1], "lang_pred", "score"])
 
-    text = F.col("text").cast("string")
-    wide = docs.select(*rest, text.alias("_text"),
-                       F.coalesce(text.rlike("\\p{L}"), F.lit(False)).alias("_letters"))
+    at = rest.index("text")
+    wide = docs.select(*rest, has_letter().alias("_letters"))
     schema = docs.select(*rest).schema.add("lang_pred", "string").add("score", "double")
     return wide.mapInArrow(run, schema)
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import (WordHashes, byte_chunks, checkpointed, components, grams, mix64, only_keys, partitions,
+from .common import (WordHashes, byte_chunks, checkpointed, components, grams, key_map, mix64, only_keys, partitions, renamed,
                      small_batches, strings)
 
 SHINGLE = 4
@@ -343,11 +343,21 @@ def join(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of near duplicates, the one with the
-    smallest doc_id; rows with a null id stay."""
-    ids = join(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(ids, F.col("doc_id").cast("long") == F.col("_keep"), "left_semi")
-    first = kept.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")))
-    return first.filter("_n = 1").drop("_n").unionByName(docs.filter(F.col("doc_id").isNull()))
+    smallest doc_id; rows with a null id stay. Of rows that share an id, the one
+    with the least (hash, text) stays. Only texts whose id may be left out, or
+    is shared, are shuffled."""
+    rows, names = renamed(docs)
+    key = F.col("doc_id").cast("long")
+    rows = rows.withColumn("_id", key)
+    linked = checkpointed(join(rows).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("n")))
+    out = checkpointed(linked.filter("doc_id != component_id").select(F.col("doc_id").alias("_id")))
+    many = linked.filter("doc_id = component_id AND n > 1").select(F.col("doc_id").alias("_id"))
+    keyed = key_map(rows, out.unionByName(many), "_id")
+    some = keyed.filter("_may").join(out, "_id", "left_anti").withColumn("_t", F.xxhash64("text"))
+    first = some.withColumn("_n", F.row_number().over(Window.partitionBy("_id").orderBy("_t", "text")))
+    kept = first.filter("_n = 1 OR _id IS NULL").select(*rows.columns).unionByName(keyed.filter("NOT _may").select(*rows.columns))
+    return kept.drop("_id").toDF(*names)
 
 
 ORACLE = r"""

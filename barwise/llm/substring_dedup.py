@@ -22,9 +22,10 @@ import hashlib
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import WordHashes
-from .window_routing import Units, repeated_runs, with_runs
+from .window_routing import Units, covered_texts, placed, repeated_runs
 
 WINDOW = 50
 WORDS = Units(size=WINDOW, k=8, words=True, within=False, shard=1 << 20)
@@ -178,7 +179,7 @@ def earlier_windows(segments: list[list[bytes]], doc: np.ndarray, start: np.ndar
 def repeated(docs: DataFrame) -> DataFrame:
     """(doc_id, start, n): runs of n windows from word ``start`` on that start
     in a document with a smaller id, too."""
-    return repeated_runs(docs, WORDS, earlier_windows)
+    return repeated_runs(placed(docs.withColumn("doc_id", F.col("doc_id").cast("long"))), WORDS, earlier_windows)
 
 
 def digest(text, words, covered):
@@ -188,7 +189,7 @@ def digest(text, words, covered):
 
 def digests(docs: DataFrame) -> DataFrame:
     """``docs`` with n_words, n_removed and kept_sha256."""
-    return with_runs(docs, repeated(docs), WORDS, digest, "n_words long, n_removed long, kept_sha256 string")
+    return covered_texts(docs, WORDS, earlier_windows, digest, "n_words long, n_removed long, kept_sha256 string")
 
 
 def cut(text, words, covered):
@@ -200,8 +201,9 @@ def cut(text, words, covered):
 def remove(docs: DataFrame) -> DataFrame:
     """``docs`` with the covered words cut out; a text that loses words is its
     other words joined by one space, any other stays as it is."""
-    out = with_runs(docs, repeated(docs), WORDS, cut, "_kept string")
-    return out.select(*[out["_kept"].alias("text") if c == "text" else out[c] for c in docs.columns])
+    names = docs.columns
+    out = covered_texts(docs, WORDS, earlier_windows, cut, "kept string").toDF(*[f"_c{i}" for i in range(len(names) + 1)])
+    return out.select(*[F.col(f"_c{len(names) if c == 'text' else i}").alias(c) for i, c in enumerate(names)])
 
 
 ORACLE = r"""

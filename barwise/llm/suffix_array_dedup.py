@@ -25,8 +25,9 @@ import tempfile
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .window_routing import Units, repeated_runs, with_runs
+from .window_routing import Units, covered_texts, placed, repeated_runs
 
 LENGTH = 100
 BYTES = Units(size=LENGTH, k=32, words=False, within=True, shard=4 << 20)
@@ -253,7 +254,7 @@ def earlier_strings(segments: list[bytes], doc: np.ndarray, start: np.ndarray, n
 def repeated(docs: DataFrame) -> DataFrame:
     """(doc_id, start, n): runs of n strings from byte ``start`` on that start
     earlier, too."""
-    return repeated_runs(docs, BYTES, earlier_strings)
+    return repeated_runs(placed(docs.withColumn("doc_id", F.col("doc_id").cast("long"))), BYTES, earlier_strings)
 
 
 def digest(text, raw, covered):
@@ -266,7 +267,7 @@ def digest(text, raw, covered):
 
 def digests(docs: DataFrame) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans and kept_sha256."""
-    return with_runs(docs, repeated(docs), BYTES, digest, "n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return covered_texts(docs, BYTES, earlier_strings, digest, "n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def cut(text, raw, covered):
@@ -278,4 +279,4 @@ def cut(text, raw, covered):
 def remove(docs: DataFrame) -> DataFrame:
     """``docs`` with ``kept``, the bytes that stay (binary: a cut may split a
     character)."""
-    return with_runs(docs, repeated(docs), BYTES, cut, "kept binary")
+    return covered_texts(docs, BYTES, earlier_strings, cut, "kept binary")

@@ -23,10 +23,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, checkpointed, grams, mix64, only_keys, partitions, small_batches, strings, without_keys
+from .common import WordHashes, checkpointed, grams, key_map, mix64, only_keys, partitions, renamed, small_batches, strings
 
 #: Most units looked at together: an anchor's place takes 20 bits.
 CHUNK = 1 << 19
@@ -136,6 +136,26 @@ def runs(flags: np.ndarray, starts: np.ndarray, owners: np.ndarray):
     return o[first], s[first], np.diff(np.r_[first, len(s)])
 
 
+def placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_offset``. Rows that share a doc_id are one document, its
+    different texts one after the other in the order of their hashes: the offset
+    is where a row's text lies in it, 0 for nearly all. Windows never cross
+    texts."""
+    text_hash = F.xxhash64("text")
+    each = docs.select("doc_id", text_hash.alias("_t"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("_b")).filter("doc_id IS NOT NULL").groupBy("doc_id", "_t").agg(F.max("_b").alias("_b"))
+    more = each.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("doc_id")
+    before = Window.partitionBy("doc_id").orderBy("_t").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = checkpointed(each.join(more, "doc_id", "left_semi").select(
+        F.col("doc_id").alias("_d"), "_t", F.coalesce(F.sum(F.col("_b") + 1).over(before), F.lit(0)).alias("_offset")))
+    if not offsets.head(1):
+        return docs.withColumn("_offset", F.lit(0).cast("long"))
+    keyed = key_map(docs, offsets.select(F.col("_d").alias("doc_id")), "doc_id")
+    some = keyed.filter("_may").drop("_may")
+    found = some.join(offsets, (F.col("doc_id") == F.col("_d")) & (text_hash == F.col("_t")), "left")
+    return (found.withColumn("_offset", F.coalesce("_offset", F.lit(0))).drop("_d", "_t")
+            .unionByName(keyed.filter("NOT _may").drop("_may").withColumn("_offset", F.lit(0).cast("long"))))
+
+
 def met(docs: DataFrame, u: Units) -> DataFrame:
     """(doc_id, start, n, h, look, hot, copies): segments whose anchor occurs
     elsewhere. Copies of an earlier segment aren't to be looked at; where a repeat
@@ -149,6 +169,7 @@ def met(docs: DataFrame, u: Units) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             texts = strings(batch.column(1))
+            offsets = batch.column(2).to_numpy(zero_copy_only=False)
             at = 0
             while at < len(texts):  # a few million characters at a time, in the order of ids
                 end, chars = at, 0
@@ -163,7 +184,9 @@ def met(docs: DataFrame, u: Units) -> DataFrame:
                     row["h"], row["sig"], row["doc"], row["start"], row["n"] = h, sig, owner, start, n
                     row, p = row[order], p[order]
                     edge = np.searchsorted(p, np.arange(n_parts + 1))
-                    own = ids[at:end].astype(np.int64).tobytes()
+                    own = ids[at:end].astype(np.int64)
+                    if offsets[at:end].any():  # pairs with their offsets, only where there are any
+                        own = np.stack([own, offsets[at:end].astype(np.int64)], 1)
                     ks = np.flatnonzero(np.diff(edge))
                     used = [np.unique(row["doc"][edge[k]:edge[k + 1]], return_inverse=True) for k in ks]
                     blobs, names = [], []
@@ -171,16 +194,18 @@ def met(docs: DataFrame, u: Units) -> DataFrame:
                         part = row[edge[k]:edge[k + 1]].copy()
                         part["doc"] = place
                         blobs.append(part.tobytes())
-                        names.append(np.frombuffer(own, np.int64)[docs_used].tobytes())
+                        names.append(own[docs_used].tobytes())
                     yield pa.RecordBatch.from_arrays([pa.array(ks.astype(np.int32)), pa.array(blobs, pa.binary()),
                                                       pa.array(names, pa.binary())], ["p", "segments", "ids"])
                 at = end
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         rows = [np.frombuffer(b, PACKED) for b in group["segments"]]
-        doc = np.concatenate([np.frombuffer(i, np.int64)[r["doc"]] for i, r in zip(group["ids"], rows)])
+        named = [np.frombuffer(i, np.int64) for i in group["ids"]]
+        pairs = [i.reshape(-1, 2) if len(i) > r["doc"].max() + 1 else np.stack([i, np.zeros_like(i)], 1) for i, r in zip(named, rows)]
+        doc, offset = np.concatenate([i[r["doc"]] for i, r in zip(pairs, rows)]).T
         rows = np.concatenate(rows)
-        h, sig, start, n = rows["h"], rows["sig"], rows["start"].astype(np.int64), rows["n"].astype(np.int64)
+        h, sig, start, n = rows["h"], rows["sig"], rows["start"] + offset, rows["n"].astype(np.int64)
         order = np.argsort(h, kind="stable")
         same = h[order][1:] == h[order][:-1]
         twice = np.zeros(len(h), bool)
@@ -209,7 +234,7 @@ def met(docs: DataFrame, u: Units) -> DataFrame:
                              "look": look[keep], "hot": (look & (kinds > HOT))[keep],
                              "copies": copies[keep]})
 
-    packed = docs.mapInArrow(make, "p int, segments binary, ids binary")
+    packed = docs.select("doc_id", "text", "_offset").mapInArrow(make, "p int, segments binary, ids binary")
     return packed.groupBy("p").applyInPandas(meet, "doc_id long, start long, n long, h long, look boolean, hot boolean, copies binary")
 
 
@@ -218,7 +243,7 @@ def repeated_runs(docs: DataFrame, u: Units, look: Callable[[list, np.ndarray, n
     shard's segments (units, doc, start, n) and gives flags for each window."""
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter(
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "_offset").filter(
         "doc_id IS NOT NULL AND text IS NOT NULL")
     found = checkpointed(met(docs, u))
     todo = found.filter("look").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "n", "h", "hot", "copies"))).alias("segments"))
@@ -229,10 +254,14 @@ def repeated_runs(docs: DataFrame, u: Units, look: Callable[[list, np.ndarray, n
         hashes = WordHashes()
         for batch in batches:
             out: list[tuple] = []
-            for doc, text, segments in zip(batch.column(0).to_pylist(), strings(batch.column(1)), batch.column(2).to_pylist()):
+            for doc, text, offset, segments in zip(batch.column(0).to_pylist(), strings(batch.column(1)), batch.column(2).to_pylist(),
+                                                   batch.column(3).to_pylist()):
                 all_units = u.split(text)
                 for s in segments:
-                    part = all_units[s["start"]:s["start"] + s["n"] + u.size - 1]
+                    at = s["start"] - offset
+                    if not 0 <= at < len(all_units):  # of another text of the document
+                        continue
+                    part = all_units[at:at + s["n"] + u.size - 1]
                     if not s["hot"]:
                         out.append((s["h"] % n_shards, doc, s["start"], s["n"], u.join(part), s["copies"]))
                         continue
@@ -262,43 +291,50 @@ def repeated_runs(docs: DataFrame, u: Units, look: Callable[[list, np.ndarray, n
         o, s, m = (np.concatenate(c) for c in zip(*parts))
         return pd.DataFrame({"doc_id": o, "start": s, "n": m})
 
-    fetched = (only_keys(docs, todo.select("doc_id"), "doc_id").dropDuplicates(["doc_id"]).join(todo, "doc_id")
-               .select("doc_id", "text", "segments").mapInArrow(fetch, "shard long, doc_id long, start long, n long, units binary, copies binary"))
+    fetched = (only_keys(docs, todo.select("doc_id"), "doc_id").dropDuplicates(["doc_id", "_offset"]).join(todo, "doc_id")
+               .select("doc_id", "text", "_offset", "segments").mapInArrow(fetch, "shard long, doc_id long, start long, n long, units binary, copies binary"))
     looked = fetched.groupBy("shard").applyInPandas(sort_out, "doc_id long, start long, n long")
     return found.filter("NOT look").select("doc_id", "start", "n").unionByName(looked)
 
 
-def with_runs(docs: DataFrame, runs_: DataFrame, u: Units, finish, schema: str) -> DataFrame:
+def covered_texts(docs: DataFrame, u: Units, look, finish, schema: str) -> DataFrame:
     """Maps (row of ``docs``, covered units) by ``finish(text, units, covered)``
     to the columns of ``schema``, after all columns of ``docs``; covered is a
     boolean array, or None if nothing is. Texts without runs aren't shuffled."""
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import StructType
+
     small_batches(docs.sparkSession)
-    covered = checkpointed(runs_.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.sort_array(F.collect_list(F.struct("start", "n"))).alias("_runs")))
-    keyed = docs.withColumn("_id", F.col("doc_id").cast("long"))
-    hit = only_keys(keyed, covered, "_id").join(covered, "_id", "left").drop("_id")
-    rest = without_keys(keyed, covered, "_id").drop("_id").withColumn(
-        "_runs", F.lit(None).cast("array<struct<start:bigint,n:bigint>>"))
-    at = docs.columns.index("text")
+    plain, names = renamed(docs)
+    rows = placed(plain.withColumn("_id", F.col("doc_id")).withColumn("doc_id", F.col("doc_id").cast("long")))
+    runs_ = repeated_runs(rows, u, look)
+    covered = checkpointed(runs_.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "n"))).alias("_runs")))
+    keyed = key_map(rows, covered, "doc_id")
+    hit = keyed.filter("_may").drop("_may").join(covered, "doc_id", "left")
+    rest = keyed.filter("NOT _may").drop("_may").withColumn("_runs", F.lit(None).cast("array<struct<start:bigint,n:bigint>>"))
+    kept = [F.col("_id" if c == "doc_id" else c) for c in plain.columns]
+    at = plain.columns.index("text")
 
     def run(batches):
         for batch in batches:
-            rows = []
-            for text, some in zip(strings(batch.column(at)), batch.column(batch.num_columns - 1).to_pylist()):
+            done, width = [], batch.num_columns
+            texts, offsets = strings(batch.column(at)), batch.column(width - 2).to_pylist()
+            for text, offset, some in zip(texts, offsets, batch.column(width - 1).to_pylist()):
                 units, mask = u.split(text), None
+                some = [(r["start"] - offset, r["n"]) for r in some or [] if 0 <= r["start"] - offset < len(units)]
                 if some:
                     edge = np.zeros(len(units) + 1, np.int64)
-                    np.add.at(edge, [r["start"] for r in some], 1)
-                    np.add.at(edge, [r["start"] + r["n"] + u.size - 1 for r in some], -1)
+                    np.add.at(edge, [a for a, _ in some], 1)
+                    np.add.at(edge, [a + n + u.size - 1 for a, n in some], -1)
                     mask = np.cumsum(edge)[:-1] > 0
-                rows.append(finish(text, units, mask))
-            cols = [pa.array(c, f.type) for c, f in zip(zip(*rows), extra)] if rows else [pa.array([], f.type) for f in extra]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *cols], [*batch.schema.names[:-1], *[f.name for f in extra]])
-
-    from pyspark.sql.pandas.types import to_arrow_type
-    from pyspark.sql.types import StructType
+                done.append(finish(text, units, mask))
+            cols = [pa.array(c, f.type) for c, f in zip(zip(*done), extra)] if done else [pa.array([], f.type) for f in extra]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *cols], [f"_c{i}" for i in range(width - 2 + len(extra))])
 
     added = StructType.fromDDL(schema)
     extra = [pa.field(f.name, to_arrow_type(f.dataType)) for f in added]
-    whole = StructType([*docs.schema.fields, *added.fields])
-    return hit.select(*docs.columns, "_runs").unionByName(rest.select(*docs.columns, "_runs")).mapInArrow(run, whole)
+    wide = hit.select(*kept, "_offset", "_runs").unionByName(rest.select(*kept, "_offset", "_runs"))
+    numbered = StructType()
+    for i, f in enumerate([*docs.schema.fields, *added.fields]):
+        numbered.add(f"_c{i}", f.dataType, True)
+    return wide.mapInArrow(run, numbered).toDF(*names, *[f.name for f in added])
