@@ -20,10 +20,9 @@ from barwise.session import checkpoint_dir
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language the network tells; texts that are null or
-    have no letter are rejected. Labels come from the input's own rows."""
-    network = language_id.fit(docs)
-    known = language_id.identify(docs.withColumnsRenamed({"score": "_score"}), network)
-    return known.filter(F.col("lang_pred") != "und").select(docs.columns)
+    have no letter are rejected. Labels come from the input's own rows; without
+    any, all texts with a letter stay."""
+    return language_id.keep_known(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
