@@ -29,7 +29,7 @@ BASE_PARAMS = {
                 "subsamplingRate": 0.8, "featureFraction": 0.6},
     "catboost": {"maxIter": 100, "stepSize": 0.1, "maxDepth": 6, "l2LeafReg": 3.0},
 }
-SEARCH_RANGES = {"maxIter": (3, 6, "int")}
+SEARCH_RANGES = {"maxIter": (2, 4, "int")}
 SEARCH_TRIALS, SEARCH_PATIENCE = 10, 2
 # The tree of ``boost_tree``.
 TREE_FEATURES = ["adj_close", "rsi_2w", "momentum_4w", "stoch_d", "atr", "weekly_return"]
@@ -52,7 +52,19 @@ def model_facts(scored: DataFrame, predictions: list[str]) -> DataFrame:
         F.when(F.col("period") == "train", F.sqrt(F.avg(err * err)) < F.stddev_pop(LABEL)).alias("beats_std"))
 
 
-def base_models(df: DataFrame):
+_FITTED: dict[tuple[str, str], dict] = {}
+
+
+def base_models(df: DataFrame, sf: str):
+    """The base learners, fitted once per application and folder: four queries
+    score with the same ones."""
+    name = (df.sparkSession.sparkContext.applicationId, sf)
+    if name not in _FITTED:
+        _FITTED[name] = _fit_base_models(df)
+    return _FITTED[name]
+
+
+def _fit_base_models(df: DataFrame):
     train = df.where(F.col("period") == "train")
     trials = [dict(trial_id=p, profile=p, features=MODEL_FEATURES, params=params) for p, params in BASE_PARAMS.items()]
     return {m.name: m for m in ml.fit_trials(train, trials)}
@@ -60,7 +72,7 @@ def base_models(df: DataFrame):
 
 def base_predictions(spark, sf):
     df = frame(spark, sf)
-    return ml.score(df, base_models(df))
+    return ml.score(df, base_models(df, sf))
 
 
 def stacked_predictions(spark, sf):
