@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barwise.operators.asof import asof_join
 from barwise.session import task_partitions
 from barwise.operators.signals import last_close, topk_signals, tradable_signals
 
@@ -190,18 +191,9 @@ def _ledger_fold(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def close_asof(points: DataFrame, bars: DataFrame) -> DataFrame:
     """J4 as a backward as-of lookup: for each (symbol, date) point, the last
-    close on or before that date. The points are unioned with the bars and the
-    last non-NULL close is carried forward per symbol (bars sort before points
-    on the same date), so no range join is needed. A symbol's series is
-    bounded by the calendar."""
-    from pyspark.sql import Window
-    pts = points.select("symbol", "date").distinct().select(
-        "symbol", "date", F.lit(None).cast("double").alias("close"), F.lit(1).alias("_pt"))
-    both = bars.select("symbol", "date", "close", F.lit(0).alias("_pt")).unionByName(pts)
-    w = (Window.partitionBy("symbol").orderBy("date", "_pt")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (both.withColumn("asof_close", F.last("close", ignorenulls=True).over(w))
-            .where(F.col("_pt") == 1).select("symbol", "date", "asof_close"))
+    close on or before that date."""
+    closes = bars.where(F.col("close").isNotNull()).select("symbol", "date", F.col("close").alias("asof_close"))
+    return asof_join(points.select("symbol", "date").distinct(), closes, ["symbol"], "date")
 
 
 def mark_each(log: DataFrame, bars: DataFrame) -> DataFrame:

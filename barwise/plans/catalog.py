@@ -7,6 +7,7 @@ FIXTURES.md section 2) over their whole extent. Computed doubles are rounded
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -16,12 +17,14 @@ from pyspark.sql import functions as F
 from barwise.functions import ts
 from barwise.operators import backtest as bt
 from barwise.operators import features as ft
+from barwise.operators.asof import asof_join
 from barwise.operators.benchmark import benchmark_return, with_benchmark_return
 from barwise.operators.resample import resample_ohlcv
 from barwise.operators.signals import topk_signals, tradable_signals, with_next_bar
 from barwise.operators.split import drop_incomplete, period_counts, split_periods
-from barwise.sources.bars import lineitem_bars, missing_symbols, normalize, provider_feed
-from barwise.sources.tables import constraint_violations, new_rows
+from barwise.sources import bars as feeds
+from barwise.sources.bars import lineitem_bars, missing_symbols, normalize, provider_feed, stored_bars
+from barwise.sources.tables import constraint_violations, insert_ignore, new_rows
 
 SYMBOL_COLUMN = "p_brand"
 BENCHMARK = "Brand#1"
@@ -146,6 +149,68 @@ def q_insert_ignore(spark, sf):
     return out.select("date", "symbol", r("adj_close", 4), "volume", "arrival")
 
 
+def new_table(name: str) -> str:
+    """A fresh table of the warehouse: every run of a query loads its own."""
+    return f"barwise_{name}_{uuid.uuid4().hex}"
+
+
+def q_stored_loads(spark, sf):
+    """S8 end to end: the bars before the cutoff are stored, then the batch is
+    loaded, then once more; the rows that each load appended."""
+    table = new_table("loads")
+    early = daily(spark, sf).where(F.col("date") < F.lit(STORED_BEFORE).cast("date")).withColumn("arrival", F.lit(1))
+    out = None
+    for step, batch in enumerate([early, _batch(spark, sf), _batch(spark, sf)], 1):
+        added = insert_ignore(spark, batch, table).withColumn("step", F.lit(step))
+        out = added if out is None else out.unionByName(added)
+    return out.select("step", "month", "date", "symbol", r("adj_close", 4), "volume")
+
+
+def q_stored_universe(spark, sf):
+    """S1 from a stored table: partitions of the window, symbols of the universe."""
+    table = new_table("bars")
+    insert_ignore(spark, daily(spark, sf).withColumn("arrival", F.lit(1)), table)
+    found = stored_bars(spark, table, _universe(spark, sf), UNIVERSE_START, UNIVERSE_END)
+    return found.select("date", "symbol", r("adj_close", 4), "volume")
+
+
+def dirty_feed(spark, sf):
+    """The daily bars in the provider's layout, all text, with faults that
+    follow from the day of the month."""
+    feed = provider_feed(daily(spark, sf))
+    day = F.substring("Date", 9, 2).cast("int")
+    date = (F.when(day == 3, None).when(day == 5, "n/a").when(day == 7, F.concat(F.substring("Date", 1, 8), F.lit("41")))
+            .when(day == 9, "").otherwise(F.col("Date")))
+    symbol = F.when(day.isin(3, 11), None).when(day.isin(7, 13), F.concat("Stock_Name", F.lit("-delisted"))).otherwise(F.col("Stock_Name"))
+    price = F.when(day == 15, "NaN").when(day.isin(7, 17), "1,5").otherwise(F.col("`Adj Close`").cast("string"))
+    return feed.withColumns({"Date": date, "Stock_Name": symbol, "Adj Close": price})
+
+
+def q_feed_quarantine(spark, sf):
+    """The dirty feed screened and written in one pass; the rejected
+    rows with the rules they break, and the accepted ones."""
+    from barwise.session import checkpoint_dir
+    path = f"{checkpoint_dir(spark)}/{new_table('feed')}"
+    feeds.quarantine(feeds.screen(dirty_feed(spark, sf)), path)
+    bad = feeds.rejected(spark, path).select("raw_date", "symbol", "volume", F.array_join("broken", ",").alias("broken"),
+                                             F.lit(None).cast("date").alias("date"), F.lit(None).cast("double").alias("adj_close"))
+    good = feeds.accepted(spark, path).select(F.lit(None).cast("string").alias("raw_date"), "symbol", "volume",
+                                              F.lit(None).cast("string").alias("broken"), "date", r("adj_close", 4))
+    return bad.unionByName(good)
+
+
+def q_asof_bars(spark, sf):
+    """J3, J4 as general as-of joins, on few and hot symbols: for every Friday
+    the last close up to it and the next open after it."""
+    bars = lineitem_bars(spark, sf, "l_returnflag").persist(StorageLevel.MEMORY_AND_DISK)
+    fridays = resample_ohlcv(bars).select("symbol", "date")
+    last = bars.select("symbol", F.col("date").alias("last_date"), F.col("close").alias("last_close"))
+    after = bars.select("symbol", F.col("date").alias("next_date"), F.col("open").alias("next_open"))
+    out = asof_join(fridays, last, ["symbol"], "date", "last_date")
+    out = asof_join(out, after, ["symbol"], "date", "next_date", forward=True, strict=True)
+    return out.select("symbol", "date", "last_date", r("last_close", 4), "next_date", r("next_open", 4))
+
+
 def q_benchmark_return(spark, sf):
     return benchmark_return(daily(spark, sf), BENCHMARK).select("date", r("benchmark_return"))
 
@@ -298,6 +363,10 @@ def queries() -> dict[str, Query]:
         "normalize_dates": q_normalize_dates,
         "constraint_violations": q_constraint_violations,
         "insert_ignore": q_insert_ignore,
+        "stored_loads": q_stored_loads,
+        "stored_universe": q_stored_universe,
+        "feed_quarantine": q_feed_quarantine,
+        "asof_bars": q_asof_bars,
         "benchmark_return": q_benchmark_return,
         "benchmark_join": q_benchmark_join,
         "weekly_bars": q_weekly_bars,

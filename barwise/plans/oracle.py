@@ -481,12 +481,32 @@ def oracle_sql() -> dict[str, str]:
   SELECT date, last_value(adj_close IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ffp
   FROM daily WHERE symbol = '{cat.BENCHMARK}'),
 bm AS (SELECT date, ({div('ffp', 'lag(ffp) OVER (ORDER BY date)')} - 1) * 100 AS benchmark_return FROM bm_ff)"""
+    flags = DAILY.replace(f"{cat.SYMBOL_COLUMN} AS symbol", "l_returnflag AS symbol").replace("FROM lineitem JOIN part ON p_partkey = l_partkey", "FROM lineitem")
+    weeks = WEEKLY.replace(f"SELECT * FROM daily WHERE symbol <> '{cat.BENCHMARK}'", "SELECT * FROM daily")
     out = {
+        "asof_bars": with_(flags, weeks) + """SELECT w.symbol, w.date, b.date AS last_date, round(b.close, 4) AS last_close,
+  n.date AS next_date, round(n.open, 4) AS next_open
+FROM weekly w ASOF LEFT JOIN daily b ON b.symbol = w.symbol AND b.date <= w.date
+ASOF LEFT JOIN daily n ON n.symbol = w.symbol AND n.date > w.date""",
         "daily_bars": with_(DAILY) + "SELECT date, symbol, "
         + ", ".join(rnd(c, 4) for c in _PRICE) + ", volume FROM daily",
         "universe_filter": with_(DAILY) + f"""SELECT date, symbol, round(adj_close, 4) AS adj_close, volume
 FROM daily WHERE symbol IN (SELECT p_brand FROM part UNION SELECT * FROM (VALUES {absent}) t(s))
   AND date >= DATE '{cat.UNIVERSE_START}' AND date < DATE '{cat.UNIVERSE_END}'""",
+        "stored_loads": with_(DAILY) + f"""SELECT CASE WHEN date < DATE '{cat.STORED_BEFORE}' THEN 1 ELSE 2 END AS step,
+  CAST(year(date) * 100 + month(date) AS INTEGER) AS month, date, symbol, round(adj_close, 4) AS adj_close, volume FROM daily""",
+        "feed_quarantine": with_(DAILY).rstrip() + """,
+feed AS (SELECT *, day(date) AS d, strftime(date, '%Y-%m-%d') AS iso FROM daily),
+dirty AS (SELECT *, CASE d WHEN 3 THEN NULL WHEN 5 THEN 'n/a' WHEN 7 THEN substr(iso, 1, 8) || '41' WHEN 9 THEN '' ELSE iso END AS raw_date,
+  CASE WHEN d IN (3, 11) THEN NULL WHEN d IN (7, 13) THEN symbol || '-delisted' ELSE symbol END AS name,
+  CASE WHEN d = 15 THEN 'NaN' WHEN d IN (7, 17) THEN '1,5' ELSE CAST(adj_close AS VARCHAR) END AS price FROM feed),
+told AS (SELECT *, array_to_string(list_filter([CASE WHEN raw_date IS NULL THEN 'no_date' END,
+    CASE WHEN raw_date IS NOT NULL AND try_cast(raw_date AS DATE) IS NULL THEN 'bad_date' END,
+    CASE WHEN name IS NULL THEN 'no_symbol' END, CASE WHEN length(name) > 9 THEN 'long_symbol' END,
+    CASE WHEN try_cast(price AS DOUBLE) IS NULL THEN 'bad_number' END], lambda x: x IS NOT NULL), ',') AS broken FROM dirty)
+SELECT CASE WHEN broken <> '' THEN raw_date END AS raw_date, name AS symbol, volume, nullif(broken, '') AS broken,
+  CASE WHEN broken = '' THEN try_cast(raw_date AS DATE) END AS date,
+  CASE WHEN broken = '' AND d <> 15 THEN round(adj_close, 4) END AS adj_close FROM told""",
         "missing_symbols": with_(DAILY) + f"""SELECT symbol FROM (
   SELECT p_brand AS symbol FROM part UNION SELECT * FROM (VALUES {absent}) t(s)) u
 WHERE symbol NOT IN (SELECT symbol FROM daily)""",
@@ -589,4 +609,5 @@ WHERE pos <= 5""",
   round(avg(abs(next_weekly_return - weekly_return)), 6) AS mae
 FROM (SELECT *, {_period()} AS period FROM complete) WHERE period IS NOT NULL GROUP BY period""",
     }
+    out["stored_universe"] = out["universe_filter"]
     return {k: scaled_rounding(v) for k, v in out.items()}

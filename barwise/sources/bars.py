@@ -90,6 +90,22 @@ def read_bars(spark: SparkSession, path: str, symbols: Iterable[str] | None = No
     return df
 
 
+def stored_bars(spark: SparkSession, table: str, universe: DataFrame | None = None,
+                start: str | None = None, end: str | None = None) -> DataFrame:
+    """S1/S5 from a stored table: the half-open range prunes its month
+    partitions, and the universe (a one-column DataFrame) filters the scan
+    through a semi join, which AQE broadcasts when it is small."""
+    df = spark.table(table)
+    for bound, low in ((start, True), (end, False)):
+        if bound is not None:
+            day = F.lit(bound).cast("date")
+            month = int(bound[:4]) * 100 + int(bound[5:7])
+            df = df.where((F.col("date") >= day) & (F.col("month") >= month) if low else (F.col("date") < day) & (F.col("month") <= month))
+    if universe is not None:
+        df = df.join(universe, "symbol", "left_semi")
+    return df.select(*BAR_COLUMNS)
+
+
 def requested(spark: SparkSession, symbols: Iterable[str]) -> DataFrame:
     """The ticker universe as a one-column DataFrame."""
     return spark.createDataFrame([(s,) for s in symbols], "symbol string")
@@ -147,6 +163,74 @@ def normalize(raw: DataFrame, symbol: str | None = None,
     return df.select(*cols).where(F.col("date").isNotNull())
 
 
+#: What a row can break, in the order it is told (fixed names of the rules).
+RULES = ("no_date", "bad_date", "no_symbol", "long_symbol", "bad_number")
+
+
+def screen(raw: DataFrame, symbol: str | None = None, mapping: Mapping[str, str] = PROVIDER_COLUMNS,
+           max_len: int = 9, keep_null_dates: bool = False) -> DataFrame:
+    """One feed as canonical bars, with ``broken``: the rules (``RULES``) that
+    each row breaks, and ``raw_date``, the date as it came.
+
+    ``no_date`` is a missing date, ``bad_date`` text that is none,
+    ``long_symbol`` one of more than ``max_len`` characters, ``bad_number`` text
+    that is no number. NaN is a missing value (D2), no fault. With
+    ``keep_null_dates`` (P4, the re-read) rows may lack a date.
+    """
+    df = raw.toDF(*[mapping.get(c, c) for c in raw.columns])
+    if symbol is not None:
+        df = df.withColumn("symbol", F.lit(symbol))
+    if "date" not in df.columns:
+        df = df.withColumn("date", F.lit(None).cast("string"))
+    kinds = dict(df.dtypes)
+    text = F.col("date").cast("string")
+    date = F.col("date").cast("date") if kinds["date"] in ("date", "timestamp", "timestamp_ntz") else F.try_to_timestamp(text).cast("date")
+    out, faults = [], []
+    for name in [*PRICE_COLUMNS, "volume"]:
+        kind = "bigint" if name == "volume" else "double"
+        if name not in df.columns:
+            out.append(F.lit(None).cast(kind).alias(name))
+            continue
+        number = F.col(name).try_cast(kind)
+        faults.append(F.col(name).isNotNull() & number.isNull() & ~(F.col(name).try_cast("double").isNotNull() & F.isnan(F.col(name).try_cast("double"))))
+        out.append((nan_to_null(number) if kind == "double" else number).alias(name))
+    sym = F.col("symbol").cast("string") if "symbol" in df.columns else F.lit(None).cast("string")
+    bad = {"no_date": F.col("date").isNull() & F.lit(not keep_null_dates),
+           "bad_date": F.col("date").isNotNull() & date.isNull() & F.lit(not keep_null_dates),
+           "no_symbol": sym.isNull(), "long_symbol": F.coalesce(F.length(sym) > max_len, F.lit(False)),
+           "bad_number": F.array_max(F.array(*faults)) if faults else F.lit(False)}
+    broken = F.filter(F.array(*[F.when(bad[r], F.lit(r)) for r in RULES]), lambda r: r.isNotNull())
+    return df.select(date.alias("date"), sym.alias("symbol"), *out, text.alias("raw_date"), broken.alias("broken"))
+
+
+def quarantine(screened: DataFrame, path: str) -> dict[str, int]:
+    """Writes ``screen``'s rows in one pass, good and rejected ones apart
+    (folders ``ok=true`` and ``ok=false`` under ``path``), and returns how many
+    rows there were, how many are rejected, and how many break each rule, as
+    observed by that pass. Read them with ``accepted`` and ``rejected``."""
+    from pyspark.sql import Observation
+    seen = Observation()
+    ok = F.size("broken") == 0
+    (screened.withColumn("ok", ok).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("ok")).alias("rejected"),
+        *[F.count_if(F.array_contains("broken", r)).alias(r) for r in RULES])
+     .write.mode("overwrite").partitionBy("ok").parquet(path))
+    return dict(seen.get)
+
+
+def _screened(spark: SparkSession, path: str) -> DataFrame:
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in BAR_SCHEMA.fields)
+    return spark.read.schema(f"{kinds}, raw_date string, broken array<string>, ok boolean").parquet(path)
+
+
+def accepted(spark: SparkSession, path: str) -> DataFrame:
+    return _screened(spark, path).where("ok").select(*BAR_COLUMNS)
+
+
+def rejected(spark: SparkSession, path: str) -> DataFrame:
+    return _screened(spark, path).where("NOT ok").drop("ok")
+
+
 def union_feeds(feeds: Mapping[str, DataFrame], **kw) -> DataFrame:
     """Normalise every feed and union them by name; feeds without a date
     column are skipped (P1) and the others proceed."""

@@ -92,4 +92,4 @@ def test_score_and_store_and_early_stopping(spark):
     added = ml.score_and_store(spark, df, models, stack, "bw_preds")
     assert added.count() == 15
     assert ml.score_and_store(spark, df, models, stack, "bw_preds").count() == 0
-    assert spark.table("bw_preds").columns == ["date", "symbol", "predicted_return", "return", "open", "adj_close"]
+    assert spark.table("bw_preds").columns == ["date", "symbol", "predicted_return", "return", "open", "adj_close", "month"]
