@@ -14,9 +14,8 @@ two folds:
 
 Everything around the folds (scenario replication, per-date top-k, the
 next-bar equi-join, last close, Sharpe, final value) is built-in relational
-work. The two folds are inherently sequential per group; they run as grouped
-maps (``applyInPandas``) so each group costs O(n) — a higher-order
-``aggregate`` that accumulates its output array is O(n^2). Scenarios
+work. The first fold is an expression over one series' sorted array, the second
+a grouped map (``applyInPandas``). Scenarios
 (take-profit x fee x k x ..., or every random-search trial) run in one job.
 """
 
@@ -70,17 +69,6 @@ def ranked_scenarios(preds: DataFrame, scenarios: DataFrame) -> DataFrame:
     return top.join(ranks, "rank")
 
 
-ACTION_SCHEMA = T.StructType([
-    T.StructField("scenario_id", T.StringType()),
-    T.StructField("symbol", T.StringType()),
-    T.StructField("signal_date", T.DateType()),
-    T.StructField("trade_date", T.DateType()),
-    T.StructField("action", T.StringType()),
-    T.StructField("price", T.DoubleType()),
-    T.StructField("close", T.DoubleType()),
-    T.StructField("ret", T.DoubleType()),
-])
-
 LOG_SCHEMA = T.StructType([
     T.StructField("scenario_id", T.StringType()),
     T.StructField("seq", T.LongType()),
@@ -106,40 +94,38 @@ def _spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(task_partitions(df.sparkSession), *keys)
 
 
-def _trade_fold(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One (scenario, symbol): walk its tradable signal dates in order."""
-    pdf = pdf.sort_values("date", kind="mergesort")
-    tp = float(pdf["take_profit"].iloc[0])
-    out = []
-    holding, pp = False, 0.0
-    for d, nd, px, close in zip(pdf["date"], pdf["next_date"], pdf["next_open"], pdf["close"]):
-        if not holding:
-            out.append((d, nd, "buy", px, close, 0.0))
-            holding, pp = True, px
-        ret = (px - pp) / pp
-        if ret >= tp:
-            out.append((d, nd, "sell", px, close, ret))
-            holding = False
-    res = pd.DataFrame(out, columns=["signal_date", "trade_date", "action", "price", "close", "ret"])
-    res.insert(0, "symbol", pdf["symbol"].iloc[0])
-    res.insert(0, "scenario_id", pdf["scenario_id"].iloc[0])
-    return res
-
-
 def trade_pairs(tradable: DataFrame) -> DataFrame:
     """Per (scenario, symbol) fold over the tradable signal dates.
 
     Flat -> buy at the next open; then, in the same step, a held position
     whose return since purchase reaches take_profit is sold at the next open
     (so take_profit <= 0 sells at once). Emits one row per action with the
-    trade return (0 for buys). A sequential fold: a grouped map keeps it
-    O(n) per group (a higher-order ``aggregate`` that accumulates the output
-    array copies it at every step, O(n^2)).
+    trade return (0 for buys). The fold is an expression over the sorted array
+    of one series, which has a row per signal date at most; its state grows by
+    one place per action, so dates without a trade cost no copy. A missing or
+    zero price is bought at, but nothing is sold at or against it.
     """
     cols = tradable.select("scenario_id", "symbol", "take_profit", "date", "next_date",
                            "next_open", "close")
-    return (_spread(cols, "scenario_id", "symbol")
-            .groupBy("scenario_id", "symbol").applyInPandas(_trade_fold, ACTION_SCHEMA))
+    series = _spread(cols, "scenario_id", "symbol").groupBy("scenario_id", "symbol").agg(
+        F.expr("sort_array(collect_list(struct(date, next_date, next_open, close))) AS days"),
+        F.expr("min(take_profit) AS take_profit"))
+    fold = """inline(aggregate(days,
+        named_struct('i', 0, 'holding', false, 'paid', CAST(NULL AS DOUBLE),
+                     'acts', CAST(array() AS ARRAY<STRUCT<i: INT, action: STRING, ret: DOUBLE>>)),
+        (s, d) -> transform(
+            array(named_struct('paid', IF(s.holding, s.paid, d.next_open),
+                               'ret', IF(s.holding, try_divide(d.next_open - s.paid, s.paid), try_divide(d.next_open - d.next_open, d.next_open)))),
+            t -> named_struct(
+                'i', s.i + 1, 'holding', NOT coalesce(t.ret >= take_profit, false), 'paid', t.paid,
+                'acts', CASE WHEN s.holding AND NOT coalesce(t.ret >= take_profit, false) THEN s.acts ELSE concat(s.acts,
+                    IF(s.holding, array(), array(named_struct('i', s.i, 'action', 'buy', 'ret', 0D))),
+                    IF(coalesce(t.ret >= take_profit, false), array(named_struct('i', s.i, 'action', 'sell', 'ret', t.ret)), array())) END))[0],
+        s -> s.acts)) AS (i, action, ret)"""
+    acts = series.selectExpr("scenario_id", "symbol", "days", fold).selectExpr(
+        "scenario_id", "symbol", "element_at(days, i + 1) AS d", "action", "ret")
+    return acts.selectExpr("scenario_id", "symbol", "d.date AS signal_date", "d.next_date AS trade_date", "action",
+                           "d.next_open AS price", "d.close AS close", "ret")
 
 
 def _held_value(held: dict[str, float], close: float) -> float:
@@ -241,6 +227,15 @@ def trade_stats(actions: DataFrame) -> DataFrame:
         F.stddev_pop("ret").alias("std_return"))
 
 
+def trade_sharpe(actions: DataFrame, scenarios: DataFrame) -> DataFrame:
+    """A10 from the trades alone: (mean - rf) / (population std + 1e-8) of the
+    closed trades' returns, 0 without trades."""
+    out = scenarios.select("scenario_id", "risk_free").join(trade_stats(actions), "scenario_id", "left")
+    sharpe = F.when(F.coalesce(F.col("trades"), F.lit(0)) == 0, F.lit(0.0)).otherwise(
+        (F.col("mean_return") - F.col("risk_free")) / (F.col("std_return") + F.lit(1e-8)))
+    return out.select("scenario_id", F.coalesce("trades", F.lit(0)).cast("bigint").alias("trades"), sharpe.alias("sharpe_ratio"))
+
+
 def final_state(log: DataFrame, scenarios: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Cash after the last action (initial cash without actions) and the
     shares still held: symbols whose last action is a buy."""
@@ -267,22 +262,20 @@ def portfolio_summary(log: DataFrame, actions: DataFrame, bars: DataFrame,
     marks = held.groupBy("scenario_id").agg(F.lit(True).alias("holds"), F.expr(
         "aggregate(array_sort(collect_list(struct(symbol, shares * last_close AS v))), 0D, "
         "(acc, h) -> acc + h.v)").alias("held_value"))
-    stats = trade_stats(actions)
-    p = scenarios.select("scenario_id", "initial_cash", "risk_free")
+    stats = trade_sharpe(actions, scenarios)
+    p = scenarios.select("scenario_id", "initial_cash")
     out = (cash.join(p, "scenario_id")
            .join(marks, "scenario_id", "left")
-           .join(stats, "scenario_id", "left"))
+           .join(stats, "scenario_id"))
     final = F.col("cash") + F.when(F.col("holds"), F.col("held_value")).otherwise(F.lit(0.0))
     net = final - F.col("initial_cash")
-    sharpe = F.when(F.coalesce(F.col("trades"), F.lit(0)) == 0, F.lit(0.0)).otherwise(
-        (F.col("mean_return") - F.col("risk_free")) / (F.col("std_return") + F.lit(1e-8)))
     return out.select(
         "scenario_id",
         final.alias("final_portfolio_value"),
         net.alias("net_profit"),
         (net / F.col("initial_cash") * 100).alias("roi"),
-        sharpe.alias("sharpe_ratio"),
-        F.coalesce(F.col("trades"), F.lit(0)).cast("bigint").alias("trades"),
+        "sharpe_ratio",
+        "trades",
     )
 
 

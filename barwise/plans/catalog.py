@@ -296,14 +296,19 @@ def q_tradable_signals(spark, sf):
     return t.select("date", "symbol", r("close", 4), "next_date", r("next_open", 4))
 
 
+def trades(spark, sf):
+    """The sweep's trades, without the ledger."""
+    ranked = bt.ranked_scenarios(signals(spark, sf), sweep_grid(spark))
+    return bt.trade_pairs(tradable_signals(ranked, daily(spark, sf)))
+
+
 def q_trade_pairs(spark, sf):
-    a = backtest(spark, sf)["actions"]
-    return a.select("scenario_id", "symbol", "signal_date", "trade_date", "action",
+    return trades(spark, sf).select("scenario_id", "symbol", "signal_date", "trade_date", "action",
                     r("price", 4), r("ret"))
 
 
 def q_trade_sharpe(spark, sf):
-    s = backtest(spark, sf)["summary"]
+    s = bt.trade_sharpe(trades(spark, sf), sweep_grid(spark))
     return s.select("scenario_id", "trades", r("sharpe_ratio", 4))
 
 

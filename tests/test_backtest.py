@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from barwise.operators import backtest as bt
 
@@ -142,3 +143,20 @@ def test_close_asof_backward(spark):
                                    "symbol string, date date")
     got = {r.date: r.asof_close for r in bt.close_asof(points, bars).collect()}
     assert got == {D[0]: None, D[1]: 10.0, D[2]: 10.0, D[4]: 12.0}
+
+
+def test_trades_need_no_python_and_survive_odd_prices(spark):
+    rows = [("s", "A", 0.1, D[0], D[1], 10.0, 1.0), ("s", "A", 0.1, D[1], D[2], 10.5, 2.0), ("s", "A", 0.1, D[2], D[3], 11.0, 3.0),
+            ("s", "A", 0.1, D[3], D[4], 8.0, 4.0), ("s", "B", 0.0, D[0], D[1], 5.0, 1.0), ("s", "B", 0.0, D[1], D[2], 6.0, 1.0),
+            ("s", "C", 0.1, D[0], D[1], 0.0, 1.0), ("s", "C", 0.1, D[1], D[2], 9.0, 1.0), ("s", "D", 0.1, D[0], D[1], None, 1.0),
+            ("s", "D", 0.1, D[1], D[2], 9.0, 1.0)]
+    df = spark.createDataFrame(rows, "scenario_id string, symbol string, take_profit double, date date, next_date date, next_open double, close double")
+    out = bt.trade_pairs(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+    got = sorted((r.symbol, r.signal_date, r.action, r.price, round(r.ret, 6)) for r in out.collect() if r.symbol < "C")
+    assert got == [("A", D[0], "buy", 10.0, 0.0), ("A", D[2], "sell", 11.0, 0.1), ("A", D[3], "buy", 8.0, 0.0),
+                   ("B", D[0], "buy", 5.0, 0.0), ("B", D[0], "sell", 5.0, 0.0), ("B", D[1], "buy", 6.0, 0.0), ("B", D[1], "sell", 6.0, 0.0)]
+    assert [(r.symbol, r.action) for r in out.collect() if r.symbol >= "C"] in ([("C", "buy"), ("D", "buy")], [("D", "buy"), ("C", "buy")])
+    sharpe = bt.trade_sharpe(out, bt.scenario_grid(spark).withColumn("scenario_id", F.lit("none"))).first()
+    assert (sharpe.trades, sharpe.sharpe_ratio) == (0, 0.0)
