@@ -107,11 +107,19 @@ def q_boost_tree(spark, sf):
     return out.select("path", "feature", cat.r("threshold", 6), cat.r("gain", 1), cat.r("value", 4))
 
 
-def q_random_search(spark, sf):
+def periods(spark, sf):
     df = frame(spark, sf)
-    train = df.where(F.col("period") == "train")
-    test = df.where(F.col("period") == "test")
-    trials = ml.sample_trials(list(ml.PROFILES), ["roi", "sharpe_ratio"], SEARCH_TRIALS, ranges=SEARCH_RANGES)
+    return df.where(F.col("period") == "train"), df.where(F.col("period") == "test")
+
+
+def search_trials():
+    return ml.sample_trials(list(ml.PROFILES), ["roi", "sharpe_ratio"], SEARCH_TRIALS, ranges=SEARCH_RANGES)
+
+
+def q_random_search(spark, sf):
+    """Every trial's backtest on the test period, and the best of each pair."""
+    train, test = periods(spark, sf)
+    trials = search_trials()
     sigs = ml.random_search(train, test, trials, patience=SEARCH_PATIENCE).persist()
     grid = spark.createDataFrame(
         [(t["trial_id"], 5, 0.04, 0.001, 100000.0, 0.0) for t in trials], bt.SCENARIO_SCHEMA)
@@ -124,6 +132,17 @@ def q_random_search(spark, sf):
             .select("profile", "metric", "scenario_id", "roi", "sharpe_ratio", "trades", "best"))
 
 
+def q_refit_report(spark, sf):
+    """M8: the first trial of every (profile, objective) refit on the training
+    period, with its test errors and its backtest on the weekly bars."""
+    train, test = periods(spark, sf)
+    trials = [t for t in search_trials() if t["trial_id"].endswith("_0")]
+    best = spark.createDataFrame([(t["trial_id"],) for t in trials], "scenario_id string")
+    out = ml.refit_best(train, test, trials, best, cat.weekly(spark, sf))
+    return out["metrics"].join(out["summary"], "scenario_id").select(
+        "scenario_id", "n", "rmse", "mae", "roi", "sharpe_ratio", "net_profit", "trades")
+
+
 def queries():
     return {
         "base_scores": q_base_scores,
@@ -132,4 +151,5 @@ def queries():
         "stacked_score_facts": q_stacked_score_facts,
         "boost_tree": q_boost_tree,
         "random_search": q_random_search,
+        "refit_report": q_refit_report,
     }
