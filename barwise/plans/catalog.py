@@ -20,7 +20,7 @@ from barwise.operators import features as ft
 from barwise.operators.asof import asof_join
 from barwise.operators.benchmark import benchmark_return, with_benchmark_return
 from barwise.operators.resample import resample_ohlcv
-from barwise.operators.signals import topk_signals, tradable_signals, with_next_bar
+from barwise.operators.signals import last_close, topk_signals, tradable_signals, with_next_bar
 from barwise.operators.split import drop_incomplete, period_counts, split_periods
 from barwise.sources import bars as feeds
 from barwise.sources.bars import lineitem_bars, missing_symbols, normalize, provider_feed, stored_bars
@@ -199,6 +199,13 @@ def q_feed_quarantine(spark, sf):
     return bad.unionByName(good)
 
 
+def q_last_close(spark, sf):
+    """J6 on bars that lack their close on odd days: a symbol whose latest bar
+    has none has no mark."""
+    bars = daily(spark, sf).withColumn("close", F.when(F.day("date") % 2 == 0, F.col("close")))
+    return last_close(bars).select("symbol", r("last_close", 4))
+
+
 def q_asof_bars(spark, sf):
     """J3, J4 as general as-of joins, on few and hot symbols: for every Friday
     the last close up to it and the next open after it."""
@@ -372,6 +379,7 @@ def queries() -> dict[str, Query]:
         "stored_universe": q_stored_universe,
         "feed_quarantine": q_feed_quarantine,
         "asof_bars": q_asof_bars,
+        "last_close": q_last_close,
         "benchmark_return": q_benchmark_return,
         "benchmark_join": q_benchmark_join,
         "weekly_bars": q_weekly_bars,

@@ -383,9 +383,9 @@ def backtest_ctes(rows) -> list[str]:
         """last_state AS (
   SELECT scenario_id, cash, held FROM led
   QUALIFY row_number() OVER (PARTITION BY scenario_id ORDER BY seq DESC) = 1)""",
-        """lastc AS (SELECT symbol, arg_max(close, date) AS last_close FROM daily GROUP BY symbol)""",
+        """lastc AS (SELECT symbol, arg_max(struct_pack(c := close), date).c AS last_close FROM daily GROUP BY symbol)""",
         """marks AS (
-  SELECT ls.scenario_id,
+  SELECT true AS holds, ls.scenario_id,
          list_reduce(list_sort(list(struct_pack(symbol := h.symbol, v := h.shares * lc.last_close))),
                      lambda acc, x: acc + x.v, CAST(0.0 AS DOUBLE)) AS held_value
   FROM last_state ls, unnest(ls.held) u(h) JOIN lastc lc ON lc.symbol = h.symbol
@@ -395,9 +395,9 @@ def backtest_ctes(rows) -> list[str]:
   FROM acts WHERE action = 'sell' GROUP BY scenario_id)""",
         """summary AS (
   SELECT g.scenario_id,
-         COALESCE(ls.cash, g.initial_cash) + COALESCE(m.held_value, 0.0) AS final_portfolio_value,
-         COALESCE(ls.cash, g.initial_cash) + COALESCE(m.held_value, 0.0) - g.initial_cash AS net_profit,
-         (COALESCE(ls.cash, g.initial_cash) + COALESCE(m.held_value, 0.0) - g.initial_cash) / g.initial_cash * 100 AS roi,
+         COALESCE(ls.cash, g.initial_cash) + CASE WHEN m.holds THEN m.held_value ELSE 0.0 END AS final_portfolio_value,
+         COALESCE(ls.cash, g.initial_cash) + CASE WHEN m.holds THEN m.held_value ELSE 0.0 END - g.initial_cash AS net_profit,
+         (COALESCE(ls.cash, g.initial_cash) + CASE WHEN m.holds THEN m.held_value ELSE 0.0 END - g.initial_cash) / g.initial_cash * 100 AS roi,
          CASE WHEN COALESCE(st.trades, 0) = 0 THEN 0.0
               ELSE (st.mean_return - g.risk_free) / (st.std_return + 1e-8) END AS sharpe_ratio,
          CAST(COALESCE(st.trades, 0) AS BIGINT) AS trades
@@ -507,6 +507,8 @@ told AS (SELECT *, array_to_string(list_filter([CASE WHEN raw_date IS NULL THEN
 SELECT CASE WHEN broken <> '' THEN raw_date END AS raw_date, name AS symbol, volume, nullif(broken, '') AS broken,
   CASE WHEN broken = '' THEN try_cast(raw_date AS DATE) END AS date,
   CASE WHEN broken = '' AND d <> 15 THEN round(adj_close, 4) END AS adj_close FROM told""",
+        "last_close": with_(DAILY) + """SELECT symbol, round(arg_max(struct_pack(c := CASE WHEN day(date) % 2 = 0 THEN close END), date).c, 4) AS last_close
+FROM daily GROUP BY symbol""",
         "missing_symbols": with_(DAILY) + f"""SELECT symbol FROM (
   SELECT p_brand AS symbol FROM part UNION SELECT * FROM (VALUES {absent}) t(s)) u
 WHERE symbol NOT IN (SELECT symbol FROM daily)""",
