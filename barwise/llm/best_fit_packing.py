@@ -31,7 +31,7 @@ OPEN_BINS = 16_384
 #: Pieces of a block, on average.
 BLOCK_PIECES = 65_536
 #: Strings between spaces whose ids a worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 #: Characters of the longest of them.
 LONGEST = 64
 

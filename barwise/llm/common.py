@@ -112,7 +112,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
-    def __init__(self, bound: int = 400_000):
+    def __init__(self, bound: int = 200_000):
         super().__init__()
         self.bound = bound
 
@@ -243,7 +243,7 @@ class Merges:
         return self.bpe.encode_single_piece(raw if self.last is self.inner else self.spelled(raw, True))
 
 
-def byte_chunks(texts: list[str | None], limit: int = 4 << 20, rows: int = 4096):
+def byte_chunks(texts: list[str | None], limit: int = 1 << 20, rows: int = 4096):
     """Slices of a batch with about ``limit`` characters at most, so that a
     batch of very long texts doesn't need all its arrays at once."""
     at = size = 0
