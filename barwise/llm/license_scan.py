@@ -2,15 +2,16 @@
 
 A logistic regression over sparse word bigrams tells licence families apart
 paragraph by paragraph. It is trained on variants of public notice templates
-and, as the unknown class, on a bounded sample of the corpus' own paragraphs
-plus a few notices of no family. The least probability for a family is
-calibrated on unknown paragraphs that took no part in training. A prediction
-counts as confirmed if the paragraph holds enough of one of the family's
-templates.
-
-Only bigrams that occur in a template have weights, a bounded number, so the
-scan is one pass: paragraphs, bigrams, a broadcast join, sums. Paragraphs
-without such a bigram are unknown and not returned. Null and empty texts have
+and, as the unknown class, on the corpus' own paragraphs plus a few notices of
+no family. The least probability for a family is calibrated on the unknown
+paragraphs of a quarter of the documents, picked by hash, which take no part in
+training. The paragraphs of all other documents do. A prediction counts as
+confirmed if the paragraph holds enough of one of the family's templates.
+
+Only bigrams that occur in a template have weights, a bounded number. One pass
+counts the paragraphs by their set of such bigrams, and each set is one weighted
+row to the learner; the scan is another pass: paragraphs, bigrams, a broadcast
+join, sums. Paragraphs without such a bigram are unknown and not returned. Null and empty texts have
 no paragraphs. Rows that repeat both doc_id and text are returned once. Extra
 columns are ignored.
 """
@@ -83,16 +84,19 @@ OTHER = [
 ]
 UNKNOWN = "unknown"
 VARIANTS = 40
-#: Paragraphs of the corpus that the unknown class learns and calibrates from,
-#: at most.
-SAMPLE_PARAGRAPHS = 4000
+#: What the corpus' paragraphs weigh together at most, in variants of templates:
+#: each of them weighs 1, or less if there are more.
+UNKNOWN_WEIGHT = 3000.0
 #: Share of a template's bigrams that confirms a prediction.
 CONFIRM = 0.7
 
 
-def bigrams(words: str) -> F.col:
+def bigrams(words: str, known: list[str] | None = None) -> F.col:
+    """Distinct bigrams; only those in ``known``, in order, if given."""
     pairs = F.transform(F.sequence(F.lit(0), F.size(words) - 2),
                         lambda i: F.concat_ws(" ", F.get(F.col(words), i), F.get(F.col(words), i + 1)))
+    if known is not None:
+        pairs = F.sort_array(F.filter(pairs, lambda g: g.isin(known)))
     return F.when(F.size(words) > 1, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
 
 
@@ -119,23 +123,25 @@ def templates(spark: SparkSession) -> DataFrame:
             .withColumn("_w", paragraph_words(F.col("line"))).select("family", "template", "_w", bigrams("_w").alias("grams")))
 
 
-def sampled(docs: DataFrame) -> DataFrame:
-    """(grams, held) of paragraphs picked by hash at a rate that gives about
-    the bound; a quarter is held back for calibration. Paragraphs that hold most
-    of a template are left out."""
-    spark = docs.sparkSession
-    lines = paragraphs(docs.filter(F.col("text").isNotNull()))
-    n = docs.select(F.sum(F.size(F.split(F.col("text").cast("string"), "\n")))).first()[0] or 0
-    h = F.xxhash64("doc_id", "text_hash", "paragraph")
-    share = int((1 << 30) * min(1.0, SAMPLE_PARAGRAPHS / max(n, 1)))
-    some = (lines.filter(F.pmod(h, F.lit(1 << 30)) < share).orderBy(h, "line").limit(2 * SAMPLE_PARAGRAPHS)
-            .select(paragraph_words(F.col("line")).alias("_w"), (F.pmod(h, F.lit(4099)) % 4 == 0).alias("held"))
-            .select("held", bigrams("_w").alias("grams")))
-    known = templates(spark).select(F.collect_list("grams").alias("g")).first()["g"]
+def marked(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """(doc_id, text_hash, paragraph, grams) of every paragraph: its bigrams in
+    the vocabulary, a bounded number of constants."""
+    key = ["doc_id", "text_hash", "paragraph"]
+    return paragraphs(docs).select(*key, paragraph_words(F.col("line")).alias("_w")).select(
+        *key, bigrams("_w", vocabulary).alias("grams"))
+
+
+def unknowns(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+    """(held, grams, n): how many paragraphs of the whole corpus have these
+    bigrams, apart for the quarter of documents held back for calibration.
+    Paragraphs that hold most of a template are left out."""
+    held = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(4)) == 0
+    sets = checkpointed(marked(docs, vocabulary).groupBy(held.alias("held"), "grams").agg(F.count(F.lit(1)).alias("n")))
+    known = templates(docs.sparkSession).select(F.collect_list("grams").alias("g")).first()["g"]
     like = F.lit(False)
     for g in known:  # a few dozen constants
         like = like | (F.size(F.array_intersect("grams", F.array(*map(F.lit, g)))) >= 0.5 * len(g))
-    return some.filter(~like)
+    return sets.filter(~like)
 
 
 def train(docs: DataFrame) -> tuple[list[str], dict[str, list[float]], list[float], float]:
@@ -153,18 +159,20 @@ def train(docs: DataFrame) -> tuple[list[str], dict[str, list[float]], list[floa
     other = (rows(spark, [{"line": t} for t in OTHER], "line string")
              .select(F.lit(UNKNOWN).alias("family"), paragraph_words(F.col("line")).alias("_w"))
              .select("family", F.explode(F.array_repeat(bigrams("_w"), VARIANTS)).alias("grams")))
-    sample = checkpointed(sampled(docs))
-    unknown = sample.filter(~F.col("held")).select(F.lit(UNKNOWN).alias("family"), "grams")
+    sets = unknowns(docs, vocabulary)
+    total = sets.filter(~F.col("held")).agg(F.sum("n")).first()[0] or 0
+    each = min(1.0, UNKNOWN_WEIGHT / max(total, 1))
+    unknown = sets.filter(~F.col("held")).select(F.lit(UNKNOWN).alias("family"), "grams", (F.col("n") * each).alias("weight"))
     names = [UNKNOWN, *TEMPLATES]
     label = F.coalesce(*[F.when(F.col("family") == f, F.lit(float(i))) for i, f in enumerate(names)])
     counts = CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features")
     counts.setBinary(True)
-    data = checkpointed(counts.transform(variants.unionByName(other).unionByName(unknown)).select(
-        label.alias("label"), "features").coalesce(4))
-    model = LogisticRegression(family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=60).fit(data)
+    notices = variants.unionByName(other).withColumn("weight", F.lit(1.0)).coalesce(4)
+    data = checkpointed(counts.transform(notices.unionByName(unknown)).select(label.alias("label"), "features", "weight"))
+    model = LogisticRegression(family="multinomial", regParam=0.002, elasticNetParam=0.5, maxIter=60, weightCol="weight").fit(data)
     matrix, intercepts = model.coefficientMatrix.toArray(), [float(x) for x in model.interceptVector]
     weights = {g: [float(x) for x in matrix[:, i]] for i, g in enumerate(vocabulary)}
-    held = counts.transform(sample.filter("held").select("grams"))
+    held = counts.transform(sets.filter("held").select("grams"))
     probability = vector_to_array(F.col("probability"))
     best = model.transform(held).select(F.max(F.array_max(F.slice(probability, 2, len(names) - 1)))).first()[0]
     return names, weights, intercepts, max(0.5, min(0.95, 1.05 * (best or 0.0)))
@@ -178,10 +186,12 @@ def scan(docs: DataFrame, confirm: float = CONFIRM) -> DataFrame:
     table = rows(spark, [{"gram": g, **{f"w{i}": x for i, x in enumerate(w)}} for g, w in weights.items()],
                  "gram string, " + ", ".join(f"w{i} double" for i in range(len(names))))
     key = ["doc_id", "text_hash", "paragraph"]
-    grams = (paragraphs(docs).select(*key, paragraph_words(F.col("line")).alias("_w"))
-             .select(*key, F.explode(bigrams("_w")).alias("gram")))
+    # an explode of one array, not a filter: that would be pushed down and find the bigrams again
+    some = F.explode(F.when(F.size("grams") > 0, F.array("grams"))).alias("grams")
+    grams = (marked(docs, list(weights)).select(*key, some).dropDuplicates(key)
+             .select(*key, F.explode("grams").alias("gram")))
     # the table has one row for each bigram of the templates above
-    sums = grams.join(F.broadcast(table), "gram").dropDuplicates([*key, "gram"]).groupBy(*key).agg(
+    sums = grams.join(F.broadcast(table), "gram").groupBy(*key).agg(
         *[(F.sum(f"w{i}") + F.lit(b)).alias(f"z{i}") for i, b in enumerate(intercepts)], F.collect_set("gram").alias("grams"))
     z = [F.col(f"z{i}") for i in range(len(names))]
     top = F.greatest(*z[1:])

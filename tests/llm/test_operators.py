@@ -122,6 +122,27 @@ def test_license_scan_of_repeated_rows(spark, monkeypatch):
     assert len(got) == 3 and len({round(r.score, 12) for r in got}) == 1
 
 
+def test_license_scan_learns_from_every_paragraph(spark):
+    lines = ["the terms of the sea", "plain words here", "under the terms", "see", "Released under the MIT License."]
+    texts = [(i, "\n".join([lines[i % 4], lines[i % 5]])) for i in range(9000)] + [(None, None), (9001, "")]
+    known = ["mit license", "of the", "released under", "terms of", "the mit", "the terms", "under the"]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = license_scan.unknowns(docs, known).collect()
+    want = {}
+    for line in [x for _, t in texts if t is not None for x in t.split("\n")]:
+        w = line.lower().rstrip(".").split()
+        grams = tuple(sorted({f"{a} {b}" for a, b in zip(w, w[1:])} & set(known)))
+        want[grams] = want.get(grams, 0) + 1
+    del want["mit license", "released under", "the mit", "under the"]  # a notice, not an unknown paragraph
+    counts = {}
+    for r in got:
+        counts[tuple(r.grams)] = counts.get(tuple(r.grams), 0) + r.n
+    assert counts == want and sum(want.values()) > 16_000
+    assert 0.2 < sum(r.n for r in got if r.held) / sum(want.values()) < 0.3
+    names, weights, intercepts, least = license_scan.train(docs)
+    assert len(names) == len(intercepts) and all(len(w) == len(names) for w in weights.values()) and 0.5 <= least <= 0.95
+
+
 def removed_words(rows, size=50):
     first, out = {}, {}
     texts = {i: (t or "").encode().split() for i, t, *_ in rows if i is not None}
