@@ -14,6 +14,10 @@ are summed as integers, so the trees don't depend on partitions or retries. Rows
 carry the sum of the trees up to the last checkpoint; younger trees are applied
 on the fly, at most ``PENDING`` of them.
 
+A frame of few rows (``TASK_ROWS``) would spend its time on starting passes, one
+for each level of each tree. There every trial gets a copy of the binned rows
+and a task of its own, which takes the same levels by the same steps.
+
 With validation rows, the pass that starts a tree also adds up their squared
 errors, so the error after every iteration costs no pass of its own. A trial
 stops ``patience`` iterations after its best one and keeps the trees up to that.
@@ -43,7 +47,8 @@ MAX_BINS = 32
 PENDING = 16
 #: Iterations without a better validation error (fixed value of the reference).
 PATIENCE = 100
-#: Row x trial pairs of a task, features x trials of a block, about.
+#: Row x trial pairs of a task, features x trials of a block, about. Frames of
+#: no more rows are fitted with a task for each trial.
 TASK_ROWS, BLOCK_FEATURES = 1 << 15, 256
 #: Bits of the largest gradient, so that a batch's float sums of them are exact.
 GRADIENT_BITS = 36
@@ -346,14 +351,11 @@ def best_splits(work: list[Work], scale: float, blocks: int, spread: float):
     return run
 
 
-def level(state: DataFrame, work: list[Work], n_features: int, base: float, scale: float, spread: float, one_task: bool) -> DataFrame:
-    """One pass over the rows for all ``work``. Sums of a single task are whole
-    and need no shuffle."""
+def level(state: DataFrame, work: list[Work], n_features: int, base: float, scale: float, spread: float) -> DataFrame:
+    """One pass over the rows for all ``work``."""
     parts = task_partitions(state.sparkSession)
     blocks = max(1, min(parts, sum(len(w.chosen) for w in work) // BLOCK_FEATURES))
     add, pick = sums(work, n_features, base, scale, blocks), best_splits(work, scale, blocks, spread)
-    if one_task:
-        return state.mapInArrow(lambda batches: pick(add(batches)), SPLIT)
     return state.mapInArrow(add, PARTIAL).repartition(blocks, "trial", "block").mapInArrow(pick, SPLIT)
 
 
@@ -399,6 +401,78 @@ def grow(g: Grown, rows: list, scale: float) -> None:
     g.choose()
 
 
+def apply_trees(todo: list[tuple[int, np.ndarray, list[Tree]]], n_features: int, base: float):
+    """Maps rows to rows that carry the sums of their (trial, columns, trees)."""
+    def run(batches):
+        for batch in batches:
+            m = batch.num_rows
+            codes = np.frombuffer(b"".join(batch.column("codes").to_pylist()), np.uint8).reshape(m, n_features)
+            held = batch.column("f").to_pylist()
+            f = np.frombuffer(b"".join(held)).reshape(m, -1).copy() if held and held[0] else np.full((m, len(todo)), base)
+            for i, at, trees in todo:
+                for t in trees:
+                    f[:, i] += np.array(t.value)[t.leaf_of(codes[:, at])]
+            yield batch.set_column(batch.schema.get_field_index("f"), "f", pa.array([r.tobytes() for r in f], pa.binary()))
+
+    return run
+
+
+def boost(grown: list[Grown], splits, apply, has_val: bool, patience: int, scale: float) -> None:
+    """Grows all trees: ``splits`` gives the SPLIT rows of a level's work, and
+    ``apply`` adds finished trees to what the rows carry."""
+    while True:
+        work = []
+        for i, g in enumerate(grown):
+            if g.done:
+                continue
+            full = len(g.trees) >= g.trial.rounds
+            starts = has_val and len(g.trees) > len(g.errors)
+            if full and not starts:
+                g.done = True
+                continue
+            work.append(Work(i, g.trial, len(g.trees), g.columns, g.trees[g.applied:], g.tree, [] if full else g.frontier, g.chosen, starts))
+        if not work:
+            break
+        found: dict[int, list] = {}
+        for r in splits(work):
+            found.setdefault(r["trial"], []).append(r)
+        for w in work:
+            g, rows_of = grown[w.index], found.get(w.index, [])
+            if w.starts:
+                error = next(r for r in rows_of if r["feature"] < 0)
+                g.errors.append(error["left"][0] / scale / max(1, error["left"][1]))
+                if g.errors[-1] < g.errors[g.best]:
+                    g.best = len(g.errors) - 1
+                if len(g.errors) - 1 - g.best >= patience:
+                    g.done = True
+            if not g.done and w.frontier:
+                grow(g, [r for r in rows_of if r["feature"] >= 0], scale)
+        if any(len(g.trees) - g.applied >= PENDING for g in grown if not g.done):
+            apply([(i, g.columns, g.trees[g.applied:]) for i, g in enumerate(grown)])
+            for g in grown:
+                g.applied = len(g.trees)
+
+
+def fit_one(grown: list[Grown], n_features: int, base: float, scale: float, spread: float, has_val: bool, patience: int):
+    """Maps the rows of a trial to its booster's trees, as JSON."""
+    def run(key, rows):
+        g = grown[key[0].as_py()]
+        held = rows.to_batches(max_chunksize=10_000)
+
+        def splits(work):
+            add, pick = sums(work, n_features, base, scale, 1), best_splits(work, scale, 1, spread)
+            return [r for batch in pick(add(held)) for r in batch.to_pylist()]
+
+        def apply(todo):
+            held[:] = apply_trees(todo, n_features, base)(held)
+
+        boost([g], splits, apply, has_val, patience, scale)
+        text = json.dumps({"trees": [t.__dict__ for t in g.trees], "errors": g.errors, "best": g.best})
+        return pa.table({"trial": pa.array([key[0].as_py()], pa.int32()), "fitted": [text]})
+
+    return run
+
+
 def fit_many(df: DataFrame, trials: Sequence[Trial], label: str, validation_col: str | None = None,
              patience: int = PATIENCE, max_bins: int = MAX_BINS) -> list[Booster]:
     """Fits all trials to ``df``. ``validation_col`` marks rows that train
@@ -436,55 +510,23 @@ def fit_many(df: DataFrame, trials: Sequence[Trial], label: str, validation_col:
     grown = [Grown(t, np.array([place[c] for c in t.features])) for t in trials]
     for g in grown:
         g.choose()
-    has_val = bool(validation_col) and state.filter("val").limit(1).count() > 0
-
-    def applied(state: DataFrame) -> DataFrame:
-        todo = [(i, g.columns, g.trees[g.applied:]) for i, g in enumerate(grown)]
-
-        def run(batches):
-            for batch in batches:
-                m = batch.num_rows
-                codes = np.frombuffer(b"".join(batch.column("codes").to_pylist()), np.uint8).reshape(m, n_features)
-                held = batch.column("f").to_pylist()
-                f = np.frombuffer(b"".join(held)).reshape(m, -1).copy() if held and held[0] else np.full((m, len(todo)), base)
-                for i, at, trees in todo:
-                    for t in trees:
-                        f[:, i] += np.array(t.value)[t.leaf_of(codes[:, at])]
-                yield batch.set_column(4, "f", pa.array([r.tobytes() for r in f], pa.binary()))
+    n_val = state.filter("val").count() if validation_col else 0
+    if n + n_val <= TASK_ROWS:
+        # ranges of single numbers: a task for each trial
+        copies = state.select(F.explode(F.sequence(F.lit(0), F.lit(len(trials) - 1))).alias("trial"), "*").repartitionByRange(4 * len(trials), "trial")
+        one = fit_one(grown, n_features, base, scale, spread, n_val > 0, patience)
+        for r in copies.groupBy("trial").applyInArrow(one, "trial int, fitted string").collect():
+            g, fitted = grown[r["trial"]], json.loads(r["fitted"])
+            g.trees, g.errors, g.best = [Tree(**t) for t in fitted["trees"]], fitted["errors"], fitted["best"]
+    else:
+        def splits(work):
+            return level(state, work, n_features, base, scale, spread).collect()
 
-        return state.mapInArrow(run, columns).checkpoint()
+        def apply(todo):
+            nonlocal state
+            state = state.mapInArrow(apply_trees(todo, n_features, base), columns).checkpoint()
 
-    while True:
-        work = []
-        for i, g in enumerate(grown):
-            if g.done:
-                continue
-            full = len(g.trees) >= g.trial.rounds
-            starts = has_val and len(g.trees) > len(g.errors)
-            if full and not starts:
-                g.done = True
-                continue
-            work.append(Work(i, g.trial, len(g.trees), g.columns, g.trees[g.applied:], g.tree, [] if full else g.frontier, g.chosen, starts))
-        if not work:
-            break
-        found: dict[int, list] = {}
-        for r in level(state, work, n_features, base, scale, spread, n_tasks == 1).collect():
-            found.setdefault(r["trial"], []).append(r)
-        for w in work:
-            g, rows_of = grown[w.index], found.get(w.index, [])
-            if w.starts:
-                error = next(r for r in rows_of if r["feature"] < 0)
-                g.errors.append(error["left"][0] / scale / max(1, error["left"][1]))
-                if g.errors[-1] < g.errors[g.best]:
-                    g.best = len(g.errors) - 1
-                if len(g.errors) - 1 - g.best >= patience:
-                    g.done = True
-            if not g.done and w.frontier:
-                grow(g, [r for r in rows_of if r["feature"] >= 0], scale)
-        if any(len(g.trees) - g.applied >= PENDING for g in grown if not g.done):
-            state = applied(state)
-            for g in grown:
-                g.applied = len(g.trees)
+        boost(grown, splits, apply, n_val > 0, patience, scale)
     out = []
     for g in grown:
         trees = g.trees[:g.best + 1] if g.errors else g.trees[:g.trial.rounds]

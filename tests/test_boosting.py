@@ -122,3 +122,14 @@ def test_score_and_odd_tables(spark):
     assert empty.n_trees == 0 and empty.transform(df.limit(0)).count() == 0
     same = df.withColumn("y", F.lit(2.0)).withColumn("a", F.lit(1.0)).withColumn("b", F.lit(None).cast("double"))
     assert {r.t for r in B.fit_many(same, [t], "y")[0].transform(same).collect()} == {2.0}
+
+
+def test_a_small_frame_starts_no_pass_a_level(spark, monkeypatch):
+    rows = table(300)
+    trials = [B.Trial("a", ["a", "b", "c"], rounds=18, depth=3), B.Trial("s", ["a", "c"], rounds=3, depth=2, symmetric=True, temperature=1.0, noise=1.0)]
+    monkeypatch.setattr(B, "TASK_ROWS", 100)
+    passes = B.fit_many(frame(spark, rows), trials, "y", "val", 2)
+    monkeypatch.setattr(B, "TASK_ROWS", 1 << 15)
+    monkeypatch.setattr(B, "level", None)
+    for got, want in zip(B.fit_many(frame(spark, rows), trials, "y", "val", 2), passes):
+        assert got.to_json() == want.to_json() and got.n_trees > 1
