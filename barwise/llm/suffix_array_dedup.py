@@ -2,7 +2,9 @@
 prefixes, built by external induced sorting.
 
 Segments that may hold such strings are gathered in shards (``window_routing``).
-A shard's text is sorted as follows. Suffixes that begin a local minimum are
+Of a shard's text, runs of strings whose hash occurs again are kept, each content
+once; equal strings have equal hashes, so none that is repeated is left out.
+They are sorted as follows. Suffixes that begin a local minimum are
 sorted by the names of the substrings between them; all others are induced from
 them, first those larger than their right neighbour, upwards, then the others,
 downwards. Queues keyed by first character carry the induced suffixes, as tuples
@@ -27,7 +29,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .window_routing import Units, covered_texts, placed, repeated_runs
+from .common import grams
+from .window_routing import CHUNK, Units, covered_texts, placed, repeated_runs
 
 LENGTH = 100
 BYTES = Units(size=LENGTH, k=32, words=False, within=True, shard=4 << 20)
@@ -222,10 +225,54 @@ def induced(text: np.ndarray, most: int, bound: int = QUEUE_BYTES) -> tuple[np.n
     return np.concatenate(order[::-1]).astype(np.int64), np.concatenate(common[::-1]).astype(np.int64)
 
 
+def string_hashes(segments: list[bytes], n: np.ndarray) -> np.ndarray:
+    """Hashes of the segments' windows, some segments at a time."""
+    out, at = [], 0
+    ends = np.cumsum(n + LENGTH - 1)
+    while at < len(segments):
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK, "right")))
+        m = n[at:end]
+        base = np.cumsum(m + LENGTH - 1) - (m + LENGTH - 1) - (np.cumsum(m) - m)
+        text = np.frombuffer(b"".join(segments[at:end]), np.uint8).astype(np.uint64)
+        out.append(grams(text, LENGTH)[np.repeat(base, m) + np.arange(int(m.sum()))])
+        at = end
+    return np.concatenate(out)
+
+
 def earlier_strings(segments: list[bytes], doc: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Flags of the segments' windows that start earlier, too. Segments come in
-    the order of (doc, start); a byte 0, made unlike any in the text by raising
-    the others where it occurs, ends each."""
+    the order of (doc, start). Runs of windows whose hash occurs again are
+    sorted, those of equal content as one, the first."""
+    hashes = string_hashes(segments, n)
+    order = np.argsort(hashes, kind="stable")
+    same = hashes[order][1:] == hashes[order][:-1]
+    again = np.zeros(len(hashes), bool)
+    again[order[1:][same]] = again[order[:-1][same]] = True
+    flags = np.zeros(len(hashes), bool)
+    windows = np.flatnonzero(again)
+    if not len(windows):
+        return flags
+    owner = np.repeat(np.arange(len(n)), n)[windows]
+    at = windows - (np.cumsum(n) - n)[owner]
+    first = np.flatnonzero(np.r_[True, (windows[1:] != windows[:-1] + 1) | (owner[1:] != owner[:-1])])
+    m, owner, at = np.diff(np.r_[first, len(windows)]), owner[first], at[first]
+    kinds: dict[bytes, int] = {}
+    parts = [segments[i][a:a + k + LENGTH - 1] for i, a, k in zip(owner.tolist(), at.tolist(), m.tolist())]
+    of = np.array([kinds.setdefault(x, len(kinds)) for x in parts])
+    _, one = np.unique(of, return_index=True)  # of each content the first run, in order
+    whose, place = doc[owner], start[owner] + at
+    earlier = sorted_strings([parts[i] for i in one.tolist()], whose[one], place[one], m[one])
+    later = (whose > whose[one][of]) | ((whose == whose[one][of]) & (place > place[one][of]))
+    ends = np.cumsum(m[one])
+    within = np.arange(len(windows)) - np.repeat(first, m)
+    flags[windows] = earlier[np.repeat((ends - m[one])[of], m) + within] | np.repeat(later, m)
+    return flags
+
+
+def sorted_strings(segments: list[bytes], doc: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Flags of the segments' windows that start earlier, too, by a suffix array.
+    Segments come in the order of (doc, start); a byte 0, made unlike any in the
+    text by raising the others where it occurs, ends each."""
     lens = np.array([len(s) for s in segments])
     text = np.frombuffer(b"\0".join(segments) + b"\0", np.uint8)
     ends = np.cumsum(lens + 1) - 1

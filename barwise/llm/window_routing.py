@@ -10,9 +10,11 @@ Where an anchor hash meets, segments of equal content are one: all but the
 first are copies, every window of theirs is repeated; where only other documents
 count, those in the first one's own document get its windows' flags. The firsts of different
 content need a look at their text (an index or a suffix sort, in shards by
-anchor); only those are fetched. An anchor with very many different segments is
-dealt to ``SPLIT`` shards by the hash of each window, so that no shard has to
-hold all of a frequent passage's surroundings.
+anchor); only those are fetched. The very many different segments of a frequent
+anchor are first cut to the runs of windows whose hash occurs again, and meet
+once more as such. If they are still as many, they are dealt to ``SPLIT`` shards
+by the hash of each window, so that no shard has to hold all of a frequent
+passage's surroundings.
 """
 
 from __future__ import annotations
@@ -37,6 +39,9 @@ HOT, SPLIT = 20_000, 64
 PART_BYTES = 16 << 20
 BASE = 0x9E3779B97F4A7C15
 PACKED = np.dtype([("h", "<u8"), ("sig", "<u8"), ("doc", "<u2"), ("start", "<u4"), ("n", "u1")])
+#: A window of a hot segment: its hash and its place there.
+WINDOW = np.dtype([("hash", "<u8"), ("h", "<u8"), ("doc", "<i8"), ("start", "<i8"), ("at", "u1")])
+MET = "doc_id long, start long, n long, h long, look boolean, hot boolean, copies binary"
 
 
 @dataclass(frozen=True)
@@ -156,6 +161,37 @@ def placed(docs: DataFrame) -> DataFrame:
             .unionByName(keyed.filter("NOT _may").drop("_may").withColumn("_offset", F.lit(0).cast("long"))))
 
 
+def meeting(h: np.ndarray, sig: np.ndarray, start: np.ndarray, n: np.ndarray, doc: np.ndarray, within: bool) -> pd.DataFrame:
+    """The rows of ``MET`` for all segments of some anchors."""
+    order = np.argsort(h, kind="stable")
+    same = h[order][1:] == h[order][:-1]
+    twice = np.zeros(len(h), bool)
+    twice[order[1:][same]] = twice[order[:-1][same]] = True
+    h, sig, start, n, doc = h[twice], sig[twice], start[twice], n[twice], doc[twice]
+    order = np.lexsort((start, doc, sig, h))
+    h, sig, start, n, doc = h[order], sig[order], start[order], n[order], doc[order]
+    new_h = np.r_[True, h[1:] != h[:-1]][:len(h)]
+    new = new_h | np.r_[True, sig[1:] != sig[:-1]][:len(h)]
+    first = np.flatnonzero(new)
+    of = np.cumsum(new) - 1
+    later = doc > doc[first][of]
+    if within:
+        later |= (doc == doc[first][of]) & (start > start[first][of])
+    kinds = np.bincount(np.cumsum(new_h) - 1, weights=new).astype(np.int64)[np.cumsum(new_h) - 1] if len(h) else of
+    look = new & (kinds > 1)
+    keep = look | later
+    copies = np.full(len(h), None, object)
+    twin = ~new & ~later & (kinds > 1) & np.r_[True, start[1:] != start[:-1]][:len(h)]
+    if not within and twin.any():
+        whose, at = first[of[twin]], start[twin]
+        edge = np.flatnonzero(np.r_[True, whose[1:] != whose[:-1], True])
+        copies[whose[edge[:-1]]] = [at[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])]
+    return pd.DataFrame({"doc_id": doc[keep], "start": start[keep], "n": n[keep],
+                         "h": pd.array(np.where(look, h.view(np.int64), 0)[keep], "Int64").copy(),
+                         "look": look[keep], "hot": (look & (kinds > HOT))[keep],
+                         "copies": copies[keep]})
+
+
 def met(docs: DataFrame, u: Units) -> DataFrame:
     """(doc_id, start, n, h, look, hot, copies): segments whose anchor occurs
     elsewhere. Copies of an earlier segment aren't to be looked at; where a repeat
@@ -206,36 +242,90 @@ def met(docs: DataFrame, u: Units) -> DataFrame:
         doc, offset = np.concatenate([i[r["doc"]] for i, r in zip(pairs, rows)]).T
         rows = np.concatenate(rows)
         h, sig, start, n = rows["h"], rows["sig"], rows["start"] + offset, rows["n"].astype(np.int64)
-        order = np.argsort(h, kind="stable")
-        same = h[order][1:] == h[order][:-1]
-        twice = np.zeros(len(h), bool)
-        twice[order[1:][same]] = twice[order[:-1][same]] = True
-        h, sig, start, n, doc = h[twice], sig[twice], start[twice], n[twice], doc[twice]
-        order = np.lexsort((start, doc, sig, h))
-        h, sig, start, n, doc = h[order], sig[order], start[order], n[order], doc[order]
-        new_h = np.r_[True, h[1:] != h[:-1]][:len(h)]
-        new = new_h | np.r_[True, sig[1:] != sig[:-1]][:len(h)]
-        first = np.flatnonzero(new)
-        of = np.cumsum(new) - 1
-        later = doc > doc[first][of]
-        if u.within:
-            later |= (doc == doc[first][of]) & (start > start[first][of])
-        kinds = np.bincount(np.cumsum(new_h) - 1, weights=new).astype(np.int64)[np.cumsum(new_h) - 1] if len(h) else of
-        look = new & (kinds > 1)
-        keep = look | later
-        copies = np.full(len(h), None, object)
-        twin = ~new & ~later & (kinds > 1) & np.r_[True, start[1:] != start[:-1]][:len(h)]
-        if not u.within and twin.any():
-            whose, at = first[of[twin]], start[twin]
-            edge = np.flatnonzero(np.r_[True, whose[1:] != whose[:-1], True])
-            copies[whose[edge[:-1]]] = [at[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])]
-        return pd.DataFrame({"doc_id": doc[keep], "start": start[keep], "n": n[keep],
-                             "h": pd.array(np.where(look, h.view(np.int64), 0)[keep], "Int64").copy(),
-                             "look": look[keep], "hot": (look & (kinds > HOT))[keep],
-                             "copies": copies[keep]})
+        return meeting(h, sig, start, n, doc, u.within)
 
     packed = docs.select("doc_id", "text", "_offset").mapInArrow(make, "p int, segments binary, ids binary")
-    return packed.groupBy("p").applyInPandas(meet, "doc_id long, start long, n long, h long, look boolean, hot boolean, copies binary")
+    return packed.groupBy("p").applyInPandas(meet, MET)
+
+
+def with_texts(docs: DataFrame, todo: DataFrame) -> DataFrame:
+    """(doc_id, text, _offset, segments): texts of the documents of ``todo``. They
+    are dealt by doc_id alone, which serves both the aggregate and the join."""
+    return (only_keys(docs, todo.select("doc_id"), "doc_id").repartition("doc_id").dropDuplicates(["doc_id", "_offset"])
+            .join(todo, "doc_id").select("doc_id", "text", "_offset", "segments"))
+
+
+def narrowed(docs: DataFrame, hot: DataFrame, u: Units) -> DataFrame:
+    """Rows as of ``met`` for the hot segments ``hot`` cut to the runs of windows
+    whose hash occurs again. Equal windows have equal hashes, so no repeated one
+    is lost; the runs' equal contents are copies once more. Only hashes are
+    shuffled, by hash and then by anchor."""
+    todo = hot.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "n", "h", "copies"))).alias("segments"))
+    size = (hot.agg(F.sum("n")).first()[0] or 0) * WINDOW.itemsize
+    n_parts = max(partitions(docs.sparkSession), -(-size // PART_BYTES))
+
+    def dealt(rows: np.ndarray, by: str):
+        p = (rows[by] % np.uint64(n_parts)).astype(np.int64)
+        order = np.argsort(p, kind="stable")
+        rows, edge = rows[order], np.searchsorted(p[order], np.arange(n_parts + 1))
+        ks = np.flatnonzero(np.diff(edge))
+        return ks.astype(np.int32), [rows[edge[k]:edge[k + 1]].tobytes() for k in ks]
+
+    def windows(batches):
+        hashes = WordHashes()
+
+        def packed(parts, places):
+            h, doc, start, n = (np.array(c, np.int64) for c in zip(*places))
+            base = np.cumsum(n + u.size - 1) - (n + u.size - 1)
+            at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            rows = np.empty(len(at), WINDOW)
+            rows["hash"], rows["at"] = grams(np.concatenate(parts), u.size)[np.repeat(base, n) + at], at
+            rows["h"], rows["doc"], rows["start"] = np.repeat(h.view(np.uint64), n), np.repeat(doc, n), np.repeat(start, n)
+            ks, blobs = dealt(rows, "hash")
+            return pa.RecordBatch.from_arrays([pa.array(ks), pa.array(blobs, pa.binary())], ["p", "windows"])
+
+        for batch in batches:
+            parts, places, total = [], [], 0
+            for doc, text, offset, segments in zip(batch.column(0).to_pylist(), strings(batch.column(1)), batch.column(2).to_pylist(),
+                                                   batch.column(3).to_pylist()):
+                units = u.split(text)
+                for s in segments:
+                    at, n = s["start"] - offset, s["n"]
+                    if not 0 <= at < len(units):  # of another text of the document
+                        continue
+                    parts.append(u.values(units[at:at + n + u.size - 1], hashes))
+                    places.append((s["h"], doc, s["start"], n))
+                    for twin in np.frombuffer(s["copies"] or b"", np.int64).tolist():
+                        parts.append(parts[-1])
+                        places.append((s["h"], doc, twin, n))
+                    total += n + u.size - 1
+                    if total > CHUNK:
+                        yield packed(parts, places)
+                        parts, places, total = [], [], 0
+            if parts:
+                yield packed(parts, places)
+
+    def again(group: pd.DataFrame) -> pd.DataFrame:
+        rows = np.concatenate([np.frombuffer(b, WINDOW) for b in group["windows"]])
+        rows = rows[np.argsort(rows["hash"], kind="stable")]
+        same = rows["hash"][1:] == rows["hash"][:-1]
+        ks, blobs = dealt(rows[np.r_[False, same] | np.r_[same, False]], "h")
+        return pd.DataFrame({"p": ks, "windows": blobs})
+
+    def meet(group: pd.DataFrame) -> pd.DataFrame:
+        rows = np.concatenate([np.frombuffer(b, WINDOW) for b in group["windows"]])
+        rows = rows[np.lexsort((rows["at"], rows["start"], rows["doc"], rows["h"]))]
+        h, doc, start, at = (rows[c].copy() for c in ("h", "doc", "start", "at"))
+        at = at.astype(np.int64)
+        first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]) | (start[1:] != start[:-1]) | (at[1:] != at[:-1] + 1)])
+        n = np.diff(np.r_[first, len(h)])
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(rows["hash"] * powers(BASE, len(h)))])
+        down = powers(pow(BASE, -1, 1 << 64), len(h))[first]
+        sig = mix64((sums[first + n] - sums[first]) * down + n.astype(np.uint64))
+        return meeting(h[first], sig, start[first] + at[first], n, doc[first], u.within)
+
+    packed = with_texts(docs, todo).mapInArrow(windows, "p int, windows binary")
+    return packed.groupBy("p").applyInPandas(again, "p int, windows binary").groupBy("p").applyInPandas(meet, MET)
 
 
 def repeated_runs(docs: DataFrame, u: Units, look: Callable[[list, np.ndarray, np.ndarray, np.ndarray], list]) -> DataFrame:
@@ -246,9 +336,13 @@ def repeated_runs(docs: DataFrame, u: Units, look: Callable[[list, np.ndarray, n
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "_offset").filter(
         "doc_id IS NOT NULL AND text IS NOT NULL")
     found = checkpointed(met(docs, u))
+    sums = F.sum(F.col("n") + F.lit(u.size)).alias("units"), F.max("hot").alias("hot")
+    total = found.filter("look").agg(*sums).first()
+    if total["hot"]:
+        found = found.filter("NOT hot").unionByName(checkpointed(narrowed(docs, found.filter("hot"), u)))
+        total = found.filter("look").agg(*sums).first()
     todo = found.filter("look").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "n", "h", "hot", "copies"))).alias("segments"))
-    units = found.filter("look").agg(F.sum(F.col("n") + F.lit(u.size))).first()[0] or 0
-    n_shards = max(partitions(spark), -(-units // u.shard))
+    n_shards = max(partitions(spark), -(-(total["units"] or 0) // u.shard))
 
     def fetch(batches):
         hashes = WordHashes()
@@ -291,8 +385,7 @@ def repeated_runs(docs: DataFrame, u: Units, look: Callable[[list, np.ndarray, n
         o, s, m = (np.concatenate(c) for c in zip(*parts))
         return pd.DataFrame({"doc_id": o, "start": s, "n": m})
 
-    fetched = (only_keys(docs, todo.select("doc_id"), "doc_id").dropDuplicates(["doc_id", "_offset"]).join(todo, "doc_id")
-               .select("doc_id", "text", "_offset", "segments").mapInArrow(fetch, "shard long, doc_id long, start long, n long, units binary, copies binary"))
+    fetched = with_texts(docs, todo).mapInArrow(fetch, "shard long, doc_id long, start long, n long, units binary, copies binary")
     looked = fetched.groupBy("shard").applyInPandas(sort_out, "doc_id long, start long, n long")
     return found.filter("NOT look").select("doc_id", "start", "n").unionByName(looked)
 
