@@ -8,9 +8,11 @@ segments are shuffled, packed, about one for every size / 2 units.
 
 Where an anchor hash meets, segments of equal content are one: all but the
 first are copies, every window of theirs is repeated; where only other documents
-count, those in the first one's own document get its windows' flags. The firsts of different
-content need a look at their text (an index or a suffix sort, in shards by
-anchor); only those are fetched. The very many different segments of a frequent
+count, those in the first one's own document get its windows' flags. A window
+holds half of the units beside its anchor on one side of it: segments with a
+window in common agree in the anchor with so many units to its left or to its
+right. Firsts of different content that do need a look at their text (an index or
+a suffix sort, in shards by anchor); only those are fetched. The very many different segments of a frequent
 anchor are first cut to the runs of windows whose hash occurs again, and meet
 once more as such. If they are still as many, they are dealt to ``SPLIT`` shards
 by the hash of each window, so that no shard has to hold all of a frequent
@@ -38,7 +40,8 @@ HOT, SPLIT = 20_000, 64
 #: Text bytes whose segments meet in one task, about.
 PART_BYTES = 16 << 20
 BASE = 0x9E3779B97F4A7C15
-PACKED = np.dtype([("h", "<u8"), ("sig", "<u8"), ("doc", "<u2"), ("start", "<u4"), ("n", "u1")])
+PACKED = np.dtype([("h", "<u8"), ("sig", "<u8"), ("doc", "<u2"), ("start", "<u4"), ("n", "u1"),
+                   ("left", "<u4"), ("right", "<u4")])
 #: A window of a hot segment: its hash and its place there.
 WINDOW = np.dtype([("hash", "<u8"), ("h", "<u8"), ("doc", "<i8"), ("start", "<i8"), ("at", "u1")])
 MET = "doc_id long, start long, n long, h long, look boolean, hot boolean, copies binary"
@@ -94,7 +97,7 @@ class Segments:
         self.down = powers(pow(BASE, -1, 1 << 64), CHUNK + 1)
 
     def of(self, values: list[np.ndarray]):
-        """Arrays (h, sig, owner, start, n) of all segments."""
+        """Arrays (h, sig, owner, start, n, left, right) of all segments."""
         size, parts, group, total = self.u.size, [], [], 0
         for i, v in enumerate(values):  # long ones are looked at in overlapping pieces
             for at in range(0, max(1, len(v) - size + 1), CHUNK // 2):
@@ -108,7 +111,7 @@ class Segments:
                 total += len(piece)
         if group:
             parts.append(self.chunk(group))
-        return [np.concatenate(c) for c in zip(*parts)] if parts else [np.empty(0, np.int64)] * 5
+        return [np.concatenate(c) for c in zip(*parts)] if parts else [np.empty(0, np.int64)] * 7
 
     def chunk(self, group):
         size, k = self.u.size, self.u.k
@@ -129,7 +132,13 @@ class Segments:
         sig = mix64((sums[at + n + size - 1] - sums[at]) * self.down[at] + n.astype(np.uint64))
         owner = np.array([i for i, _, _ in group])[p]
         offset = np.array([o for _, o, _ in group])[p]
-        return h, sig, owner, at - (ends - lens)[p] + offset, n
+        # the anchor with its neighbours on either side, 0 where no window has them all
+        half = (size - k) // 2
+        g = (grams(x, k + half) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+        a = a[first]
+        left = np.where(a - at >= half, g[np.maximum(a - half, 0)], 0)
+        right = np.where(a - (at + n - 1) <= half, g[np.minimum(a, len(g) - 1)], 0)
+        return h, sig, owner, at - (ends - lens)[p] + offset, n, left, right
 
 
 def runs(flags: np.ndarray, starts: np.ndarray, owners: np.ndarray):
@@ -161,15 +170,18 @@ def placed(docs: DataFrame) -> DataFrame:
             .unionByName(keyed.filter("NOT _may").drop("_may").withColumn("_offset", F.lit(0).cast("long"))))
 
 
-def meeting(h: np.ndarray, sig: np.ndarray, start: np.ndarray, n: np.ndarray, doc: np.ndarray, within: bool) -> pd.DataFrame:
-    """The rows of ``MET`` for all segments of some anchors."""
+def meeting(h: np.ndarray, sig: np.ndarray, start: np.ndarray, n: np.ndarray, doc: np.ndarray, within: bool,
+            sides: tuple[np.ndarray, ...] = ()) -> pd.DataFrame:
+    """The rows of ``MET`` for all segments of some anchors. ``sides``: what two
+    of an anchor agree in, in one of the arrays (0: nothing), if they have a
+    window in common."""
     order = np.argsort(h, kind="stable")
     same = h[order][1:] == h[order][:-1]
     twice = np.zeros(len(h), bool)
     twice[order[1:][same]] = twice[order[:-1][same]] = True
-    h, sig, start, n, doc = h[twice], sig[twice], start[twice], n[twice], doc[twice]
-    order = np.lexsort((start, doc, sig, h))
-    h, sig, start, n, doc = h[order], sig[order], start[order], n[order], doc[order]
+    rows = np.flatnonzero(twice)
+    rows = rows[np.lexsort((start[rows], doc[rows], sig[rows], h[rows]))]
+    h, sig, start, n, doc = h[rows], sig[rows], start[rows], n[rows], doc[rows]
     new_h = np.r_[True, h[1:] != h[:-1]][:len(h)]
     new = new_h | np.r_[True, sig[1:] != sig[:-1]][:len(h)]
     first = np.flatnonzero(new)
@@ -177,11 +189,20 @@ def meeting(h: np.ndarray, sig: np.ndarray, start: np.ndarray, n: np.ndarray, do
     later = doc > doc[first][of]
     if within:
         later |= (doc == doc[first][of]) & (start > start[first][of])
-    kinds = np.bincount(np.cumsum(new_h) - 1, weights=new).astype(np.int64)[np.cumsum(new_h) - 1] if len(h) else of
-    look = new & (kinds > 1)
+    anchor = np.cumsum(new_h) - 1
+    look = new
+    if sides:
+        look = np.zeros(len(h), bool)
+        for side in sides:
+            some = first[side[rows[first]] > 0]
+            key = (anchor[some].astype(np.uint64) << np.uint64(32)) | side[rows[some]].astype(np.uint64)
+            _, which, times = np.unique(key, return_inverse=True, return_counts=True)
+            look[some[times[which] > 1]] = True
+    kinds = np.bincount(anchor, weights=look).astype(np.int64)[anchor] if len(h) else of
+    look = look & (kinds > 1)
     keep = look | later
     copies = np.full(len(h), None, object)
-    twin = ~new & ~later & (kinds > 1) & np.r_[True, start[1:] != start[:-1]][:len(h)]
+    twin = ~new & ~later & look[first][of] & np.r_[True, start[1:] != start[:-1]][:len(h)]
     if not within and twin.any():
         whose, at = first[of[twin]], start[twin]
         edge = np.flatnonzero(np.r_[True, whose[1:] != whose[:-1], True])
@@ -212,12 +233,13 @@ def met(docs: DataFrame, u: Units) -> DataFrame:
                 while end < len(texts) and (end == at or chars < 4 << 20):
                     chars += len(texts[end] or "")
                     end += 1
-                h, sig, owner, start, n = segments.of([u.values(u.split(t), hashes) for t in texts[at:end]])
+                h, sig, owner, start, n, left, right = segments.of([u.values(u.split(t), hashes) for t in texts[at:end]])
                 if len(h):
                     p = (h % np.uint64(n_parts)).astype(np.int64)
                     order = np.argsort(p, kind="stable")
                     row = np.empty(len(h), PACKED)
                     row["h"], row["sig"], row["doc"], row["start"], row["n"] = h, sig, owner, start, n
+                    row["left"], row["right"] = left, right
                     row, p = row[order], p[order]
                     edge = np.searchsorted(p, np.arange(n_parts + 1))
                     own = ids[at:end].astype(np.int64)
@@ -242,7 +264,7 @@ def met(docs: DataFrame, u: Units) -> DataFrame:
         doc, offset = np.concatenate([i[r["doc"]] for i, r in zip(pairs, rows)]).T
         rows = np.concatenate(rows)
         h, sig, start, n = rows["h"], rows["sig"], rows["start"] + offset, rows["n"].astype(np.int64)
-        return meeting(h, sig, start, n, doc, u.within)
+        return meeting(h, sig, start, n, doc, u.within, (rows["left"], rows["right"]))
 
     packed = docs.select("doc_id", "text", "_offset").mapInArrow(make, "p int, segments binary, ids binary")
     return packed.groupBy("p").applyInPandas(meet, MET)

@@ -100,3 +100,45 @@ def test_key_map_loses_nothing(spark, n):
     assert {k for k in range(0, min(3 * n, 20_000), 3)} <= some
     assert len(some) <= min(3 * n, 20_000) / 3 + 20_000 / 8
     assert some.isdisjoint({r[0] for r in common.without_keys(df, keys, "k").collect()})
+
+
+def test_a_common_line_does_not_send_its_surroundings_to_the_sort(spark, monkeypatch):
+    from barwise.llm import substring_dedup, suffix_array_dedup, window_routing
+
+    rng = np.random.default_rng(11)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz ", np.uint8)
+    prose = lambda n: letters[rng.integers(0, len(letters), n)].tobytes().decode()
+    line, longer, passage = prose(60), prose(90), prose(180)
+    rows = [(i, prose(150) + (passage if i % 10 == 0 else longer if i % 2 else line) + prose(150)) for i in range(120)]
+    rows += [(200, rows[0][1][40:330] + passage[30:]), (200, prose(220)), (200, prose(120) + passage), (201, "short")]
+    texts = {}
+    for i, t in rows:
+        texts.setdefault(i, []).append(t)
+    first = {}  # rows of one doc_id lie one after the other, in the order of their hashes
+    for i in sorted(texts):
+        for t in spark.createDataFrame([(t,) for t in texts[i]], "t string").selectExpr("t", "xxhash64(t) h").orderBy("h").collect() if len(texts[i]) > 1 else [(texts[i][0],)]:
+            covered = np.zeros(len(t[0]), bool)
+            for s in range(len(t[0]) - 99):
+                covered[s:s + 100] |= t[0][s:s + 100] in first
+                first.setdefault(t[0][s:s + 100], i)
+            texts[i, t[0]] = int(covered.sum())
+    want = sorted((i, texts[i, t]) for i, t in rows)
+    assert sum(r[1] for r in want) > 10 * 180
+
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    sorted_bytes = spark.sparkContext.accumulator(0)
+    sort = suffix_array_dedup.earlier_strings
+
+    def counted(segments, doc, start, n):
+        sorted_bytes.add(sum(map(len, segments)))
+        return sort(segments, doc, start, n)
+
+    for hot in (window_routing.HOT, 20, 1):
+        monkeypatch.setattr(window_routing, "HOT", hot)
+        got = sorted((r.doc_id, r.n_removed) for r in suffix_array_dedup.digests(table).collect())
+        assert got == want
+        sorted_bytes.value = 0
+        window_routing.repeated_runs(window_routing.placed(table), suffix_array_dedup.BYTES, counted).count()
+        # 108 documents have one of the lines, which are shorter than a string; before, their segments were all fetched
+        # and those of a hot anchor were cut to strings of 100 bytes each
+        assert sorted_bytes.value < (15_000 if hot == window_routing.HOT else 8_000), (hot, sorted_bytes.value)
